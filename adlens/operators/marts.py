@@ -190,7 +190,7 @@ def monthly_paid_spend(fact: DataFrame) -> DataFrame:
 def spend_by_brand(rows: DataFrame, bmap, name_col: str, platform: str, spend_col: str,
                    out_col: str) -> DataFrame:
     """Spend per mapped brand on one platform (unmapped names excluded)."""
-    return (rows.select(bmap.brand_of(F.col(name_col), platform).alias("brand"),
+    return (rows.select(bmap.brand_of(f"`{name_col}`", platform).alias("brand"),
                         F.col(spend_col).alias("_s"))
             .where(F.col("brand").isNotNull())
             .groupBy("brand").agg(sum_money("_s").alias(out_col)))

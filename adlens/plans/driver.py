@@ -46,11 +46,11 @@ class Driver:
         return self.platform_rows().where((F.col("channel") == channel) & (F.col("spend") > 0))
 
     # -- staged frames ---------------------------------------------------------
-    def staged_platform(self, focus_only: bool = True) -> DataFrame:
+    def staged_platform(self, focus_only: bool = True, period=None) -> DataFrame:
         rows = self.platform_rows(focus_only)
         ch = F.col("channel")
         return stage(
-            rows, month="month_start", channel="channel",
+            rows, month=period if period is not None else "month_start", channel="channel",
             sub_channel=F.when(ch == "google", lower_or_unknown("campaign_type"))
             .when(ch == "meta", F.lit("d2c")).otherwise(F.lit("cpa")),
             objective=F.when(ch == "google",
@@ -60,6 +60,13 @@ class Driver:
             brand=self.bmap.brand_of("campaign_name", platform_sql="platform"),
             spend="spend", revenue="revenue", orders="orders")
 
+    def staged_platform_rows_for(self, channel: str):
+        """Platform rows of one channel whose campaign maps to the focus brand."""
+        rows = self.platform_rows(True)
+        return rows.where((F.col("channel") == channel)
+                          & (self.bmap.brand_of("campaign_name", platform_sql="platform")
+                             == self.p.focus_brand))
+
     def meta_store_hit(self):
         """A meta store row counts for the focus brand when any UTM field maps to it."""
         hit = F.lit(False)
@@ -68,13 +75,13 @@ class Driver:
                                    F.lit(False))
         return hit
 
-    def staged_store(self, focus_only: bool = True) -> DataFrame:
+    def staged_store(self, focus_only: bool = True, period=None) -> DataFrame:
         rows = self.store_rows(focus_only)
         ch = F.col("channel")
         brand = (F.when(ch == "google", self.bmap.brand_of("utm_campaign", "google"))
                  .when((ch == "meta") & self.meta_store_hit(), F.lit(self.p.focus_brand)))
         return stage(
-            rows, month="month_start", channel="channel",
+            rows, month=period if period is not None else "month_start", channel="channel",
             sub_channel=F.when(ch == "google", lower_or_unknown("utm_medium")).otherwise(F.lit("d2c")),
             objective=F.when(ch == "google", F.lit("demand_capture"))
             .otherwise(F.lit("demand_generation")),
@@ -83,6 +90,6 @@ class Driver:
             .otherwise(F.lit("meta_shopify_sales_monthly")),
             brand=brand, spend=None, revenue="revenue", orders="orders")
 
-    def fact(self, sort: bool = False) -> DataFrame:
-        return conversion_fact([self.staged_platform(), self.staged_store()],
+    def fact(self, sort: bool = False, period=None) -> DataFrame:
+        return conversion_fact([self.staged_platform(period=period), self.staged_store(period=period)],
                                self.p.focus_brand, self.p.brand_label, self.p.months, sort=sort)

@@ -65,7 +65,7 @@ store AS (
          upper(p_name) AS utm_campaign, p_brand AS utm_content, lower(p_type) AS utm_medium,
          o_orderkey, o_custkey, l_linenumber,
          l_extendedprice AS revenue, CAST(1 AS DOUBLE) AS orders,
-         g.brand AS brand_google_campaign,
+         g.brand AS brand_google_campaign, mn.brand AS brand_meta_campaign,
          (coalesce(mc.brand = '{FOCUS}', false) OR coalesce(mn.brand = '{FOCUS}', false)
           OR coalesce(mt.brand = '{FOCUS}', false)) AS meta_hit
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
@@ -134,3 +134,27 @@ def resum(expr: str) -> str:
 
 def div(a: str, b: str) -> str:
     return f"({a}) / NULLIF({b}, 0)"
+
+
+def relabel(col: str = "channel") -> str:
+    arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in P.channel_labels.items())
+    return f"CASE {col} {arms} ELSE {col} END"
+
+
+def key(expr: str) -> str:
+    """campaign_key: lower, trim, runs of non [a-z0-9] to _, outer _ removed."""
+    return f"trim(regexp_replace(lower(trim({expr})), '[^a-z0-9]+', '_', 'g'), '_')"
+
+
+def alias_key(expr: str) -> str:
+    arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in P.key_aliases.items())
+    return f"CASE {expr} {arms} ELSE {expr} END" if arms else expr
+
+
+def months(start: str, end: str) -> str:
+    return (f"months AS (SELECT strftime(d, '%Y-%m') AS month_start FROM generate_series("
+            f"DATE '{start}-01', DATE '{end}-01', INTERVAL 1 MONTH) t(d))")
+
+
+def dsum(expr: str) -> str:
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,4))) AS DOUBLE)"
