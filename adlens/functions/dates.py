@@ -28,7 +28,7 @@ def month_of(c) -> Column:
 def parse_day(c) -> Column:
     """Date from text in any of the export formats; bad text gives null."""
     s = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in DAY_FORMATS])
+    return F.coalesce(*[F.try_to_date(s, f) for f in DAY_FORMATS])
 
 
 def day_to_month(day, fallback=None) -> Column:
