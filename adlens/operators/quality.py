@@ -122,11 +122,11 @@ def guardrails(entities: DataFrame, bmap, focus: str, must_map: list, must_not_m
     r1 = e.where(has(must_map) & ~F.coalesce(F.col("mapped_brand") == focus, F.lit(False))).select(
         F.lit(rule_names[0]).alias("rule"), "source", "month_start", "entity_name", "mapped_brand",
         F.lit("violation").alias("status"),
-        F.lit(f"Entity contains {must_map} but did not map to {focus}.").alias("details"))
+        F.lit(f"Entity contains {'/'.join(must_map)} but did not map to {focus}.").alias("details"))
     r2 = e.where(has(must_not_map) & F.coalesce(F.col("mapped_brand") == focus, F.lit(False))).select(
         F.lit(rule_names[1]).alias("rule"), "source", "month_start", "entity_name", "mapped_brand",
         F.lit("violation").alias("status"),
-        F.lit(f"Entity contains {must_not_map} but mapped to {focus}.").alias("details"))
+        F.lit(f"Entity contains {'/'.join(must_not_map)} but mapped to {focus}.").alias("details"))
     v = r1.unionByName(r2)
     spark = entities.sparkSession
     ok = spark.range(1).select(

@@ -151,7 +151,7 @@ DRIVER_BRAND_RULES = [
 DRIVER_PARAMS = Params(
     focus_brand="Hot", brand_label="hot", brand_rules=DRIVER_BRAND_RULES, months=None,
     generation_tokens=["promo", "large"],
-    high_tokens=["hot "], low_tokens=["hot plate"], signal_regex="(?i)(hot|warm)",
+    high_tokens=["red "], low_tokens=["old "], signal_regex="(?i)(hot|red|old)",
     must_map_tokens=["hot"], must_not_map_tokens=["plate"],
     keywords={"Hot": ["hot", "warm"], "Cold": ["cold", "cool"], "Metal": ["rod", "bolt", "gear"]},
     channel_labels={"blinkit": "blinkit_cpass", "instamart": "instamart_cpass"},
