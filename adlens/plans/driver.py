@@ -90,6 +90,61 @@ class Driver:
             .otherwise(F.lit("meta_shopify_sales_monthly")),
             brand=brand, spend=None, revenue="revenue", orders="orders")
 
-    def fact(self, sort: bool = False, period=None) -> DataFrame:
-        return conversion_fact([self.staged_platform(period=period), self.staged_store(period=period)],
-                               self.p.focus_brand, self.p.brand_label, self.p.months, sort=sort)
+    def staged_both(self, period_fmt: str | None = None) -> DataFrame:
+        """Both layers from ONE pass: lineitem joined once to the focus-filtered
+        part and to orders; every joined row yields a platform-layer and a
+        store-layer staged row (explode of a two-element array), which the
+        fact aggregates map-side. The big table is scanned once, not once per
+        layer."""
+        li = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
+            "l_returnflag", "l_shipdate")
+        pt = self.table("part").select("p_partkey", "p_name", "p_brand", "p_type") \
+            .where(self.focus_part_filter())
+        od = self.table("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+        j = (li.join(pt, F.col("l_partkey") == F.col("p_partkey"))
+             .join(od, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
+        fmt = period_fmt or "yyyy-MM"
+        flag, pr = F.col("l_returnflag"), F.col("o_orderpriority")
+        pch = F.when(flag == "A", "google").when(flag == "R", "meta").when(flag == "N", "blinkit")
+        sch = F.when(pr.isin("1-URGENT", "2-HIGH"), "google").when(pr == "3-MEDIUM", "meta") \
+            .otherwise("direct")
+        ptype = F.col("p_type")
+        plat = F.struct(
+            F.date_format("l_shipdate", fmt).alias("month_start"), pch.alias("channel"),
+            F.when(pch == "google", lower_or_unknown(ptype)).when(pch == "meta", F.lit("d2c"))
+            .otherwise(F.lit("cpa")).alias("sub_channel"),
+            F.when(pch == "google", objective_from_type(ptype, self.p.generation_tokens))
+            .when(pch == "meta", F.lit("demand_generation")).otherwise(F.lit("demand_capture"))
+            .alias("objective_class"),
+            F.lit("platform").alias("attribution_layer"),
+            F.when(flag == "A", "google_ads_campaigns_monthly").when(flag == "R", "meta_d2c_adset_monthly")
+            .when(flag == "N", "meta_blinkit_monthly").alias("source_table"),
+            F.when(flag == "A", self.bmap.brand_of("p_name", "google"))
+            .otherwise(self.bmap.brand_of("p_name", "meta")).alias("mapped_brand"),
+            (F.col("l_extendedprice") * F.col("l_discount")).alias("spend"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+            F.col("l_quantity").cast("double").alias("orders"))
+        meta_hit = F.lit(False)
+        for c in ("p_brand", "upper(p_name)", "lower(p_type)"):
+            meta_hit = meta_hit | F.coalesce(self.bmap.brand_of(c, "meta") == self.p.focus_brand,
+                                             F.lit(False))
+        store = F.struct(
+            F.date_format("o_orderdate", fmt).alias("month_start"), sch.alias("channel"),
+            F.when(sch == "google", lower_or_unknown(F.lower(ptype))).otherwise(F.lit("d2c"))
+            .alias("sub_channel"),
+            F.when(sch == "google", F.lit("demand_capture")).otherwise(F.lit("demand_generation"))
+            .alias("objective_class"),
+            F.lit("shopify").alias("attribution_layer"),
+            F.when(sch == "google", F.lit("google_shopify_monthly"))
+            .otherwise(F.lit("meta_shopify_sales_monthly")).alias("source_table"),
+            F.when(sch == "google", self.bmap.brand_of("upper(p_name)", "google"))
+            .when((sch == "meta") & meta_hit, F.lit(self.p.focus_brand)).alias("mapped_brand"),
+            F.lit(None).cast("double").alias("spend"),
+            F.col("l_extendedprice").alias("revenue"), F.lit(1.0).alias("orders"))
+        return (j.select(F.explode(F.array(plat, store)).alias("r")).select("r.*")
+                .where(F.col("channel").isNotNull()))
+
+    def fact(self, sort: bool = False, period_fmt: str | None = None) -> DataFrame:
+        return conversion_fact([self.staged_both(period_fmt)], self.p.focus_brand,
+                               self.p.brand_label, self.p.months, sort=sort)
