@@ -90,7 +90,7 @@ class Driver:
             .otherwise(F.lit("meta_shopify_sales_monthly")),
             brand=brand, spend=None, revenue="revenue", orders="orders")
 
-    def staged_both(self, period_fmt: str | None = None) -> DataFrame:
+    def staged_both(self, period: str = "month", max_day: int | None = None) -> DataFrame:
         """Both layers from ONE pass: lineitem joined once to the focus-filtered
         part and to orders; every joined row yields a platform-layer and a
         store-layer staged row (explode of a two-element array), which the
@@ -104,14 +104,21 @@ class Driver:
         od = self.table("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
         j = (li.join(pt, F.col("l_partkey") == F.col("p_partkey"))
              .join(od, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
-        fmt = period_fmt or "yyyy-MM"
+        def per(c):
+            if period == "week":
+                return F.date_format(F.date_trunc("week", F.col(c)), "yyyy-MM-dd")
+            return F.date_format(c, "yyyy-MM")
         flag, pr = F.col("l_returnflag"), F.col("o_orderpriority")
         pch = F.when(flag == "A", "google").when(flag == "R", "meta").when(flag == "N", "blinkit")
         sch = F.when(pr.isin("1-URGENT", "2-HIGH"), "google").when(pr == "3-MEDIUM", "meta") \
             .otherwise("direct")
+        if max_day is not None:
+            # like-for-like window: both sources cut to the same days of the month
+            pch = F.when(F.dayofmonth("l_shipdate") <= max_day, pch)
+            sch = F.when(F.dayofmonth("o_orderdate") <= max_day, sch)
         ptype = F.col("p_type")
         plat = F.struct(
-            F.date_format("l_shipdate", fmt).alias("month_start"), pch.alias("channel"),
+            per("l_shipdate").alias("month_start"), pch.alias("channel"),
             F.when(pch == "google", lower_or_unknown(ptype)).when(pch == "meta", F.lit("d2c"))
             .otherwise(F.lit("cpa")).alias("sub_channel"),
             F.when(pch == "google", objective_from_type(ptype, self.p.generation_tokens))
@@ -130,7 +137,7 @@ class Driver:
             meta_hit = meta_hit | F.coalesce(self.bmap.brand_of(c, "meta") == self.p.focus_brand,
                                              F.lit(False))
         store = F.struct(
-            F.date_format("o_orderdate", fmt).alias("month_start"), sch.alias("channel"),
+            per("o_orderdate").alias("month_start"), sch.alias("channel"),
             F.when(sch == "google", lower_or_unknown(F.lower(ptype))).otherwise(F.lit("d2c"))
             .alias("sub_channel"),
             F.when(sch == "google", F.lit("demand_capture")).otherwise(F.lit("demand_generation"))
@@ -145,6 +152,6 @@ class Driver:
         return (j.select(F.explode(F.array(plat, store)).alias("r")).select("r.*")
                 .where(F.col("channel").isNotNull()))
 
-    def fact(self, sort: bool = False, period_fmt: str | None = None) -> DataFrame:
-        return conversion_fact([self.staged_both(period_fmt)], self.p.focus_brand,
+    def fact(self, sort: bool = False, period: str = "month", max_day: int | None = None) -> DataFrame:
+        return conversion_fact([self.staged_both(period, max_day)], self.p.focus_brand,
                                self.p.brand_label, self.p.months, sort=sort)

@@ -63,7 +63,7 @@ store AS (
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'google'
               WHEN o_orderpriority = '3-MEDIUM' THEN 'meta' ELSE 'direct' END AS channel,
          upper(p_name) AS utm_campaign, p_brand AS utm_content, lower(p_type) AS utm_medium,
-         o_orderkey, o_custkey, l_linenumber,
+         o_orderkey, o_custkey, l_linenumber, o_orderdate AS day,
          l_extendedprice AS revenue, CAST(1 AS DOUBLE) AS orders,
          g.brand AS brand_google_campaign, mn.brand AS brand_meta_campaign,
          (coalesce(mc.brand = '{FOCUS}', false) OR coalesce(mn.brand = '{FOCUS}', false)
@@ -126,6 +126,19 @@ def with_ctes(*parts: str) -> str:
 
 
 BASE = with_ctes(MAP, PLAT, STORE, FACT)
+WEEK_BASE = with_ctes(
+    MAP,
+    PLAT.replace("strftime(l_shipdate, '%Y-%m') AS month_start",
+                 "strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS month_start"),
+    STORE.replace("strftime(o_orderdate, '%Y-%m') AS month_start",
+                  "strftime(date_trunc('week', o_orderdate), '%Y-%m-%d') AS month_start"),
+    FACT)
+
+
+def day_window_base(max_day: int) -> str:
+    f = (FACT.replace("  FROM plat),", f"  FROM plat WHERE dayofmonth(day) <= {max_day}),")
+         .replace("  FROM store),", f"  FROM store WHERE dayofmonth(day) <= {max_day}),"))
+    return with_ctes(MAP, PLAT, STORE, f)
 
 
 def resum(expr: str) -> str:
