@@ -46,7 +46,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     unset (local tests) a fresh scratch folder is created and registered.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = sc.getCheckpointDir()
+    if current:
+        # Already registered (Spark adds a unique sub-folder on registration;
+        # registering again would move every later checkpoint elsewhere).
+        return current
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="adlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
