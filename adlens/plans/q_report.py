@@ -105,7 +105,13 @@ def spend_cut_iroas(d: Driver):
 # -- demand generation -------------------------------------------------------
 
 def _engagement(d: Driver):
-    meta = d.platform_rows().where(F.col("channel") == "meta")
+    # Account-wide engagement needs no campaign attributes: read the ad rows
+    # without the part join (every ad row has a campaign, so no row is lost).
+    li = d.table("lineitem").where(F.col("l_returnflag") == "R")
+    meta = li.select(F.date_format("l_shipdate", "yyyy-MM").alias("month_start"),
+                     (F.col("l_extendedprice") * F.col("l_discount")).alias("spend"),
+                     (F.col("l_quantity") * 100).alias("impressions"),
+                     (F.col("l_quantity") * 60).alias("reach"))
     return marts.engagement_metrics(meta, d.p.brand_label, d.p.months)
 
 
