@@ -122,3 +122,26 @@ def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
         on = np.unpackbits(np.frombuffer(packed, np.uint8), bitorder="little").astype(bool)
         out[slot * 32768:slot * 32768 + len(on)] |= on
     return out[:1 << bits]
+
+
+def _probe(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int) -> DataFrame:
+    cell = F.col(key).bitwiseAND((1 << bits) - 1)
+    table = (keys.groupBy(F.shiftright(cell, 15).alias("_slot"))
+             .agg(F.bitmap_construct_agg(cell.bitwiseAND(32767)).alias("_bits")))
+    own = F.col(column).bitwiseAND((1 << bits) - 1)
+    bit = own.bitwiseAND(32767).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (df.withColumn("_slot", F.shiftright(own, 15)).join(F.broadcast(table), "_slot", "left")
+            .withColumn("_byte", F.coalesce(byte, F.lit(0))).withColumn("_bit", (bit % 8))
+            .withColumn("_on", F.expr("shiftright(_byte, _bit) & 1 = 1")).drop("_slot", "_bits", "_byte", "_bit"))
+
+
+def marked(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = 24) -> DataFrame:
+    """Rows of ``df`` whose hash ``column`` falls into a cell that a hash of ``keys`` falls into: a
+    superset of the semi-join that needs no shuffle of ``df``. Broadcasts 2**bits / 8 bytes at most."""
+    return _probe(df, column, keys, key, bits).where("_on").drop("_on")
+
+
+def unmarked(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = 24) -> DataFrame:
+    """The other rows: none of them matches a hash of ``keys``."""
+    return _probe(df, column, keys, key, bits).where("not _on").drop("_on")

@@ -27,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import common, kernel
+from adlens.llm import common, groups, kernel
 from adlens.llm.components import components
 
 SHINGLE = 5
@@ -41,8 +41,6 @@ SKETCH = 16
 SMALL = 8
 #: A group whose rarest shingle may occur more often than this is salted into parts of about this size.
 SALT_ROWS = 8192
-#: Cross pairs of a group are compared in blocks of so many sets.
-BLOCK = 1024
 WANTED_BITS = 24
 U64 = np.uint64
 
@@ -153,32 +151,6 @@ def _emit(counts: np.ndarray):
     return run
 
 
-GROUPED = "key long, pivot long, set long"
-
-
-def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, salt, set): each set with the first one of its group. The first one of a
-    salted group comes without a pivot, to be grouped again by its key alone."""
-    last = (None, None, None, None)  # key, salt, set, pivot
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, salt, own = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        new = np.concatenate([[(key[0], salt[0]) != last[:2]], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])])
-        again = np.concatenate([[not new[0] and own[0] == last[2]], ~new[1:] & (own[1:] == own[:-1])])
-        head = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        pivot = np.where(head >= 0, own[head], 0 if last[3] is None else last[3])
-        last = (key[-1], salt[-1], own[-1], pivot[-1])
-        keep = ~again & (~new | (salt > 0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[keep]), pa.array(pivot[keep], mask=new[keep]), pa.array(own[keep])], ["key", "pivot", "set"])
-
-
-def _group(keys: DataFrame) -> DataFrame:
-    dealt = keys.repartition("key", "salt").sortWithinPartitions("key", "salt", "set")
-    return common.stash(common.arrow(dealt, _pivots, GROUPED))
-
-
 WANTED = "set long, shingles array<long>"
 
 
@@ -220,61 +192,6 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, threshold: int
             .select("a", "b"))
 
 
-def _cross(most: int):
-    """Pairs of sets in one block pair of a group that are in different components and may be similar."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, name = [], None
-
-        def pairs(rows):
-            block, half, own, root, n, sketch = (np.concatenate(c) for c in zip(*rows, strict=True))
-            sketch = sketch.reshape(-1, SKETCH)
-            left = np.flatnonzero(half == 0)
-            right = np.flatnonzero(half == 1) if (half == 1).any() else left
-            out = []
-            for i in left.tolist():
-                j = right[(root[right] != root[i]) & ((own[right] > own[i]) if right is left else True)]
-                j = j[100 * np.minimum(n[j], n[i]) >= most * np.maximum(n[j], n[i])]
-                apart = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64)
-                j = j[apart * (100 + most) <= (100 - most) * (n[j] + n[i])]
-                out.append(np.stack([np.minimum(own[i], own[j]), np.maximum(own[i], own[j])], 1))
-            out = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
-            sketch = np.concatenate(batch.column(5).to_numpy(zero_copy_only=False)).reshape(-1, SKETCH)
-            edges = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
-            for a, b in zip(edges, [*edges[1:], batch.num_rows], strict=True):
-                if held and cols[0][a] != name:
-                    yield pairs(held)
-                    held = []
-                name = cols[0][a]
-                held.append((*(c[a:b] for c in cols), sketch[a:b].ravel()))
-        if held:
-            yield pairs(held)
-    return run
-
-
-def _cross_pairs(grouped: DataFrame, sets: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
-    """Pairs within groups that the comparison with pivots left in different components."""
-    members = grouped.select("key", "set").union(grouped.select("key", "pivot")).distinct()
-    placed = common.stash(members.join(roots.withColumnRenamed("node", "set"), "set", "left")
-                          .select("key", "set", F.coalesce("root", "set").alias("root")))
-    open_keys = common.stash(placed.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"),
-                                                       F.max("root").alias("hi"))
-                             .where("size > 2 and lo <> hi").select("key", "size"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("set")) - 1
-    blocks = (placed.join(open_keys, "key").withColumn("block", F.floor(rank / BLOCK).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / BLOCK).cast("int"))))
-              .withColumn("half", (F.col("block") > F.col("other")).cast("int"))
-              .withColumn("block", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))))
-    rows = (blocks.join(sets.select("set", "n", "sketch"), "set").select("block", "half", "set", "root", "n", "sketch")
-            .repartition("block").sortWithinPartitions("block"))
-    return common.arrow(rows, _cross(threshold), "a long, b long").distinct()
-
-
 def jaccard_components(docs: DataFrame, threshold: int = 75) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) for every row of ``docs``.
     Two documents link at a similarity of ``threshold`` percent or more. The size bands are laid out for
@@ -288,14 +205,13 @@ def jaccard_components(docs: DataFrame, threshold: int = 75) -> DataFrame:
     rows = described.where("kind is null").select("doc_id", "n", "set", "sketch")
     sets = common.stash(rows.where("n > 0").groupBy("set").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sketch").alias("sketch")))
-    grouped = _group(common.arrow(docs.select("text"), _emit(counts), KEYS))
-    again = _group(grouped.where("pivot is null").select("key", F.lit(0).alias("salt"), "set"))
-    grouped = grouped.where("pivot is not null").union(again.where("pivot is not null"))
+    grouped = groups.pivots(common.arrow(docs.select("text"), _emit(counts), KEYS))
     pairs = grouped.select(F.col("pivot").alias("a"), F.col("set").alias("b")).where("a <> b").distinct()
     links = common.stash(_verified(docs, sets, pairs, threshold))
     roots = components(links)
-    cross = common.stash(_cross_pairs(grouped, sets, roots, threshold)
-                         .join(pairs, ["a", "b"], "left_anti"))
+    near = lambda n, m, apart: ((100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
+                                & (apart * (100 + threshold) <= (100 - threshold) * (n + m)))
+    cross = common.stash(groups.cross_pairs(grouped, sets, roots, near, SKETCH).join(pairs, ["a", "b"], "left_anti"))
     if not cross.isEmpty():
         links = links.union(_verified(docs, sets, cross, threshold))
         roots = components(links)
