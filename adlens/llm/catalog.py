@@ -3,6 +3,7 @@
 from adlens.llm.op01_pack import op1_packing
 from adlens.llm.op03_lines import op3_line_dedup
 from adlens.llm.op04_decontaminate import OP4_SQL, op4_decontamination
+from adlens.llm.op05_shard import op5_kd_sharding
 from adlens.llm.op06_jaccard import op6_ngram_jaccard
 from adlens.llm.op10_quality import op10_quality_rules
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_kd_sharding": op5_kd_sharding,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op10_quality_rules": op10_quality_rules,
 }
