@@ -5,6 +5,7 @@ from adlens.llm.op03_lines import op3_line_dedup
 from adlens.llm.op04_decontaminate import OP4_SQL, op4_decontamination
 from adlens.llm.op05_shard import op5_kd_sharding
 from adlens.llm.op06_jaccard import op6_ngram_jaccard
+from adlens.llm.op07_hmm import op7_hmm_scores
 from adlens.llm.op09_urls import op9_url_filters
 from adlens.llm.op10_quality import op10_quality_rules
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_kd_sharding": op5_kd_sharding,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_hmm_scores": op7_hmm_scores,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
