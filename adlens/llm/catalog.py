@@ -1,5 +1,6 @@
 """The queries of the llm operators and, where SQL can say it, their DuckDB SQL."""
 
+import corpus_pipeline
 from adlens.llm.op01_pack import op1_packing
 from adlens.llm.op02_html import op2_html_main_text
 from adlens.llm.op03_lines import op3_line_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

@@ -145,3 +145,20 @@ def marked(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = 24
 def unmarked(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = 24) -> DataFrame:
     """The other rows: none of them matches a hash of ``keys``."""
     return _probe(df, column, keys, key, bits).where("not _on").drop("_on")
+
+
+def content(text: str = "text"):
+    """64-bit hash of a text; with the doc_id it names a document (rows with both equal are the same)."""
+    return F.xxhash64(text)
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without the rows named in gone(doc_id, content). Only rows that may
+    be named are shuffled."""
+    names = docs.columns
+    docs = docs.withColumn("_content", content()).withColumn("_key", F.xxhash64("doc_id", "_content"))
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("content").alias("_of"))
+    keys = gone.select(F.xxhash64("_id", "_of").alias("_k"))
+    left = marked(docs, "_key", keys, "_k").join(
+        gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_of")), "left_anti")
+    return left.select(names).union(unmarked(docs, "_key", keys, "_k").select(names))

@@ -78,7 +78,7 @@ def _windows(counts: np.ndarray, window: int):
     return run
 
 
-FOUND = "row long, doc_id long, n_words long, start long, size int, words string"
+FOUND = "row long, doc_id long, content long, n_words long, start long, size int, words string"
 
 
 def _search(tokens: np.ndarray, hashes: np.ndarray, shapes: list[tuple[int, int]]):
@@ -98,8 +98,8 @@ def _search(tokens: np.ndarray, hashes: np.ndarray, shapes: list[tuple[int, int]
             for part in kernel.pieces(batch, "text"):
                 data, starts, ends, first, words = _words(part)
                 n = part.num_rows
-                ids = part.column("doc_id").to_pylist()
-                found = [(row + k, ids[k], int(first[k + 1] - first[k]), None, None, None) for k in range(n)]
+                ids, contents = part.column("doc_id").to_pylist(), part.column("content").to_pylist()
+                found = [(row + k, ids[k], contents[k], int(first[k + 1] - first[k]), None, None, None) for k in range(n)]
                 prefix = np.flatnonzero(marked(tokens, words, TOKEN_BITS)) if places else ()
                 for size, at in places.items() if len(prefix) else ():
                     start = np.unique(prefix[:, None] - np.array(at)[None, :])
@@ -112,20 +112,20 @@ def _search(tokens: np.ndarray, hashes: np.ndarray, shapes: list[tuple[int, int]
                         total *= np.uint64(0xD6E8FEB86659FD93)
                         total += words[start + k]
                     hit = marked(hashes, kernel.mix(total), WINDOW_BITS)
-                    found += [(row + d, None, None, s - int(first[d]), size, _spell(data, starts, ends, s, size))
+                    found += [(row + d, None, None, None, s - int(first[d]), size, _spell(data, starts, ends, s, size))
                               for s, d in zip(start[hit].tolist(), doc[hit].tolist(), strict=True)]
                 row += n
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*found, strict=True), [
-                        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()], strict=True)],
+                        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()], strict=True)],
                     [x.split()[0] for x in FOUND.split(", ")])
     return run
 
 
 def contained(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """The documents (row, doc_id, n_words) and every window of an item found in one
+    """The documents (row, doc_id, content, n_words) and every window of an item found in one
     (row, start, size, item)."""
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", common.content().alias("content"))
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     counts = common.sum_vectors(common.arrow(docs.select("text"), _count, common.VECTOR_SCHEMA),
                                 {"words": 1 << RARITY_BITS})["words"]
@@ -136,7 +136,7 @@ def contained(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[
     found = common.stash(common.arrow(docs, _search(*bits, shapes), FOUND))
     hits = (found.where("start is not null").select("row", "start", "size", "words")
             .join(windows.select("size", "words", "item").distinct(), ["size", "words"]))
-    return found.where("start is null").select("row", "doc_id", "n_words"), hits
+    return found.where("start is null").select("row", "doc_id", "content", "n_words"), hits
 
 
 def covered(hits: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     hits = common.stash(hits)
     found = hits.select("row", "item").distinct().groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
     return (rows.join(covered(hits), "row", "left").join(found, "row", "left")
-            .select("row", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            .select("row", "doc_id", "content", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"))
             .withColumn("contaminated", F.col("n_hit") > 0))
 

@@ -63,7 +63,7 @@ def _sketch(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
-SETS = f"doc_id long, n long, set long, sketch array<long>, {common.VECTOR_SCHEMA}"
+SETS = f"doc_id long, content long, n long, set long, sketch array<long>, {common.VECTOR_SCHEMA}"
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,14 +77,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [shingles[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
             rows = len(sets)
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), pa.array(np.diff(at)), pa.array([_set_hash(s) for s in sets], pa.int64()),
+                part.column("doc_id"), part.column("content"), pa.array(np.diff(at)), pa.array([_set_hash(s) for s in sets], pa.int64()),
                 pa.array([_sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
     vector = common.vector_batch(list(common.vector_rows("shingles", counts)))
     rows = vector.num_rows
     yield pa.RecordBatch.from_arrays([
-        pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
-        pa.nulls(rows, pa.list_(pa.int64())), *vector.columns], names)
+        *[pa.nulls(rows, pa.int64())] * 4, pa.nulls(rows, pa.list_(pa.int64())), *vector.columns], names)
 
 
 def _cells(own: np.ndarray, count: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,58 +169,91 @@ def _fetch(bits: np.ndarray):
     return run
 
 
-def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
-    """Those of pairs(a, b) that are links. Sizes and bit sketches are compared first; the shingles
-    of what is left are read from the documents and intersected."""
+def _near(sets: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
+    """Those of pairs(a, b) whose sizes and bit sketches allow a link."""
     side = lambda x: sets.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"),
                                  F.col("sketch").alias(f"sketch_{x}"), F.col("rep").alias(f"rep_{x}"))
     apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")),
                         F.lit(0), lambda x, y: x + y)
     most = (100 - threshold) * (F.col("n_a") + F.col("n_b")) / (100 + threshold)
-    near = common.stash(pairs.join(side("a"), "a").join(side("b"), "b")
+    return common.stash(pairs.join(side("a"), "a").join(side("b"), "b")
                         .where((100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")) & (apart <= most))
                         .select("a", "b", "n_a", "n_b", "rep_a", "rep_b"))
+
+
+def _shingles(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """(set, shingles) of every set in near, read from the documents again."""
     reps = near.select(F.xxhash64("rep_a").alias("mark")).union(near.select(F.xxhash64("rep_b"))).distinct()
     bits = np.packbits(common.bitmap(reps, "mark", WANTED_BITS), bitorder="little")
     marked = docs.select(F.xxhash64("doc_id").alias("mark"), "text")
-    shingles = common.stash(common.arrow(marked, _fetch(bits), WANTED).dropDuplicates(["set"]))
+    return common.stash(common.arrow(marked, _fetch(bits), WANTED).dropDuplicates(["set"]))
+
+
+def _verified(near: DataFrame, shingles: DataFrame, threshold: int) -> DataFrame:
+    """Those of near(a, b, n_a, n_b) that are links, by intersecting their shingles."""
     lists = lambda x: shingles.select(F.col("set").alias(x), F.col("shingles").alias(f"list_{x}"))
     both = F.size(F.array_intersect("list_a", "list_b"))
-    return (near.join(lists("b"), "b").join(lists("a"), "a").withColumn("both", both)
-            .where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both")))
-            .select("a", "b"))
+    pairs = near.select("a", "b", "n_a", "n_b")
+    return common.stash(pairs.join(lists("b"), "b").join(lists("a"), "a").withColumn("both", both)
+                        .where(100 * F.col("both") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("both")))
+                        .select("a", "b"))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs that are not yet in one component."""
+    root = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    joined = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    same = F.coalesce("root_a", "a") == F.coalesce("root_b", "b")
+    return joined.where(~same).drop("root_a", "root_b")
 
 
 def jaccard_components(docs: DataFrame, threshold: int = 75) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) for every row of ``docs``.
+    """doc_id, content hash, n_shingles, component_id (smallest doc_id reachable by links) and component (its
+    smallest set hash; null without shingles) for every row of ``docs``.
     Two documents link at a similarity of ``threshold`` percent or more. The size bands are laid out for
     75, so a lower threshold is refused."""
     if threshold < 75:
         raise ValueError("threshold must be 75 or more")
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", common.content().alias("content"))
     described = common.stash(common.arrow(docs, _describe, SETS))
     counts = common.sum_vectors(described.where("kind is not null").select("kind", "slice", "numbers"),
                                 {"shingles": 1 << RARITY_BITS})["shingles"]
-    rows = described.where("kind is null").select("doc_id", "n", "set", "sketch")
+    rows = described.where("kind is null").select("doc_id", "content", "n", "set", "sketch")
     sets = common.stash(rows.where("n > 0").groupBy("set").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sketch").alias("sketch")))
     grouped = groups.pivots(common.arrow(docs.select("text"), _emit(counts), KEYS))
     pairs = grouped.select(F.col("pivot").alias("a"), F.col("set").alias("b")).where("a <> b").distinct()
-    links = common.stash(_verified(docs, sets, pairs, threshold))
+    near = _near(sets, pairs, threshold)
+    shingles = _shingles(docs, near)
+    # each set with its smallest pivot first; then only pairs that this leaves apart
+    first = near.groupBy("b").agg(F.min_by(F.struct("a", "n_a", "n_b"), "a").alias("p")).select("p.*", "b")
+    links = _verified(first, shingles, threshold)
+    rest = _apart(near, components(links)).join(first, ["a", "b"], "left_anti")
+    links = links.union(_verified(rest, shingles, threshold))
     roots = components(links)
-    near = lambda n, m, apart: ((100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
-                                & (apart * (100 + threshold) <= (100 - threshold) * (n + m)))
-    cross = common.stash(groups.cross_pairs(grouped, sets, roots, near, SKETCH).join(pairs, ["a", "b"], "left_anti"))
+    may = lambda n, m, apart: ((100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
+                               & (apart * (100 + threshold) <= (100 - threshold) * (n + m)))
+    cross = common.stash(groups.cross_pairs(grouped, sets, roots, may, SKETCH).join(pairs, ["a", "b"], "left_anti"))
     if not cross.isEmpty():
-        links = links.union(_verified(docs, sets, cross, threshold))
+        near = _near(sets, cross, threshold)
+        links = links.union(_verified(near, _shingles(docs, near), threshold))
         roots = components(links)
     placed = common.stash(sets.join(roots.withColumnRenamed("node", "set"), "set", "left")
                           .select("set", "rep", F.coalesce("root", "set").alias("root")))
     least = common.stash(placed.groupBy("root").agg(F.min("rep").alias("component_id")))
-    classes = common.stash(placed.join(least, "root").select("set", "component_id"))
-    return (rows.where("n > 0").join(classes, "set").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-            .union(rows.where("n = 0").select("doc_id", "n", "doc_id")))
+    classes = common.stash(placed.join(least, "root").select("set", "component_id", F.col("root").alias("component")))
+    alone = rows.where("n = 0").select("doc_id", "content", "n", "doc_id", F.lit(None).cast("long"))
+    return (rows.where("n > 0").join(classes, "set")
+            .select("doc_id", "content", F.col("n").alias("n_shingles"), "component_id", "component").union(alone))
+
+
+def duplicates(found: DataFrame) -> DataFrame:
+    """(doc_id, content) of all but the first document of each component, from ``jaccard_components``."""
+    found = common.stash(found.where("component is not null").select("component", "doc_id", "content"))
+    first = common.stash(found.groupBy("component").agg(F.min(F.struct("doc_id", "content")).alias("first")))
+    return (found.join(first, "component").where(~F.struct("doc_id", "content").eqNullSafe(F.col("first")))
+            .select("doc_id", "content").distinct())
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(common.read(spark, sf_dir, "documents"))
+    return jaccard_components(common.read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -56,7 +56,7 @@ def _count(trusted: np.ndarray):
     return run
 
 
-METRICS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+METRICS = ("doc_id long, content long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "score double")
 
 
@@ -100,8 +100,8 @@ def _measure(ratio: np.ndarray | None):
         if ratio is not None:
             bucket, row, n = _ngrams(part)
             score = np.bincount(row, ratio[bucket], part.num_rows) / np.maximum(n, 1)
-        columns = [part.column("doc_id"), np.diff(first), chars, total(symbol[data]), dup, again, score]
-        kinds = [pa.int64()] * 6 + [pa.float64()]
+        columns = [part.column("doc_id"), part.column("content"), np.diff(first), chars, total(symbol[data]), dup, again, score]
+        kinds = [pa.int64()] * 7 + [pa.float64()]
         return pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
             [x.split()[0] for x in METRICS.split(", ")])
@@ -148,7 +148,7 @@ def threshold(scored: DataFrame, labels: DataFrame) -> float:
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Base counts, base_failed, score, threshold and the verdict ``kept`` for every row of ``docs``
     (doc_id, text)."""
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", common.content().alias("content"))
     scored = common.stash(common.arrow(docs, _measure(log_ratio(docs, labels)), METRICS))
     at = threshold(scored, labels)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -158,4 +158,4 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "labels"))
+    return judge(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "labels")).drop("content")
