@@ -22,18 +22,19 @@ def confidence(name: Column, high_tokens, low_tokens) -> Column:
     return F.when(hi, "high").when(lo, "low").otherwise("medium")
 
 
-def audit_entities(sources: list[DataFrame], bmap, high_tokens, low_tokens,
+def audit_entities(sources: list[DataFrame], high_tokens, low_tokens,
                    signal_regex: str) -> DataFrame:
     """Distinct (source, platform, month, entity) from every source with its
     mapped brand, confidence and signal flag. Sources carry columns source,
-    platform, month_start, entity_name; null names are dropped."""
-    u = sources[0].select("source", "platform", "month_start", "entity_name")
+    platform, month_start, entity_name, mapped_brand; null names are dropped."""
+    columns = ["source", "platform", "month_start", "entity_name", "mapped_brand"]
+    u = sources[0].select(columns)
     for s in sources[1:]:
-        u = u.unionByName(s.select("source", "platform", "month_start", "entity_name"))
+        u = u.unionByName(s.select(columns))
     u = u.where(F.col("entity_name").isNotNull()).distinct()
     return u.select(
         "source", "platform", F.col("month_start").cast("string").alias("month_start"),
-        "entity_name", bmap.brand_of("entity_name", platform_sql="platform").alias("mapped_brand"),
+        "entity_name", "mapped_brand",
         confidence(F.col("entity_name"), high_tokens, low_tokens).alias("confidence"),
         F.coalesce(F.col("entity_name").rlike(signal_regex), F.lit(False)).alias("signal"))
 
@@ -50,16 +51,31 @@ def audit_summary(candidates: DataFrame) -> DataFrame:
             .orderBy(F.asc("confidence"), F.desc("entities")))
 
 
-def brand_tagging(rows: DataFrame, bmap, name_col: str, platform_col: str) -> DataFrame:
-    """Each row tagged with its winning rule (brand, pattern, priority) and a
-    brand-specific flag (some rule matched)."""
-    m = bmap.match_of(f"`{name_col}`", platform_sql=f"`{platform_col}`")
-    return (rows.withColumn("_m", m)
-            .withColumn("brand", F.col("_m.brand"))
-            .withColumn("matched_pattern", F.col("_m.pattern"))
-            .withColumn("matched_priority", F.col("_m.priority"))
-            .withColumn("brand_specific", F.col("_m").isNotNull())
-            .drop("_m"))
+def brand_tagging(rows: DataFrame) -> DataFrame:
+    """Each row tagged with its winning rule (brand, pattern, priority), given as column
+    ``rule``, and a brand-specific flag (some rule matched)."""
+    return (rows.withColumn("brand", F.col("rule.brand"))
+            .withColumn("matched_pattern", F.col("rule.pattern"))
+            .withColumn("matched_priority", F.col("rule.priority"))
+            .withColumn("brand_specific", F.col("rule").isNotNull())
+            .drop("rule"))
+
+
+def assignment_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Names whose brand differs between two assignments (platform, name, brand): added, removed or
+    changed."""
+    b = before.select("platform", "name", F.col("brand").alias("brand_before")).distinct()
+    a = after.select("platform", "name", F.col("brand").alias("brand_after")).distinct()
+    change = (F.when(F.col("brand_before").isNull(), "added").when(F.col("brand_after").isNull(), "removed")
+              .otherwise("changed"))
+    return (b.join(a, ["platform", "name"], "full").where(~F.col("brand_before").eqNullSafe(F.col("brand_after")))
+            .withColumn("change", change))
+
+
+def split_by_confidence(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates of high confidence, and those of medium or low confidence to be looked at."""
+    high = F.col("confidence") == "high"
+    return candidates.where(high), candidates.where(~high)
 
 
 def brand_totals(tagged: DataFrame, by: list, measures: list) -> DataFrame:

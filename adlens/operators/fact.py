@@ -1,9 +1,8 @@
 """The conversion fact: month x channel x sub-channel x objective x layer.
 
-A source becomes *staged rows* with canonical columns through ``stage``;
-every column is an expression, so one staged frame can carry several
-sources (one scan, one aggregate) whose channel, sub-channel or objective
-differ per row. ``conversion_fact`` then keeps the focus brand, groups, sums
+A source becomes *staged rows* with canonical columns; one staged frame can
+carry several sources (one scan, one aggregate) whose channel, sub-channel or
+objective differ per row. ``conversion_fact`` keeps the focus brand, groups, sums
 null-preservingly and adds the guarded ratios.
 
 ``EXPORT_SOURCES`` describes the six original exports (column names as in
@@ -16,7 +15,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adlens.functions.metrics import roas, cpa
 from adlens.functions.numeric import sum_money, to_num
@@ -36,19 +34,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def measure(df: DataFrame, c, schema=None) -> Column:
-    """A measure as double: numeric columns are cast, text goes through the
-    tolerant parse (commas, percent signs, ``--``)."""
-    if c is None:
-        return F.lit(None).cast("double")
-    if isinstance(c, str):
-        dt = (schema or df.schema)[c].dataType
-        if isinstance(dt, T.NumericType):
-            return F.col(c).cast("double")
-        return to_num(F.col(c))
-    return c.cast("double")
-
-
 def objective_from_type(type_col, tokens) -> Column:
     """Campaign-type text containing any generation token -> demand_generation,
     anything else (missing included) -> demand_capture."""
@@ -56,27 +41,6 @@ def objective_from_type(type_col, tokens) -> Column:
         .otherwise(F.lit("demand_capture"))
 
 
-def stage(df: DataFrame, *, month, channel, sub_channel, objective, layer, source_table,
-          brand, spend=None, revenue=None, orders=None) -> DataFrame:
-    """Project a source to the staged columns. Arguments are column names,
-    literals wrapped in ``F.lit`` or any expression."""
-    schema = df.schema
-    names = set(schema.fieldNames())
-    lit_or = lambda v: F.lit(v) if isinstance(v, str) and v not in names else _col(v)
-    return df.select(
-        _col(month).cast("string").alias("month_start"),
-        lit_or(channel).alias("channel"),
-        lit_or(sub_channel).alias("sub_channel"),
-        lit_or(objective).alias("objective_class"),
-        lit_or(layer).alias("attribution_layer"),
-        lit_or(source_table).alias("source_table"),
-        _col(brand).cast("string").alias("mapped_brand"),
-        measure(df, spend, schema).alias("spend"),
-        measure(df, revenue, schema).alias("revenue"),
-        measure(df, orders, schema).alias("orders"),
-    )
-
-
 def conversion_fact(staged: list[DataFrame], focus_brand: str, brand_label: str,
                     months: list | None = None, sort: bool = True) -> DataFrame:
     """Null-preserving monthly fact over staged frames.
@@ -160,20 +124,20 @@ def stage_export(df: DataFrame, src: ExportSource, bmap, focus_brand: str,
                  title_regex: str | None = None) -> DataFrame:
     """Stage one original export (columns may be missing: they read as null).
 
+    ``Total:`` rows are dropped first. Names are mapped once per distinct text.
     For store sources with several name columns the row counts as the focus
     brand when any of them maps to it. A product-title filter (legacy store
     files) applies only to rows that have a title.
     """
+    names = [c for c in src.name_cols if c in df.columns]
+    df = drop_totals(df, names)
     cols = set(df.columns)
-    get = lambda c: F.col(c) if c in cols else F.lit(None).cast("string")
-    names = [c for c in src.name_cols if c in cols]
-    if names:
-        hit = F.lit(False)
-        for c in names:
-            hit = hit | F.coalesce(bmap.brand_of(f"`{c}`", src.platform) == focus_brand, F.lit(False))
-        brand = F.when(hit, F.lit(focus_brand))
-    else:
-        brand = F.lit(focus_brand)
+    get = lambda c: F.col(f"`{c}`") if c in cols else F.lit(None).cast("string")
+    hit = F.lit(False) if names else F.lit(True)
+    for k, c in enumerate(names):
+        df = bmap.attach(df.withColumn(f"_name{k}", F.col(f"`{c}`")), f"_name{k}", src.platform, f"_brand{k}")
+        hit = hit | F.coalesce(F.col(f"_brand{k}") == focus_brand, F.lit(False))
+    brand = F.when(hit, F.lit(focus_brand))
     if title_regex and title_col in cols:
         t = F.lower(F.col(title_col))
         brand = F.when(F.col(title_col).isNull() | t.rlike(title_regex), brand)
@@ -191,3 +155,13 @@ def stage_export(df: DataFrame, src: ExportSource, bmap, focus_brand: str,
         (to_num(get(src.revenue)) if src.revenue else F.lit(None).cast("double")).alias("revenue"),
         (orders if orders is not None else F.lit(None).cast("double")).alias("orders"),
     )
+
+
+def drop_totals(df: DataFrame, columns) -> DataFrame:
+    """Rows of an export without its summary rows: those with a first or name column that starts
+    with ``Total:``. A null is no summary."""
+    summary = F.lit(False)
+    for c in dict.fromkeys([*df.columns[:1], *columns]):
+        if dict(df.dtypes)[c] == "string":
+            summary = summary | F.coalesce(F.trim(F.col(f"`{c}`")).startswith("Total:"), F.lit(False))
+    return df.where(~summary)

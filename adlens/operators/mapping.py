@@ -7,231 +7,106 @@ matches the lower-cased name is a hit; the best hit wins by
 name gives null. Only ``%`` is a wildcard: ``_`` and ``\\`` in a pattern are
 literal.
 
-Two physical strategies with identical results:
-
-* ``expr``  the rules are sorted once and compiled into one first-match
-            ``CASE WHEN lower(name) LIKE p1 THEN b1 WHEN ...`` per platform. It is
-            a narrow projection: no join and no shuffle, evaluated inside
-            whole-stage codegen (Catalyst turns ``%x%`` into ``contains``).
-            Used while the rule table has at most ``MAX_EXPR_RULES`` rows; the
-            bound is checked with a ``limit(n + 1)`` count, never a full collect.
-* ``join``  for larger rule tables: distinct (platform, name) pairs are joined
-            to the broadcast rule table on ``platform`` with the LIKE test as
-            join condition (hash join on platform, not a nested loop), the best
-            hit is picked per pair with ``max_by`` and the result is joined
-            back on (platform, name). The broadcast is only used while the rule
-            table is below ``MAX_BROADCAST_RULES`` rows; above it the rule side
-            is shuffled on platform instead.
+There is one way to map, whatever the number of rules: names are made distinct,
+and joined to the rules on a literal gram. Every pattern gets as key the first
+``GRAM`` characters of its longest literal run (the whole run if it is shorter,
+the empty text if there is none); a name that the pattern matches contains that
+key, so an equi-join of the rules' keys with the grams of the names finds every
+hit, and LIKE is tested on those pairs only. The best hit per name is one
+aggregate. No broadcast is forced: the optimizer sees the sizes.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from adlens.functions.text import like_escape
-
-MAX_EXPR_RULES = 1000
-MAX_BROADCAST_RULES = 200_000
-
-RULE_SCHEMA = T.StructType([
-    T.StructField("brand", T.StringType()),
-    T.StructField("platform", T.StringType()),
-    T.StructField("pattern", T.StringType()),
-    T.StructField("priority", T.IntegerType()),
-    T.StructField("ord", T.IntegerType()),
-])
 
+GRAM = 3
 
-@dataclass(frozen=True)
-class Rule:
-    brand: str
-    platform: str
-    pattern: str
-    priority: int
-    ord: int
 
-
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def sql_str(s: str) -> str:
-    """Spark SQL string literal."""
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _priority(c: Column) -> Column:
+    """Numeric priority; bad or missing text counts as 0."""
+    return F.coalesce(c.cast("string").try_cast("double").cast("int"), F.lit(0))
 
 
 class BrandMap:
-    """A validated rule table plus the two mapping strategies."""
-
-    def __init__(self, rules: DataFrame | None = None, sorted_rules: dict | None = None,
-                 spark: SparkSession | None = None, rows=None):
-        self._rules = self._normalise(rules) if rules is not None else None
-        self._sorted = sorted_rules
-        self._spark = spark
-        self._rows = rows
-
-    @staticmethod
-    def _normalise(rules: DataFrame) -> DataFrame:
-        # lower-case platform and pattern, numeric priority (bad or missing -> 0),
-        # explicit file order.
+    """A rule table and the mapping of names by it."""
+
+    def __init__(self, rules: DataFrame):
         ordc = F.col("ord") if "ord" in rules.columns else F.monotonically_increasing_id()
-        return rules.select(
+        run = F.array_max(F.transform(F.split("pattern", "%"), lambda s: F.struct(F.length(s).alias("n"), s.alias("s"))))
+        self.rules = (rules.select(
             F.col("brand").cast("string").alias("brand"),
             F.lower(F.col("platform").cast("string")).alias("platform"),
             F.lower(F.col("pattern").cast("string")).alias("pattern"),
-            F.coalesce(F.col("priority").cast("string").try_cast("double").cast("int"),
-                       F.lit(0)).alias("priority"),
-            ordc.cast("long").alias("ord"),
-        ).where(F.col("pattern").isNotNull() & F.col("platform").isNotNull())
+            _priority(F.col("priority")).alias("priority"), ordc.cast("long").alias("ord"))
+            .where(F.col("pattern").isNotNull() & F.col("platform").isNotNull())
+            .withColumn("gram", F.substring(run["s"], 1, GRAM)))
 
     # -- construction -----------------------------------------------------
     @classmethod
     def from_rows(cls, spark: SparkSession, rows) -> "BrandMap":
-        """rows: (brand, platform, pattern, priority) tuples in file order. The
-        rules are already on the driver, so they are sorted without a job."""
-        per: dict[str, list[Rule]] = {}
-        for i, (b, p, pat, pr) in enumerate(rows):
-            if p is None or pat is None:
-                continue
-            per.setdefault(str(p).lower(), []).append(
-                Rule(b, str(p).lower(), str(pat).lower(), int(pr or 0), i))
-        for p in per:
-            per[p].sort(key=lambda r: (-r.priority, -len(r.pattern), r.ord))
-        return cls(sorted_rules=per, spark=spark, rows=list(rows))
+        """rows: (brand, platform, pattern, priority) tuples in file order."""
+        import pyarrow as pa
+        text = lambda v: None if v is None else str(v)
+        rows = list(rows)
+        cols = [pa.array([text(r[k]) for r in rows], pa.string()) for k in range(4)]
+        table = pa.table([*cols, pa.array(range(len(rows)), pa.int64())],
+                         ["brand", "platform", "pattern", "priority", "ord"])
+        return cls(spark.createDataFrame(table))
 
     @classmethod
     def from_csv(cls, spark: SparkSession, path: str) -> "BrandMap":
+        """One rule file with a header. Row order is that of the file, also where the file is split:
+        a row is placed by its split's first byte plus its number in the split."""
         df = (spark.read.option("header", True).schema(
             "brand string, platform string, pattern string, priority string").csv(path))
-        return cls(df.withColumn("ord", F.monotonically_increasing_id()))
-
-    @property
-    def rules(self) -> DataFrame:
-        if self._rules is None:
-            data = [(r.brand, r.platform, r.pattern, r.priority, r.ord)
-                    for rs in self._sorted.values() for r in rs]
-            self._rules = self._spark.createDataFrame(data, RULE_SCHEMA)
-        return self._rules
-
-    # -- strategy selection -----------------------------------------------
-    def rule_count_at_most(self, n: int) -> bool:
-        if self._sorted is not None and self._rules is None:
-            return sum(len(v) for v in self._sorted.values()) <= n
-        return self.rules.limit(n + 1).count() <= n
-
-    def sorted_rules(self) -> dict[str, list[Rule]]:
-        """Rules per platform in winning order. A rule table given as a
-        DataFrame is size-checked against ``MAX_EXPR_RULES`` before the
-        bounded collect."""
-        if self._sorted is None:
-            if not self.rule_count_at_most(MAX_EXPR_RULES):
-                raise ValueError("rule table too large for the expression strategy")
-            rows = self.rules.limit(MAX_EXPR_RULES).collect()
-            per: dict[str, list[Rule]] = {}
-            for r in rows:
-                per.setdefault(r.platform, []).append(
-                    Rule(r.brand, r.platform, r.pattern, int(r.priority), int(r.ord)))
-            for p in per:
-                per[p].sort(key=lambda r: (-r.priority, -len(r.pattern), r.ord))
-            self._sorted = per
-        return self._sorted
-
-    # -- expression strategy ------------------------------------------------
-    # The first-match chain is emitted as SQL text and parsed once on the JVM
-    # (one call instead of several per rule).
-    def _chain_sql(self, lname: str, platform: str, value) -> str | None:
-        rules = self.sorted_rules().get(platform.lower(), [])
-        if not rules:
-            return None
-        arms = " ".join(f"WHEN {lname} LIKE {sql_str(like_escape(r.pattern))} THEN {value(r)}"
-                        for r in rules)
-        return f"CASE {arms} END"
-
-    def _sql(self, name_sql: str, platform: str | None, platform_sql: str | None, value,
-             out_type: str) -> str:
-        lname = f"lower(CAST(({name_sql}) AS STRING))"
-        if platform is not None:
-            out = self._chain_sql(lname, platform, value)
-        else:
-            arms = []
-            for p in self.sorted_rules():
-                ch = self._chain_sql(lname, p, value)
-                if ch:
-                    arms.append(f"WHEN lower({platform_sql}) = {sql_str(p)} THEN {ch}")
-            out = f"CASE {' '.join(arms)} END" if arms else None
-        return out if out is not None else f"CAST(NULL AS {out_type})"
-
-    def brand_sql(self, name_sql: str, platform: str | None = None,
-                  platform_sql: str | None = None) -> str:
-        return self._sql(name_sql, platform, platform_sql, lambda r: sql_str(r.brand), "STRING")
-
-    def brand_of(self, name_sql: str, platform: str | None = None,
-                 platform_sql: str | None = None) -> Column:
-        """Mapped brand of the SQL expression ``name_sql`` on ``platform`` (a
-        literal platform name) or on the platform held by ``platform_sql``."""
-        return F.expr(self.brand_sql(name_sql, platform, platform_sql))
-
-    def match_of(self, name_sql: str, platform: str | None = None,
-                 platform_sql: str | None = None) -> Column:
-        """struct(brand, pattern, priority) of the winning rule, or null."""
-        return F.expr(self._sql(
-            name_sql, platform, platform_sql,
-            lambda r: (f"named_struct('brand', {sql_str(r.brand)}, 'pattern', "
-                       f"{sql_str(r.pattern)}, 'priority', {r.priority})"),
-            "STRUCT<brand: STRING, pattern: STRING, priority: INT>"))
-
-    # -- join strategy -----------------------------------------------------
-    def map_join(self, df: DataFrame, name_col: str, platform_col: str,
-                 out_col: str = "mapped_brand") -> DataFrame:
-        """Add ``out_col`` (and ``matched_pattern``, ``matched_priority``) by
-        joining distinct names to the rule table."""
-        keys = (df.select(F.col(platform_col).alias("_p"), F.col(name_col).alias("_n"))
-                .where(F.col("_n").isNotNull()).distinct())
-        rules = self.rules.select(
-            F.col("platform").alias("_rp"), "brand", "pattern", "priority", "ord")
-        if self.rule_count_at_most(MAX_BROADCAST_RULES):
-            rules = F.broadcast(rules)
-        hits = keys.join(
-            rules,
-            (F.lower(F.col("_p")) == F.col("_rp"))
-            & F.like(F.lower(F.col("_n")), F.regexp_replace(
-                F.regexp_replace(F.col("pattern"), r"\\", r"\\\\"), "_", r"\\_")),
-            "inner")
-        best = (hits.groupBy("_p", "_n").agg(F.max_by(
-            F.struct("brand", "pattern", "priority"),
-            F.struct(F.col("priority"), F.length("pattern"), -F.col("ord"))).alias("_m")))
-        return (df.join(best, (df[platform_col].eqNullSafe(best["_p"]))
-                        & (df[name_col] == best["_n"]), "left")
-                .withColumn(out_col, F.col("_m.brand"))
-                .withColumn("matched_pattern", F.col("_m.pattern"))
-                .withColumn("matched_priority", F.col("_m.priority"))
-                .drop("_p", "_n", "_m"))
-
-    def map_df(self, df: DataFrame, name_col: str, platform, out_col: str = "mapped_brand",
-               strategy: str = "auto") -> DataFrame:
-        """Add the mapped brand column using the chosen strategy."""
-        if strategy == "auto":
-            strategy = "expr" if self.rule_count_at_most(MAX_EXPR_RULES) else "join"
-        if strategy == "expr":
-            if isinstance(platform, str) and platform not in df.columns:
-                return df.withColumn(out_col, self.brand_of(f"`{name_col}`", platform))
-            return df.withColumn(out_col, self.brand_of(f"`{name_col}`", platform_sql=f"`{platform}`"))
-        pcol = platform
-        if isinstance(platform, str) and platform not in df.columns:
-            df = df.withColumn("_platform", F.lit(platform))
-            pcol = "_platform"
-        out = self.map_join(df, name_col, pcol, out_col).drop("matched_pattern", "matched_priority")
-        return out.drop("_platform") if pcol == "_platform" else out
-
-
-def infer_rules(names: DataFrame, name_col: str, platform: str, keywords: dict) -> DataFrame:
+        row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        return cls(df.select("*", (F.col("_metadata.file_block_start") + row).alias("ord")))
+
+    # -- mapping ------------------------------------------------------------
+    def hits(self, names: DataFrame) -> DataFrame:
+        """(name, platform, hit, rank) for every rule that matches a distinct lower-cased text of
+        ``names(name)``."""
+        def grams(n: int) -> Column:
+            last = F.length("name") - (n - 1)
+            return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col("name"), i, F.lit(n)))) \
+                .otherwise(F.array().cast("array<string>"))
+        keys = F.array_distinct(F.concat(F.array(F.lit("")), *[grams(n) for n in range(1, GRAM + 1)]))
+        distinct = names.select(F.lower(F.col("name").cast("string")).alias("name")).where("name is not null").distinct()
+        literal = F.regexp_replace(F.regexp_replace("pattern", r"\\", r"\\\\"), "_", r"\\_")
+        return (distinct.withColumn("gram", F.explode(keys)).join(self.rules, "gram")
+                .where(F.like(F.col("name"), literal))
+                .select("name", "platform", F.struct("brand", "pattern", "priority").alias("hit"),
+                        F.struct("priority", F.length("pattern"), -F.col("ord")).alias("rank")))
+
+    def wide(self, names: DataFrame, platforms) -> DataFrame:
+        """(name, <platform> ...): the winning struct(brand, pattern, priority) on each platform, for
+        every distinct lower-cased name with a hit on any of them."""
+        on = lambda p, c: F.when(F.col("platform") == p, F.col(c))
+        return self.hits(names).groupBy("name").agg(*[F.max_by(on(p, "hit"), on(p, "rank")).alias(p) for p in platforms])
+
+    def attach(self, df: DataFrame, name_col: str, platform: str | Column, out_col: str = "mapped_brand",
+               details: bool = False) -> DataFrame:
+        """``df`` with the mapped brand of ``name_col`` on ``platform`` (a literal platform name or a
+        column). With ``details`` also ``matched_pattern`` and ``matched_priority``."""
+        best = (self.hits(df.select(F.col(name_col).alias("name"))).groupBy("name", "platform")
+                .agg(F.max_by("hit", "rank").alias("_hit"))
+                .select(F.col("name").alias("_name"), F.col("platform").alias("_on"), "_hit"))
+        own = F.lower(F.lit(platform) if isinstance(platform, str) else platform)
+        out = df.join(best, (F.lower(F.col(name_col).cast("string")) == F.col("_name")) & (own == F.col("_on")), "left")
+        out = out.withColumn(out_col, F.col("_hit.brand"))
+        if details:
+            out = (out.withColumn("matched_pattern", F.col("_hit.pattern"))
+                   .withColumn("matched_priority", F.col("_hit.priority")))
+        return out.drop("_name", "_on", "_hit")
+
+
+def infer_rules(names: DataFrame, name_col: str, platform: str | Column, keywords: dict) -> DataFrame:
     """Keyword-based rule inference: for each brand, the first of its keywords
     (in list order) contained in a lower-cased name gives the rule
-    (brand, platform, %keyword%). Output is the distinct rule set.
+    (brand, platform, %keyword%). Output is the distinct rule set. ``platform`` is a
+    literal or a column of ``names``.
 
     ``keywords`` is a small dict parameter; the work is one projection and
     one distinct over the names, so it scales with the names table.
@@ -245,8 +120,9 @@ def infer_rules(names: DataFrame, name_col: str, platform: str, keywords: dict)
             first = F.when(cond, F.lit(k)) if first is None else first.when(cond, F.lit(k))
         per_brand.append(F.struct(F.lit(brand).alias("brand"), first.alias("kw")))
     return (names.where(F.col(name_col).isNotNull())
-            .select(F.explode(F.array(*per_brand)).alias("h"))
+            .select((F.lit(platform) if isinstance(platform, str) else platform).alias("platform"),
+                    F.explode(F.array(*per_brand)).alias("h"))
             .where(F.col("h.kw").isNotNull())
-            .select(F.col("h.brand").alias("brand"), F.lit(platform).alias("platform"),
+            .select(F.col("h.brand").alias("brand"), "platform",
                     F.concat(F.lit("%"), F.col("h.kw"), F.lit("%")).alias("pattern"))
             .distinct())

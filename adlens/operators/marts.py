@@ -118,22 +118,22 @@ def branded_search_metrics(matrix: DataFrame, label_col: str, token: str, month_
                            ) -> DataFrame:
     """Wide label x period matrix to long monthly rows.
 
-    Every label containing ``token`` counts (sum, null when all null); a
-    period column that is absent gives null. No matching label gives no rows.
+    ``month_columns`` gives the month of every period column; columns of one month
+    are added up. Every label containing ``token`` counts (sum, null when all
+    null); a period column that is absent gives null. No matching label gives no rows.
     """
     rows = matrix.where(F.lower(F.col(label_col).cast("string")).contains(token.lower()))
     cols = set(matrix.columns)
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c, m in month_columns.items():
-        v = to_num(F.col(f"`{c}`")) if c in cols else F.lit(None).cast("double")
-        aggs.append(sum_money(v).alias(f"m{len(aggs)}"))
-    wide = rows.agg(*aggs).where(F.col("_n") > 0)
-    pairs = F.array(*[F.struct(F.lit(m).alias("month_start"), F.col(f"m{i + 1}").alias("v"))
-                      for i, m in enumerate(month_columns.values())])
-    return (wide.select(F.explode(pairs).alias("p"))
-            .select(F.col("p.month_start").alias("month_start"), F.lit(brand_label).alias("brand"),
+    cells = F.array(*[F.struct(F.lit(m).alias("month_start"),
+                               (to_num(F.col(f"`{c}`")) if c in cols else F.lit(None).cast("double")).alias("v"))
+                      for c, m in month_columns.items()])
+    if not month_columns:
+        cells = F.array().cast("array<struct<month_start:string,v:double>>")
+    return (rows.select(F.explode(cells).alias("p")).groupBy(F.col("p.month_start").alias("month_start"))
+            .agg(sum_money("p.v").alias("v"))
+            .select("month_start", F.lit(brand_label).alias("brand"),
                     F.lit("google").alias("channel"), F.lit("branded_search_volume").alias("metric_name"),
-                    F.col("p.v").alias("metric_value"), F.lit("blended").alias("attribution_layer"),
+                    F.col("v").alias("metric_value"), F.lit("blended").alias("attribution_layer"),
                     F.lit(source_table).alias("source_table")))
 
 
@@ -187,20 +187,17 @@ def monthly_paid_spend(fact: DataFrame) -> DataFrame:
         .orderBy("month_start"))
 
 
-def spend_by_brand(rows: DataFrame, bmap, name_col: str, platform: str, spend_col: str,
-                   out_col: str) -> DataFrame:
-    """Spend per mapped brand on one platform (unmapped names excluded)."""
-    return (rows.select(bmap.brand_of(f"`{name_col}`", platform).alias("brand"),
-                        F.col(spend_col).alias("_s"))
-            .where(F.col("brand").isNotNull())
-            .groupBy("brand").agg(sum_money("_s").alias(out_col)))
+def spend_by_brand(rows: DataFrame, out_col: str) -> DataFrame:
+    """Spend per mapped brand of one platform's rows (unmapped names excluded)."""
+    return (rows.where(F.col("mapped_brand").isNotNull()).groupBy(F.col("mapped_brand").alias("brand"))
+            .agg(sum_money("spend").alias(out_col)))
 
 
-def spend_by_brand_combined(meta: DataFrame, google: DataFrame) -> DataFrame:
-    """Full outer combination of per-platform brand spend; missing side is 0."""
-    return (meta.join(google, "brand", "full")
-            .select("brand",
-                    F.coalesce("meta_spend_inr", F.lit(0.0)).alias("meta_spend_inr"),
-                    F.coalesce("google_spend_inr", F.lit(0.0)).alias("google_spend_inr"),
-                    (F.coalesce("meta_spend_inr", F.lit(0.0))
-                     + F.coalesce("google_spend_inr", F.lit(0.0))).alias("total_spend_inr")))
+def spend_by_brand_combined(rows: DataFrame) -> DataFrame:
+    """Spend per mapped brand on meta, on google and in total, in one pass over rows of
+    both channels; a missing side is 0."""
+    def side(channel: str) -> Column:
+        return F.coalesce(sum_money(F.when(F.col("channel") == channel, F.col("spend"))), F.lit(0.0))
+    return (rows.where(F.col("mapped_brand").isNotNull()).groupBy(F.col("mapped_brand").alias("brand"))
+            .agg(side("meta").alias("meta_spend_inr"), side("google").alias("google_spend_inr"))
+            .withColumn("total_spend_inr", F.col("meta_spend_inr") + F.col("google_spend_inr")))

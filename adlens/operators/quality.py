@@ -11,24 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import month_range
-
+# Texts of the issue and guardrail reports.
 MISSING_DETAIL = "Expected month-wise extract not received."
 PENDING_NOTE = "Expected month-wise extract not received yet."
 PENDING_ACTION = "Please share month-wise extract for this source and month."
+GUARDRAIL_OK = "No brand-map guardrail violations found."
+GUARDRAIL_EMPTY = "Brand map is empty; guardrails were skipped."
 
 
 def _lits(values):
     return F.array(*[F.lit(v) for v in values])
 
 
-def coverage_grid(found: DataFrame, sources: list, start: str, end: str) -> DataFrame:
-    """status available/missing for every (source_group, month) of the grid.
-    ``found`` has columns source_group, month."""
-    spark = found.sparkSession
-    grid = (spark.range(1)
-            .select(F.explode(_lits(sources)).alias("source_group"))
-            .select("source_group", F.explode(month_range(start, end)).alias("month")))
+def coverage_grid(found: DataFrame, sources: list, months: DataFrame) -> DataFrame:
+    """status available/missing for every source group and month of ``months``
+    (month_start). ``found`` has columns source_group, month."""
+    grid = months.select(F.explode(_lits(sources)).alias("source_group"), F.col("month_start").alias("month"))
     have = found.select("source_group", "month").distinct().withColumn("status", F.lit("available"))
     return (grid.join(have, ["source_group", "month"], "left")
             .select("source_group", "month", F.coalesce("status", F.lit("missing")).alias("status")))
@@ -102,40 +100,48 @@ def dq_issues(coverage: DataFrame, manifest: DataFrame | None = None,
     return out
 
 
-def guardrails(entities: DataFrame, bmap, focus: str, must_map: list, must_not_map: list,
-               rule_names=("must_map_to_focus", "must_not_map_to_focus")) -> DataFrame:
-    """Row-level mapping rules over (source, month_start, entity_name, platform):
-    a name containing a must-map token that does not map to the focus brand,
-    or a must-not-map token that does, is a violation. With no violation the
-    result is one ``ok`` row (decided lazily by an anti join, no action)."""
+def guardrails(entities: DataFrame, focus: str, must_map: list, must_not_map: list,
+               rule_names=("must_map_to_focus", "must_not_map_to_focus"), rules: DataFrame | None = None) -> DataFrame:
+    """Mapping rules over distinct (source, month_start, entity_name, mapped_brand) with their number
+    of rows: a name containing a must-map token that does not map to the focus brand, or a
+    must-not-map token that does, is a violation. Both rules are tested in one pass. With no
+    violation the result is one ``ok`` row; with an empty rule table (``rules``) it is one
+    ``warning`` row, as nothing can be mapped. Both are decided lazily, without an action."""
     name = F.coalesce(F.col("entity_name").cast("string"), F.lit(""))
-    e = entities.select("source", F.col("month_start").cast("string").alias("month_start"),
-                        name.alias("entity_name"),
-                        bmap.brand_of("entity_name", platform_sql="platform").alias("mapped_brand"))
-    e = e.withColumn("_low", F.lower("entity_name"))
+    e = (entities.select("source", F.col("month_start").cast("string").alias("month_start"),
+                         name.alias("entity_name"), "mapped_brand")
+         .groupBy("source", "month_start", "entity_name", "mapped_brand").agg(F.count(F.lit(1)).alias("n_rows")))
 
     def has(toks):
         cond = F.lit(False)
         for t in toks:
-            cond = cond | F.col("_low").contains(t.lower())
+            cond = cond | F.lower("entity_name").contains(t.lower())
         return cond
-    r1 = e.where(has(must_map) & ~F.coalesce(F.col("mapped_brand") == focus, F.lit(False))).select(
-        F.lit(rule_names[0]).alias("rule"), "source", "month_start", "entity_name", "mapped_brand",
-        F.lit("violation").alias("status"),
-        F.lit(f"Entity contains {'/'.join(must_map)} but did not map to {focus}.").alias("details"))
-    r2 = e.where(has(must_not_map) & F.coalesce(F.col("mapped_brand") == focus, F.lit(False))).select(
-        F.lit(rule_names[1]).alias("rule"), "source", "month_start", "entity_name", "mapped_brand",
-        F.lit("violation").alias("status"),
-        F.lit(f"Entity contains {'/'.join(must_not_map)} but mapped to {focus}.").alias("details"))
-    v = r1.unionByName(r2)
-    spark = entities.sparkSession
-    ok = spark.range(1).select(
-        F.lit("all").alias("rule"), F.lit("").alias("source"), F.lit("").alias("month_start"),
-        F.lit("").alias("entity_name"), F.lit(None).cast("string").alias("mapped_brand"),
-        F.lit("ok").alias("status"), F.lit("No brand-map guardrail violations found.").alias("details"),
-        F.lit(1).alias("_k"))
-    ok = ok.join(F.broadcast(v.select(F.lit(1).alias("_k")).limit(1)), "_k", "left_anti").drop("_k")
-    return v.unionByName(ok)
+    on_focus = F.coalesce(F.col("mapped_brand") == focus, F.lit(False))
+
+    def broken(cond, rule: str, details: str):
+        return F.when(cond, F.struct(F.lit(rule).alias("rule"), F.lit(details).alias("details")))
+    both = F.array_compact(F.array(
+        broken(has(must_map) & ~on_focus, rule_names[0],
+               f"Entity contains {'/'.join(must_map)} but did not map to {focus}."),
+        broken(has(must_not_map) & on_focus, rule_names[1], f"Entity contains {'/'.join(must_not_map)} but mapped to {focus}.")))
+    v = e.withColumn("v", F.explode(both)).select("v.rule", "source", "month_start", "entity_name", "mapped_brand",
+                                                  F.lit("violation").alias("status"), "v.details", "n_rows")
+    one = entities.sparkSession.range(1).select(F.lit(1).alias("_k"))
+
+    def note(status: str, details: str):
+        return one.select(F.lit("all").alias("rule"), F.lit("").alias("source"), F.lit("").alias("month_start"),
+                          F.lit("").alias("entity_name"), F.lit(None).cast("string").alias("mapped_brand"),
+                          F.lit(status).alias("status"), F.lit(details).alias("details"),
+                          F.lit(0).cast("long").alias("n_rows"), "_k")
+    some = v.select(F.lit(1).alias("_k")).limit(1)
+    ok = note("ok", GUARDRAIL_OK).join(some, "_k", "left_anti")
+    if rules is None:
+        return v.unionByName(ok.drop("_k"))
+    known = rules.select(F.lit(1).alias("_k")).limit(1)
+    keep = lambda df: df.withColumn("_k", F.lit(1)).join(known, "_k", "left_semi").drop("_k")
+    return (keep(v).unionByName(keep(ok.drop("_k")))
+            .unionByName(note("warning", GUARDRAIL_EMPTY).join(known, "_k", "left_anti").drop("_k")))
 
 
 def duplicate_keys(df: DataFrame, keys: list) -> DataFrame:
@@ -163,16 +169,26 @@ def sanity_bounds(df: DataFrame, bounds: dict, by: list) -> DataFrame:
 
 
 def layer_completeness(fact: DataFrame, expected: list) -> DataFrame:
-    """(month, channel, layer) that should exist and do not: every month of
-    the fact crossed with the expected (channel, layer) pairs (a literal
-    array), minus the present triples (left anti join)."""
-    months = fact.select("month_start").distinct()
+    """(month, channel, layer) that should exist and do not: per month of the fact,
+    the expected (channel, layer) pairs (a literal array) without those present."""
     pairs = F.array(*[F.struct(F.lit(c).alias("channel"), F.lit(l).alias("attribution_layer"))
                       for c, l in expected])
-    want = months.select("month_start", F.explode(pairs).alias("p")).select(
-        "month_start", "p.channel", "p.attribution_layer")
-    have = fact.select("month_start", "channel", "attribution_layer").distinct()
-    return want.join(have, ["month_start", "channel", "attribution_layer"], "left_anti")
+    have = fact.groupBy("month_start").agg(F.collect_set(F.struct("channel", "attribution_layer")).alias("_have"))
+    return (have.select("month_start", F.explode(F.array_except(pairs, F.col("_have"))).alias("p"))
+            .select("month_start", "p.channel", "p.attribution_layer"))
+
+
+def gap_issues(coverage: DataFrame, fixed: list) -> DataFrame:
+    """The issues of coverage gaps, and the awaited files they and ``fixed`` stand for, in one pass:
+    the same rows as ``dq_issues(coverage, pending_rows(coverage, fixed))``."""
+    def issue(kind: str, detail: str):
+        return F.struct(F.lit(kind).alias("issue_type"), F.lit(detail).alias("details"))
+    both = F.array(issue("missing_source_month", MISSING_DETAIL), issue("awaited_file", PENDING_ACTION))
+    gaps = (coverage.where(F.col("status") == "missing").select("source_group", "month", F.explode(both).alias("i"))
+            .select("i.issue_type", "source_group", F.col("month").alias("month_start"), F.lit("high").alias("severity"),
+                    "i.details"))
+    rows = [("awaited_file", group, month, "high", action) for _, group, month, _, action in fixed]
+    return gaps.unionByName(coverage.sparkSession.createDataFrame(rows, gaps.schema)) if rows else gaps
 
 
 def missing_columns(df: DataFrame, required: list) -> list:

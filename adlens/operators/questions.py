@@ -1,10 +1,10 @@
 """The twelve canned business questions as DataFrame functions.
 
-Inputs are the campaign reports (``meta`` and ``google`` frames with
-columns ``campaign``, ``spend``, ``month_start``) and the monthly paid-spend
-view. Top-n is clamped to 1..50 as in the original question service; a
-top-n question is ``orderBy(desc).limit(n)``, which plans as one
-TakeOrderedAndProject (per-partition top-n, then a merge of n rows each).
+Inputs are the campaign reports (columns ``channel``, ``campaign``, ``spend``,
+``month_start``, ``mapped_brand``) and the monthly paid-spend view. A top-n
+question is ``orderBy(desc).limit(n)``, which plans as one
+TakeOrderedAndProject (per-partition top-n, then a merge of n rows each); n is
+taken as given.
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from adlens.functions.numeric import sum_money
 from adlens.operators.marts import spend_by_brand, spend_by_brand_combined
 
-MAX_TOP_N = 50
 
-
-def clamp_n(n: int) -> int:
-    return max(1, min(int(n), MAX_TOP_N))
+def _top(df: DataFrame, by: str, n: int) -> DataFrame:
+    if n < 1:
+        raise ValueError("n must be 1 or more")
+    return df.orderBy(F.desc(by)).limit(n)
 
 
 def named_campaigns(df: DataFrame, month: str | None = None) -> DataFrame:
@@ -29,33 +29,24 @@ def named_campaigns(df: DataFrame, month: str | None = None) -> DataFrame:
     return out.where(F.col("month_start") == month) if month else out
 
 
-def brand_spend(rows: DataFrame, bmap, platform: str, n: int = 10) -> DataFrame:
+def brand_spend(rows: DataFrame, n: int = 10) -> DataFrame:
     """Top brands by spend on one platform (brand_spend_meta / _google)."""
-    out = spend_by_brand(rows, bmap, "campaign", platform, "spend", "spend_inr")
-    return out.orderBy(F.desc("spend_inr")).limit(clamp_n(n))
-
-
-def brand_spend_combined(meta: DataFrame, google: DataFrame, bmap, n: int = 10) -> DataFrame:
-    m = spend_by_brand(meta, bmap, "campaign", "meta", "spend", "meta_spend_inr")
-    g = spend_by_brand(google, bmap, "campaign", "google", "spend", "google_spend_inr")
-    return spend_by_brand_combined(m, g).orderBy(F.desc("total_spend_inr")).limit(clamp_n(n))
+    return _top(spend_by_brand(rows, "spend_inr"), "spend_inr", n)
 
 
-def _by_campaign(df: DataFrame, month: str | None) -> DataFrame:
-    return (named_campaigns(df, month).groupBy("campaign")
-            .agg(sum_money("spend").alias("spend_inr")))
+def brand_spend_combined(rows: DataFrame, n: int = 10) -> DataFrame:
+    """Top brands by spend over rows of both channels."""
+    return _top(spend_by_brand_combined(rows), "total_spend_inr", n)
 
 
 def top_campaigns(df: DataFrame, n: int = 10, month: str | None = None) -> DataFrame:
-    return _by_campaign(df, month).orderBy(F.desc("spend_inr")).limit(clamp_n(n))
+    return _top(named_campaigns(df, month).groupBy("campaign").agg(sum_money("spend").alias("spend_inr")), "spend_inr", n)
 
 
-def top_campaigns_combined(meta: DataFrame, google: DataFrame, n: int = 10,
-                           month: str | None = None) -> DataFrame:
-    u = (_by_campaign(meta, month).select(F.lit("meta").alias("channel"), "campaign", "spend_inr")
-         .unionAll(_by_campaign(google, month)
-                   .select(F.lit("google").alias("channel"), "campaign", "spend_inr")))
-    return u.orderBy(F.desc("spend_inr")).limit(clamp_n(n))
+def top_campaigns_combined(rows: DataFrame, n: int = 10, month: str | None = None) -> DataFrame:
+    """Top campaigns of both channels: one pass, grouped by channel and name."""
+    return _top(named_campaigns(rows, month).groupBy("channel", "campaign").agg(sum_money("spend").alias("spend_inr")),
+                "spend_inr", n)
 
 
 def total_spend_month(paid: DataFrame, month: str, scope: str) -> DataFrame:
@@ -74,12 +65,10 @@ def total_spend(df: DataFrame, channel: str) -> DataFrame:
                   F.count(F.lit(1)).alias("campaign_count"))
 
 
-def total_spend_combined(meta: DataFrame, google: DataFrame) -> DataFrame:
+def total_spend_combined(rows: DataFrame) -> DataFrame:
     """meta, google and combined rows in one aggregate: grouping sets
-    ((channel), ()) over the union, so each report is scanned once."""
-    u = (meta.select(F.lit("meta").alias("channel"), "spend")
-         .unionAll(google.select(F.lit("google").alias("channel"), "spend")))
-    g = (u.rollup("channel").agg(sum_money("spend").alias("spend_inr"),
-                                 F.count(F.lit(1)).alias("campaign_count")))
+    ((channel), ()) over one scan of both reports."""
+    g = (rows.rollup("channel").agg(sum_money("spend").alias("spend_inr"),
+                                    F.count(F.lit(1)).alias("campaign_count")))
     return g.select(F.coalesce("channel", F.lit("combined")).alias("channel"),
                     "spend_inr", "campaign_count")

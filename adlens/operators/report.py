@@ -7,10 +7,10 @@ shuffles here move months x channels, not raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.functions.dates import month_label, month_range
+from adlens.functions.dates import month_label
 from adlens.functions.metrics import iroas_with_floor, pct, safe_div
 from adlens.functions.numeric import money, resum
 
@@ -25,11 +25,6 @@ def _zero(c):
     return F.coalesce(c, F.lit(0.0))
 
 
-def month_frame(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """One row per month from start to end (a parameter, not data)."""
-    return spark.range(1).select(F.explode(month_range(start, end)).alias("month_start"))
-
-
 def budget_split(fact: DataFrame, months: DataFrame) -> DataFrame:
     """Capture vs generation platform spend per month of ``months`` (missing
     months and objectives are 0) with both shares of the month total."""

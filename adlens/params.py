@@ -56,7 +56,6 @@ EXPORT_BRAND_KEYWORDS = {
     "Hearty": ["hearty", "heartyk"],
     "Meowsi": ["meowsi"],
     "NutriMeow": ["nutrimeow", "nutri meow"],
-    "HUFT Treats": ["huft treats", "hufttreats", "huft treat"],
 }
 
 EXPORT_MONTHS = ["2025-12", "2026-01", "2026-02"]
@@ -155,5 +154,5 @@ DRIVER_PARAMS = Params(
     must_map_tokens=["hot"], must_not_map_tokens=["plate"],
     keywords={"Hot": ["hot", "warm"], "Cold": ["cold", "cool"], "Metal": ["rod", "bolt", "gear"]},
     channel_labels={"blinkit": "blinkit_cpass", "instamart": "instamart_cpass"},
-    key_aliases={"hot_rod_brand_1": "hot_rod"},
+    key_aliases={"hot_gizmo": "hot_gear"},
 )

@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.functions.text import lower_or_unknown
-from adlens.operators.fact import conversion_fact, objective_from_type, stage
+from adlens.operators.fact import conversion_fact, objective_from_type
 from adlens.operators.mapping import BrandMap
 from adlens.params import DRIVER_PARAMS, Params
 from adlens.sources import tables
 
+BOTH = ("platform", "shopify")
+PLATFORM = ("platform",)
+
+
+def _in_months(day: str, months: list | None) -> Column:
+    """Days of the given ``yyyy-MM`` months as plain date ranges, which reach the scan."""
+    hit = F.lit(True) if not months else F.lit(False)
+    for m in months or []:
+        start = F.to_date(F.lit(m + "-01"))
+        hit = hit | ((F.col(day) >= start) & (F.col(day) < F.add_months(start, 1)))
+    return hit
+
 
 class Driver:
     """Builds the marketing shapes over one scale-factor folder."""
@@ -29,129 +41,138 @@ class Driver:
     def table(self, name: str) -> DataFrame:
         return tables.read(self.spark, self.sf_dir, name)
 
-    def focus_part_filter(self):
-        return tables.part_filter_for(self.bmap, self.p.focus_brand)
+    @cached_property
+    def part(self) -> DataFrame:
+        """part with the winning rules of its name."""
+        return tables.mapped_part(self.spark, self.sf_dir, self.bmap)
+
+    def _is_focus(self, rule: str) -> Column:
+        return F.coalesce(F.col(rule)["brand"] == self.p.focus_brand, F.lit(False))
+
+    def focus_part(self, layers=BOTH) -> DataFrame:
+        """Parts of the focus brand, before any join: by name for the platform layer; for the store layer
+        also by the other UTM texts of meta."""
+        if "shopify" not in layers:
+            return self.part.where(self._is_focus("p_name_google") | self._is_focus("p_name_meta"))
+        pt = tables.mapped_part(self.spark, self.sf_dir, self.bmap, ("p_name", "p_brand", "p_type"))
+        hit = self._is_focus("p_name_meta") | self._is_focus("p_brand_meta") | self._is_focus("p_type_meta")
+        return pt.withColumn("meta_hit", hit).where(hit | self._is_focus("p_name_google"))
 
     # -- raw export shapes ---------------------------------------------------
+    def raw_platform_rows(self) -> DataFrame:
+        """Ad rows without a brand."""
+        return tables.platform_rows(self.spark, self.sf_dir)
+
     def platform_rows(self, focus_only: bool = False) -> DataFrame:
-        return tables.platform_rows(self.spark, self.sf_dir,
-                                    self.focus_part_filter() if focus_only else None)
+        rows = tables.platform_rows(self.spark, self.sf_dir, self.focus_part(PLATFORM) if focus_only else self.part)
+        return rows.where(F.col("mapped_brand") == self.p.focus_brand) if focus_only else rows
 
     def store_rows(self, focus_only: bool = False) -> DataFrame:
-        return tables.store_rows(self.spark, self.sf_dir,
-                                 self.focus_part_filter() if focus_only else None)
-
-    def campaigns(self, channel: str) -> DataFrame:
-        """Raw campaign report of one ad channel, all brands, spend > 0."""
-        return self.platform_rows().where((F.col("channel") == channel) & (F.col("spend") > 0))
+        """Store lines; focus_only keeps those whose UTM campaign maps to the focus brand."""
+        rows = tables.store_rows(self.spark, self.sf_dir, self.focus_part(PLATFORM) if focus_only else self.part)
+        return rows.where(F.col("campaign_brand") == self.p.focus_brand) if focus_only else rows
+
+    def campaigns(self, *channels: str) -> DataFrame:
+        """Raw campaign report of the given ad channels, all brands, spend > 0."""
+        return self.platform_rows().where(F.col("channel").isin(*channels) & (F.col("spend") > 0))
+
+    def measures(self) -> DataFrame:
+        """Channel, month and measures of all ad rows. No campaign text is needed, so part isn't read."""
+        flag = F.col("l_returnflag")
+        channel = F.when(flag == "A", "google").when(flag == "R", "meta").when(flag == "N", "blinkit")
+        return self.table("lineitem").select(
+            channel.alias("channel"), F.date_format("l_shipdate", "yyyy-MM").alias("month_start"),
+            (F.col("l_extendedprice") * F.col("l_discount")).alias("spend"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+            F.col("l_quantity").alias("orders"), (F.col("l_quantity") * 100).alias("impressions"),
+            (F.col("l_quantity") * 60).alias("reach"), (F.col("l_quantity") * F.col("l_linenumber")).alias("clicks"))
+
+    def spend_rows(self, *channels: str) -> DataFrame:
+        """Spend of the campaign reports of the given channels."""
+        return (self.measures().select("channel", "month_start", "spend")
+                .where(F.col("channel").isin(*channels) & (F.col("spend") > 0)))
+
+    def months(self) -> DataFrame:
+        """Every month from the first to the last of the ad and store data."""
+        days = (self.table("lineitem").select(F.col("l_shipdate").alias("day"))
+                .unionAll(self.table("orders").select("o_orderdate")))
+        span = days.agg(F.trunc(F.min("day"), "month").alias("lo"), F.max("day").alias("hi"))
+        return (span.where("lo is not null")
+                .select(F.explode(F.sequence("lo", F.to_date("hi"), F.expr("interval 1 month"))).alias("m"))
+                .select(F.date_format("m", "yyyy-MM").alias("month_start")))
 
     # -- staged frames ---------------------------------------------------------
-    def staged_platform(self, focus_only: bool = True, period=None) -> DataFrame:
-        rows = self.platform_rows(focus_only)
-        ch = F.col("channel")
-        return stage(
-            rows, month=period if period is not None else "month_start", channel="channel",
-            sub_channel=F.when(ch == "google", lower_or_unknown("campaign_type"))
-            .when(ch == "meta", F.lit("d2c")).otherwise(F.lit("cpa")),
-            objective=F.when(ch == "google",
-                             objective_from_type("campaign_type", self.p.generation_tokens))
-            .when(ch == "meta", F.lit("demand_generation")).otherwise(F.lit("demand_capture")),
-            layer=F.lit("platform"), source_table="source_table",
-            brand=self.bmap.brand_of("campaign_name", platform_sql="platform"),
-            spend="spend", revenue="revenue", orders="orders")
-
-    def staged_platform_rows_for(self, channel: str):
-        """Platform rows of one channel whose campaign maps to the focus brand."""
-        rows = self.platform_rows(True)
-        return rows.where((F.col("channel") == channel)
-                          & (self.bmap.brand_of("campaign_name", platform_sql="platform")
-                             == self.p.focus_brand))
-
-    def meta_store_hit(self):
-        """A meta store row counts for the focus brand when any UTM field maps to it."""
-        hit = F.lit(False)
-        for c in ("utm_content", "utm_campaign", "utm_medium"):
-            hit = hit | F.coalesce(self.bmap.brand_of(c, "meta") == self.p.focus_brand,
-                                   F.lit(False))
-        return hit
-
-    def staged_store(self, focus_only: bool = True, period=None) -> DataFrame:
-        rows = self.store_rows(focus_only)
-        ch = F.col("channel")
-        brand = (F.when(ch == "google", self.bmap.brand_of("utm_campaign", "google"))
-                 .when((ch == "meta") & self.meta_store_hit(), F.lit(self.p.focus_brand)))
-        return stage(
-            rows, month=period if period is not None else "month_start", channel="channel",
-            sub_channel=F.when(ch == "google", lower_or_unknown("utm_medium")).otherwise(F.lit("d2c")),
-            objective=F.when(ch == "google", F.lit("demand_capture"))
-            .otherwise(F.lit("demand_generation")),
-            layer=F.lit("shopify"),
-            source_table=F.when(ch == "google", F.lit("google_shopify_monthly"))
-            .otherwise(F.lit("meta_shopify_sales_monthly")),
-            brand=brand, spend=None, revenue="revenue", orders="orders")
-
-    def staged_both(self, period: str = "month", max_day: int | None = None) -> DataFrame:
-        """Both layers from ONE pass: lineitem joined once to the focus-filtered
-        part and to orders; every joined row yields a platform-layer and a
-        store-layer staged row (explode of a two-element array), which the
-        fact aggregates map-side. The big table is scanned once, not once per
-        layer."""
-        li = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
-            "l_returnflag", "l_shipdate")
-        pt = self.table("part").select("p_partkey", "p_name", "p_brand", "p_type") \
-            .where(self.focus_part_filter())
-        od = self.table("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-        j = (li.join(pt, F.col("l_partkey") == F.col("p_partkey"))
-             .join(od, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
-        def per(c):
-            if period == "week":
-                return F.date_format(F.date_trunc("week", F.col(c)), "yyyy-MM-dd")
-            return F.date_format(c, "yyyy-MM")
-        flag, pr = F.col("l_returnflag"), F.col("o_orderpriority")
-        pch = F.when(flag == "A", "google").when(flag == "R", "meta").when(flag == "N", "blinkit")
-        sch = F.when(pr.isin("1-URGENT", "2-HIGH"), "google").when(pr == "3-MEDIUM", "meta") \
-            .otherwise("direct")
+    def _platform_row(self, period: str, max_day: int | None) -> Column:
+        flag, ptype = F.col("l_returnflag"), F.col("p_type")
+        channel = F.when(flag == "A", "google").when(flag == "R", "meta").when(flag == "N", "blinkit")
         if max_day is not None:
-            # like-for-like window: both sources cut to the same days of the month
-            pch = F.when(F.dayofmonth("l_shipdate") <= max_day, pch)
-            sch = F.when(F.dayofmonth("o_orderdate") <= max_day, sch)
-        ptype = F.col("p_type")
-        plat = F.struct(
-            per("l_shipdate").alias("month_start"), pch.alias("channel"),
-            F.when(pch == "google", lower_or_unknown(ptype)).when(pch == "meta", F.lit("d2c"))
+            channel = F.when(F.dayofmonth("l_shipdate") <= max_day, channel)
+        return F.struct(
+            self._period("l_shipdate", period).alias("month_start"), channel.alias("channel"),
+            F.when(channel == "google", lower_or_unknown(ptype)).when(channel == "meta", F.lit("d2c"))
             .otherwise(F.lit("cpa")).alias("sub_channel"),
-            F.when(pch == "google", objective_from_type(ptype, self.p.generation_tokens))
-            .when(pch == "meta", F.lit("demand_generation")).otherwise(F.lit("demand_capture"))
+            F.when(channel == "google", objective_from_type(ptype, self.p.generation_tokens))
+            .when(channel == "meta", F.lit("demand_generation")).otherwise(F.lit("demand_capture"))
             .alias("objective_class"),
             F.lit("platform").alias("attribution_layer"),
             F.when(flag == "A", "google_ads_campaigns_monthly").when(flag == "R", "meta_d2c_adset_monthly")
             .when(flag == "N", "meta_blinkit_monthly").alias("source_table"),
-            F.when(flag == "A", self.bmap.brand_of("p_name", "google"))
-            .otherwise(self.bmap.brand_of("p_name", "meta")).alias("mapped_brand"),
+            F.when(flag == "A", F.col("p_name_google.brand")).otherwise(F.col("p_name_meta.brand")).alias("mapped_brand"),
             (F.col("l_extendedprice") * F.col("l_discount")).alias("spend"),
             (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
             F.col("l_quantity").cast("double").alias("orders"))
-        meta_hit = F.lit(False)
-        for c in ("p_brand", "upper(p_name)", "lower(p_type)"):
-            meta_hit = meta_hit | F.coalesce(self.bmap.brand_of(c, "meta") == self.p.focus_brand,
-                                             F.lit(False))
-        store = F.struct(
-            per("o_orderdate").alias("month_start"), sch.alias("channel"),
-            F.when(sch == "google", lower_or_unknown(F.lower(ptype))).otherwise(F.lit("d2c"))
-            .alias("sub_channel"),
-            F.when(sch == "google", F.lit("demand_capture")).otherwise(F.lit("demand_generation"))
-            .alias("objective_class"),
+
+    def _store_row(self, period: str, max_day: int | None) -> Column:
+        prio, ptype = F.col("o_orderpriority"), F.col("p_type")
+        channel = F.when(prio.isin("1-URGENT", "2-HIGH"), "google").when(prio == "3-MEDIUM", "meta").otherwise("direct")
+        if max_day is not None:
+            channel = F.when(F.dayofmonth("o_orderdate") <= max_day, channel)
+        return F.struct(
+            self._period("o_orderdate", period).alias("month_start"), channel.alias("channel"),
+            F.when(channel == "google", lower_or_unknown(F.lower(ptype))).otherwise(F.lit("d2c")).alias("sub_channel"),
+            F.when(channel == "google", F.lit("demand_capture")).otherwise(F.lit("demand_generation")).alias("objective_class"),
             F.lit("shopify").alias("attribution_layer"),
-            F.when(sch == "google", F.lit("google_shopify_monthly"))
+            F.when(channel == "google", F.lit("google_shopify_monthly"))
             .otherwise(F.lit("meta_shopify_sales_monthly")).alias("source_table"),
-            F.when(sch == "google", self.bmap.brand_of("upper(p_name)", "google"))
-            .when((sch == "meta") & meta_hit, F.lit(self.p.focus_brand)).alias("mapped_brand"),
+            # a meta row counts for the focus brand when any UTM text maps to it
+            F.when(channel == "google", F.col("p_name_google.brand"))
+            .when((channel == "meta") & F.col("meta_hit"), F.lit(self.p.focus_brand)).alias("mapped_brand"),
             F.lit(None).cast("double").alias("spend"),
             F.col("l_extendedprice").alias("revenue"), F.lit(1.0).alias("orders"))
-        return (j.select(F.explode(F.array(plat, store)).alias("r")).select("r.*")
-                .where(F.col("channel").isNotNull()))
 
-    def fact(self, sort: bool = False, period: str = "month", max_day: int | None = None) -> DataFrame:
-        return conversion_fact([self.staged_both(period, max_day)], self.p.focus_brand,
-                               self.p.brand_label, self.p.months, sort=sort)
+    @staticmethod
+    def _period(day: str, period: str) -> Column:
+        if period == "week":
+            return F.date_format(F.date_trunc("week", F.col(day)), "yyyy-MM-dd")
+        return F.date_format(day, "yyyy-MM")
+
+    def staged(self, layers=BOTH, period: str = "month", max_day: int | None = None,
+               months: list | None = None) -> list[DataFrame]:
+        """Staged rows of the focus brand for the layers asked for, and nothing else: the platform layer
+        never touches orders. Both layers without a month filter come from one pass: lineitem joined once
+        to part and to orders, and every row turned into a platform and a store row, which the fact
+        aggregates map-side. ``max_day`` cuts both sources to the same days of the month; ``months``
+        reach the scans as date ranges, so then each layer reads its own."""
+        li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
+                                           "l_returnflag", "l_shipdate")
+        od = self.table("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+        on_part, on_order = F.col("l_partkey") == F.col("p_partkey"), F.col("l_orderkey") == F.col("o_orderkey")
+        rows = {"platform": self._platform_row(period, max_day), "shopify": self._store_row(period, max_day)}
+        if set(layers) == set(BOTH) and not months:
+            joined = li.join(self.focus_part(layers), on_part).join(od, on_order, "left")
+            frames = [joined.select(F.explode(F.array(*rows.values())).alias("r"))]
+        else:
+            frames = []
+            if "platform" in layers:
+                frames.append(li.where(_in_months("l_shipdate", months)).join(self.focus_part(PLATFORM), on_part)
+                              .select(rows["platform"].alias("r")))
+            if "shopify" in layers:
+                frames.append(li.join(self.focus_part(), on_part).join(od.where(_in_months("o_orderdate", months)), on_order)
+                              .select(rows["shopify"].alias("r")))
+        return [f.select("r.*").where(F.col("channel").isNotNull()) for f in frames]
+
+    def fact(self, sort: bool = False, period: str = "month", max_day: int | None = None, layers=BOTH,
+             months: list | None = None) -> DataFrame:
+        months = months or self.p.months
+        return conversion_fact(self.staged(layers, period, max_day, months), self.p.focus_brand,
+                               self.p.brand_label, months, sort=sort)

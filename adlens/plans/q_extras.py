@@ -8,19 +8,19 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from adlens.functions.dates import add_months_str
 from adlens.functions.metrics import TAX_FACTOR, pct, safe_div
 from adlens.functions.numeric import resum, sum_money
 from adlens.operators import marts, tabs
 from adlens.plans import sql as S
 from adlens.plans.catalog import query
-from adlens.plans.driver import Driver
+from adlens.plans.driver import PLATFORM, Driver
 from adlens.plans.q_core import EXEC_SQL, RECON_SQL
 from adlens.plans.q_report import GEN_SQL_PARTS, _new_vs_repeat
 from adlens.plans.q_tabs import TAB2
 
 LIKE_FOR_LIKE_DAY = 27
 CPA_LOW, CPA_HIGH = 70.0, 80.0
-PLAN_FACTOR = 0.9
 FILTER_CHANNELS = ["google", "meta"]
 
 
@@ -62,7 +62,7 @@ SELECT month_start, channel, sub_channel, objective_class, spend, revenue,
 FROM fact WHERE attribution_layer = 'platform'""")
 def tax_adjusted_roas(d: Driver):
     """Platform spend with tax and the tax-adjusted ROAS."""
-    f = d.fact().where(F.col("attribution_layer") == "platform")
+    f = d.fact(layers=PLATFORM)
     return f.select("month_start", "channel", "sub_channel", "objective_class", "spend", "revenue",
                     (F.col("spend") * TAX_FACTOR).alias("spend_with_tax"),
                     safe_div(F.col("revenue"), F.col("spend") * TAX_FACTOR).alias("roas_tax_adjusted"))
@@ -80,18 +80,25 @@ def channel_filtered_summary(d: Driver):
 @query("budget_variance", S.BASE + f"""
 , act AS (SELECT month_start, channel, {S.resum("spend")} AS actual_spend
           FROM fact WHERE attribution_layer = 'platform' GROUP BY 1, 2),
-pln AS (SELECT month_start, channel, round(actual_spend * {PLAN_FACTOR}, 2) AS planned_spend FROM act)
+pln AS (SELECT strftime(CAST(month_start || '-01' AS DATE) + INTERVAL 12 MONTH, '%Y-%m') AS month_start, channel,
+               actual_spend AS planned_spend FROM act)
 SELECT a.month_start, a.channel, p.planned_spend, a.actual_spend,
        a.actual_spend - p.planned_spend AS variance,
        (a.actual_spend - p.planned_spend) / NULLIF(p.planned_spend, 0) * 100 AS variance_pct
 FROM act a LEFT JOIN pln p ON p.month_start = a.month_start AND p.channel = a.channel""")
 def budget_variance(d: Driver):
-    """Planned vs actual platform spend per month and channel (plan = 0.9 x actual, rounded)."""
-    act = (d.fact().where(F.col("attribution_layer") == "platform").groupBy("month_start", "channel")
-           .agg(resum("spend").alias("actual_spend")))
-    plan = act.select("month_start", "channel",
-                      F.round(F.col("actual_spend") * PLAN_FACTOR, 2).alias("planned_spend"))
-    j = act.join(plan, ["month_start", "channel"], "left")
+    """Planned vs actual platform spend per month and channel; the plan is the spend of the same month
+    a year before. Every month's spend is its own actual and the plan of a later month, so one
+    aggregate does both."""
+    act = d.fact(layers=PLATFORM).groupBy("month_start", "channel").agg(resum("spend").alias("spend"))
+    none = F.lit(None).cast("double")
+    both = F.array(
+        F.struct("month_start", F.col("spend").alias("actual_spend"), none.alias("planned_spend")),
+        F.struct(add_months_str("month_start", 12).alias("month_start"), none.alias("actual_spend"),
+                 F.col("spend").alias("planned_spend")))
+    j = (act.select("channel", F.explode(both).alias("b")).groupBy(F.col("b.month_start").alias("month_start"), "channel")
+         .agg(F.max("b.actual_spend").alias("actual_spend"), F.max("b.planned_spend").alias("planned_spend"))
+         .where(F.col("actual_spend").isNotNull()))
     var = F.col("actual_spend") - F.col("planned_spend")
     return j.select("month_start", "channel", "planned_spend", "actual_spend", var.alias("variance"),
                     pct(var, F.col("planned_spend")).alias("variance_pct"))
@@ -110,7 +117,7 @@ SELECT sp.month_start, paid_spend, new_customers, repeat_customers,
 FROM sp LEFT JOIN cu ON cu.month_start = sp.month_start""")
 def cost_per_new_customer(d: Driver):
     """Platform spend per new and per repeat store customer, by month."""
-    sp = (d.fact().where(F.col("attribution_layer") == "platform").groupBy("month_start")
+    sp = (d.fact(layers=PLATFORM).groupBy("month_start")
           .agg(resum("spend").alias("paid_spend")))
     nvr = _new_vs_repeat(d)
     cu = nvr.groupBy("month_start").agg(
@@ -150,7 +157,7 @@ def brand_spend_monthly(d: Driver):
     """Spend by month, platform and mapped brand (month-filtered brand questions)."""
     rows = d.platform_rows().where(F.col("channel").isin("meta", "google") & (F.col("spend") > 0))
     m = rows.select("month_start", "platform",
-                    d.bmap.brand_of("campaign_name", platform_sql="platform").alias("brand"), "spend")
+                    F.col("mapped_brand").alias("brand"), "spend")
     return (m.where(F.col("brand").isNotNull()).groupBy("month_start", "platform", "brand")
             .agg(sum_money("spend").alias("spend_inr")))
 
@@ -164,7 +171,7 @@ SELECT month_start, channel, spend, impressions, clicks, reach,
 FROM t""")
 def weighted_rates(d: Driver):
     """Volume-weighted CTR, CPM, CPC and frequency per month and channel (sums, then ratios)."""
-    t = (d.platform_rows().groupBy("month_start", "channel").agg(
+    t = (d.measures().groupBy("month_start", "channel").agg(
         sum_money("spend").alias("spend"), sum_money("impressions").alias("impressions"),
         sum_money("clicks").alias("clicks"), sum_money("reach").alias("reach")))
     return t.select("month_start", "channel", "spend", "impressions", "clicks", "reach",
@@ -195,7 +202,7 @@ FROM plat WHERE channel = 'meta' GROUP BY ROLLUP (mapped_brand, campaign_type, c
 def adset_rollup(d: Driver):
     """Ad set -> campaign -> brand spend roll-up (ROLLUP, one aggregate)."""
     rows = d.platform_rows().where(F.col("channel") == "meta").select(
-        d.bmap.brand_of("campaign_name", "meta").alias("brand"),
+        F.col("mapped_brand").alias("brand"),
         F.col("campaign_type").alias("campaign"), F.col("campaign_name").alias("adset"), "spend")
     return (rows.rollup("brand", "campaign", "adset")
             .agg(sum_money("spend").alias("spend"), F.grouping_id().cast("int").alias("level")))
@@ -218,7 +225,7 @@ r AS (SELECT channel, month_start, spend, revenue, revenue / NULLIF(spend, 0) AS
 SELECT *, delta_revenue / NULLIF(delta_spend, 0) AS marginal_roas FROM r""")
 def spend_response(d: Driver):
     """Per channel, months ordered by spend level: ROAS and marginal ROAS between levels."""
-    t = (d.fact().where(F.col("attribution_layer") == "platform").groupBy("channel", "month_start")
+    t = (d.fact(layers=PLATFORM).groupBy("channel", "month_start")
          .agg(resum("spend").alias("spend"), resum("revenue").alias("revenue")))
     w = Window.partitionBy("channel").orderBy("spend", "month_start")
     r = t.select("channel", "month_start", "spend", "revenue", safe_div("revenue", "spend").alias("roas"),

@@ -21,16 +21,13 @@ tagged AS (
 
 
 def _names(d: Driver):
-    return d.platform_rows().select("platform", "campaign_name").distinct()
+    return d.raw_platform_rows().select("platform", "campaign_name").distinct()
 
 
 @query("brand_mapping", S.BASE + MATCH + " SELECT platform, campaign_name, mapped_brand FROM tagged")
 def brand_mapping(d: Driver):
-    """Mapped brand per distinct (platform, campaign name): names are deduplicated
-    first, then the first-match rule expression runs once per name."""
-    n = _names(d)
-    return n.select("platform", "campaign_name",
-                    d.bmap.brand_of("campaign_name", platform_sql="platform").alias("mapped_brand"))
+    """Mapped brand per distinct (platform, campaign name)."""
+    return d.platform_rows().select("platform", "campaign_name", "mapped_brand").distinct()
 
 
 @query("brand_mapping_with_pattern", S.BASE + MATCH + """
@@ -38,7 +35,7 @@ SELECT platform, campaign_name, mapped_brand, matched_pattern, matched_priority,
        mapped_brand IS NOT NULL AS brand_specific FROM tagged""")
 def brand_mapping_with_pattern(d: Driver):
     """Winning rule (brand, pattern, priority) per name and the brand-specific flag."""
-    t = audit.brand_tagging(_names(d), d.bmap, "campaign_name", "platform")
+    t = audit.brand_tagging(d.platform_rows().select("platform", "campaign_name", "rule").distinct())
     return t.select("platform", "campaign_name", F.col("brand").alias("mapped_brand"),
                     "matched_pattern", "matched_priority", "brand_specific")
 
@@ -46,9 +43,8 @@ def brand_mapping_with_pattern(d: Driver):
 @query("brand_mapping_join", S.BASE + MATCH + """
 SELECT platform, campaign_name, mapped_brand, matched_pattern, matched_priority FROM tagged""")
 def brand_mapping_join(d: Driver):
-    """The same mapping through the join strategy (rule table joined on platform
-    with the LIKE test, best hit by max_by, joined back)."""
-    return d.bmap.map_join(_names(d), "campaign_name", "platform")
+    """The same mapping attached to the distinct names of the ad rows."""
+    return d.bmap.attach(_names(d), "campaign_name", F.col("platform"), details=True)
 
 
 @query("brand_spend", S.BASE + """
@@ -62,11 +58,7 @@ SELECT coalesce(msb.brand, gsb.brand) AS brand, coalesce(meta_spend_inr, 0) AS m
 FROM msb FULL OUTER JOIN gsb ON msb.brand = gsb.brand""")
 def brand_spend(d: Driver):
     """Spend by mapped brand on each platform and combined (all brands)."""
-    m = marts.spend_by_brand(d.campaigns("meta"), d.bmap, "campaign_name", "meta", "spend",
-                             "meta_spend_inr")
-    g = marts.spend_by_brand(d.campaigns("google"), d.bmap, "campaign_name", "google", "spend",
-                             "google_spend_inr")
-    return marts.spend_by_brand_combined(m, g)
+    return marts.spend_by_brand_combined(d.campaigns("meta", "google"))
 
 
 def _kw_sql() -> str:
@@ -84,13 +76,9 @@ SELECT DISTINCT brand, platform, '%' || kw || '%' AS pattern FROM (""" + " UNION
 @query("keyword_inference", _kw_sql())
 def keyword_inference(d: Driver):
     """Rules inferred from keywords: first keyword of each brand found in a name."""
-    rows = d.platform_rows()
-    out = None
-    for ch in ("meta", "google"):
-        names = rows.where(F.col("channel") == ch).select("campaign_name").distinct()
-        r = infer_rules(names, "campaign_name", ch, d.p.keywords)
-        out = r if out is None else out.unionByName(r)
-    return out.distinct()
+    names = (d.raw_platform_rows().where(F.col("channel").isin("meta", "google"))
+             .select("campaign_name", "channel").distinct())
+    return infer_rules(names, "campaign_name", F.col("channel"), d.p.keywords)
 
 
 @query("brand_tagging", S.BASE + """
@@ -102,7 +90,7 @@ SELECT source_table, brand, matched_pattern, brand IS NOT NULL AS brand_specific
 FROM t GROUP BY 1, 2, 3, 4""")
 def brand_tagging(d: Driver):
     """Rows tagged with the winning pattern, totals per source x brand x pattern."""
-    t = audit.brand_tagging(d.platform_rows(), d.bmap, "campaign_name", "platform")
+    t = audit.brand_tagging(d.platform_rows())
     return audit.brand_totals(t, ["source_table", "brand", "matched_pattern", "brand_specific"],
                               ["spend", "revenue"])
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from adlens.functions.numeric import sum_money
 from adlens.operators import audit, quality
 from adlens.params import EXPORT_MONTHLY_SOURCES
 from adlens.plans import sql as S
 from adlens.plans.catalog import query
 from adlens.plans.driver import Driver
+from adlens.sources import files
 
-COV_START, COV_END = "1994-12", "2001-12"
 FIXED_PENDING = [("PENDING::total_revenue_by_channel::all", "total_revenue_by_channel", "all",
                   "Pending total revenue by month across channels.",
                   "Share the monthly total revenue file.")]
@@ -31,10 +32,10 @@ def _found(d: Driver):
 
 
 def _coverage(d: Driver):
-    return quality.coverage_grid(_found(d), EXPORT_MONTHLY_SOURCES, COV_START, COV_END)
+    return quality.coverage_grid(_found(d), EXPORT_MONTHLY_SOURCES, d.months())
 
 
-COV_SQL = S.with_ctes(S.months(COV_START, COV_END)) + """
+COV_SQL = S.with_ctes(S.MONTHS) + """
 , found AS (
   SELECT DISTINCT CASE l_returnflag WHEN 'A' THEN 'google_ads_campaign' WHEN 'R' THEN 'meta_d2c_adset'
                   WHEN 'N' THEN 'meta_blinkit' END AS source_group, strftime(l_shipdate, '%Y-%m') AS month
@@ -69,9 +70,7 @@ UNION ALL
 SELECT 'awaited_file', source_group, parsed_month, 'high', action_required FROM pend""")
 def dq_issues(d: Driver):
     """Missing source-months and awaited files (coverage gaps plus a fixed pending file)."""
-    cov = _coverage(d)
-    pend = quality.pending_rows(cov, FIXED_PENDING)
-    return quality.dq_issues(cov, pend)
+    return quality.gap_issues(_coverage(d), FIXED_PENDING)
 
 
 @query("manifest_pending", COV_SQL + f"""
@@ -86,33 +85,33 @@ def manifest_pending(d: Driver):
 
 def _entities(d: Driver):
     return d.platform_rows().select(F.col("source_table").alias("source"), "platform", "month_start",
-                                    F.col("campaign_name").alias("entity_name"))
+                                    F.col("campaign_name").alias("entity_name"), "mapped_brand")
 
 
 GUARD_SQL = S.BASE + f"""
-, e AS (SELECT source_table AS source, month_start, coalesce(campaign_name, '') AS entity_name, mapped_brand
-        FROM plat),
+, e AS (SELECT source_table AS source, month_start, coalesce(campaign_name, '') AS entity_name, mapped_brand, count(*) AS n_rows
+        FROM plat GROUP BY 1, 2, 3, 4),
 v AS (
   SELECT 'must_map_to_focus' AS rule, source, month_start, entity_name, mapped_brand, 'violation' AS status,
-         'Entity contains {'/'.join(S.P.must_map_tokens)} but did not map to {S.FOCUS}.' AS details
+         'Entity contains {'/'.join(S.P.must_map_tokens)} but did not map to {S.FOCUS}.' AS details, n_rows
   FROM e WHERE ({" OR ".join(f"lower(entity_name) LIKE '%{t}%'" for t in S.P.must_map_tokens)})
     AND NOT coalesce(mapped_brand = '{S.FOCUS}', false)
   UNION ALL
   SELECT 'must_not_map_to_focus', source, month_start, entity_name, mapped_brand, 'violation',
-         'Entity contains {'/'.join(S.P.must_not_map_tokens)} but mapped to {S.FOCUS}.'
+         'Entity contains {'/'.join(S.P.must_not_map_tokens)} but mapped to {S.FOCUS}.', n_rows
   FROM e WHERE ({" OR ".join(f"lower(entity_name) LIKE '%{t}%'" for t in S.P.must_not_map_tokens)})
     AND coalesce(mapped_brand = '{S.FOCUS}', false))
 SELECT * FROM v
 UNION ALL
-SELECT 'all', '', '', '', NULL, 'ok', 'No brand-map guardrail violations found.'
+SELECT 'all', '', '', '', NULL, 'ok', '{quality.GUARDRAIL_OK}', 0
 WHERE NOT EXISTS (SELECT 1 FROM v)"""
 
 
 @query("guardrails", GUARD_SQL)
 def guardrails(d: Driver):
-    """Row-level brand-map guardrails; one ok row when nothing is violated."""
-    return quality.guardrails(_entities(d), d.bmap, d.p.focus_brand, d.p.must_map_tokens,
-                              d.p.must_not_map_tokens)
+    """Brand-map guardrails per name and month; one ok row when nothing is violated."""
+    return quality.guardrails(_entities(d), d.p.focus_brand, d.p.must_map_tokens, d.p.must_not_map_tokens,
+                              rules=d.bmap.rules)
 
 
 def _conf_sql(col: str) -> str:
@@ -132,7 +131,7 @@ cand AS (SELECT * FROM ea WHERE signal AND mapped_brand IS DISTINCT FROM '{S.FOC
 
 
 def _audit(d: Driver):
-    ents = audit.audit_entities([_entities(d)], d.bmap, d.p.high_tokens, d.p.low_tokens,
+    ents = audit.audit_entities([_entities(d)], d.p.high_tokens, d.p.low_tokens,
                                 d.p.signal_regex)
     return audit.audit_candidates(ents, d.p.focus_brand)
 
@@ -155,7 +154,7 @@ SELECT month_start, channel, campaign_name, attribution_setting, count(*) AS n_r
 FROM plat GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""")
 def duplicate_keys(d: Driver):
     """Curated keys that repeat (ad rows per month, channel, campaign, setting)."""
-    return quality.duplicate_keys(d.platform_rows(),
+    return quality.duplicate_keys(d.raw_platform_rows(),
                                   ["month_start", "channel", "campaign_name", "attribution_setting"])
 
 
@@ -167,7 +166,7 @@ NULL_KEYS = ["month_start", "channel", "campaign_name", "campaign_type", "attrib
     for k in NULL_KEYS))
 def null_keys(d: Driver):
     """Null counts per required key column (one scan)."""
-    return quality.null_keys(d.platform_rows(), NULL_KEYS)
+    return quality.null_keys(d.raw_platform_rows(), NULL_KEYS)
 
 
 BOUNDS = {"spend": (0.0, 5000.0), "revenue": (0.0, 100000.0), "orders": (1.0, 50.0)}
@@ -178,7 +177,7 @@ BOUNDS = {"spend": (0.0, 5000.0), "revenue": (0.0, 100000.0), "orders": (1.0, 50
     for c, (lo, hi) in BOUNDS.items()) + " FROM plat GROUP BY channel")
 def sanity_bounds(d: Driver):
     """Rows outside sanity bounds per channel for spend, revenue and orders."""
-    return quality.sanity_bounds(d.platform_rows(), BOUNDS, ["channel"])
+    return quality.sanity_bounds(d.measures(), BOUNDS, ["channel"])
 
 
 EXPECTED_LAYERS = [("google", "platform"), ("google", "shopify"), ("meta", "platform"),
@@ -206,11 +205,8 @@ SELECT month_start, l_linestatus, count(*) AS n_rows,
 FROM li WHERE is_revised OR month_start NOT IN (SELECT month_start FROM rev)
 GROUP BY 1, 2""")
 def prefer_revised(d: Driver):
-    """Per month, revised rows (status F) replace the legacy ones when present."""
-    from adlens.sources.files import prefer_revised as pr
-    li = d.table("lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("month_start"),
-                                    "l_linestatus", "l_extendedprice")
-    kept = pr(li, "month_start", F.col("l_linestatus") == "F")
-    from adlens.functions.numeric import sum_money
-    return kept.groupBy("month_start", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n_rows"), sum_money("l_extendedprice").alias("amount"))
+    """Per month, revised rows (status F) replace the legacy ones when present. Whether a row is
+    revised depends on its status, so the choice is made on the sums per month and status."""
+    by = (d.table("lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month_start"), "l_linestatus")
+          .agg(F.count(F.lit(1)).alias("n_rows"), sum_money("l_extendedprice").alias("amount")))
+    return files.prefer_revised(by, "month_start", F.col("l_linestatus") == "F")

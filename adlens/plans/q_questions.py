@@ -29,29 +29,30 @@ sb AS (SELECT coalesce(msb.brand, gsb.brand) AS brand, coalesce(meta_spend_inr,
 NAMED = "WHERE campaign IS NOT NULL AND trim(campaign) <> '' AND trim(campaign) <> '--'"
 
 
-def _camps(d: Driver, channel: str):
-    return d.campaigns(channel).select(F.col("campaign_name").alias("campaign"), "spend", "month_start")
+def _camps(d: Driver, *channels: str):
+    return d.campaigns(*channels).select("channel", F.col("campaign_name").alias("campaign"), "spend", "month_start",
+                                         "mapped_brand")
 
 
 @query("ask_brand_spend_meta", S.BASE + BRANDS + f"""
 SELECT brand, meta_spend_inr AS spend_inr FROM msb ORDER BY spend_inr DESC LIMIT {TOP_N}""")
 def ask_brand_spend_meta(d: Driver):
     """Top brands by Meta spend."""
-    return Q.brand_spend(_camps(d, "meta"), d.bmap, "meta", TOP_N)
+    return Q.brand_spend(_camps(d, "meta"), TOP_N)
 
 
 @query("ask_brand_spend_google", S.BASE + BRANDS + f"""
 SELECT brand, google_spend_inr AS spend_inr FROM gsb ORDER BY spend_inr DESC LIMIT {TOP_N}""")
 def ask_brand_spend_google(d: Driver):
     """Top brands by Google spend."""
-    return Q.brand_spend(_camps(d, "google"), d.bmap, "google", TOP_N)
+    return Q.brand_spend(_camps(d, "google"), TOP_N)
 
 
 @query("ask_brand_spend_combined", S.BASE + BRANDS + f"""
 SELECT * FROM sb ORDER BY total_spend_inr DESC LIMIT {TOP_N}""")
 def ask_brand_spend_combined(d: Driver):
     """Top brands by Meta + Google spend (missing side counts 0)."""
-    return Q.brand_spend_combined(_camps(d, "meta"), _camps(d, "google"), d.bmap, TOP_N)
+    return Q.brand_spend_combined(_camps(d, "meta", "google"), TOP_N)
 
 
 @query("ask_top_campaigns_meta", S.BASE + CAMPAIGNS + f"""
@@ -72,7 +73,7 @@ def ask_top_campaigns_google(d: Driver):
         SELECT 'google', campaign, {S.dsum("spend")} FROM gc {NAMED} GROUP BY 1, 2)
 SELECT channel, campaign, spend_inr FROM u ORDER BY spend_inr DESC LIMIT {TOP_N}""")
 def ask_top_campaigns_combined(d: Driver):
-    return Q.top_campaigns_combined(_camps(d, "meta"), _camps(d, "google"), TOP_N)
+    return Q.top_campaigns_combined(_camps(d, "meta", "google"), TOP_N)
 
 
 PAID = S.BASE + """
@@ -86,31 +87,31 @@ PAID = S.BASE + """
 @query("ask_total_spend_meta_month", PAID + f"""
 SELECT month_start, meta_spend_inr AS spend_inr FROM paid WHERE month_start = '{MONTH}'""")
 def ask_total_spend_meta_month(d: Driver):
-    return Q.total_spend_month(marts.monthly_paid_spend(d.fact()), MONTH, "meta")
+    return Q.total_spend_month(marts.monthly_paid_spend(d.fact(months=[MONTH])), MONTH, "meta")
 
 
 @query("ask_total_spend_google_month", PAID + f"""
 SELECT month_start, google_spend_inr AS spend_inr FROM paid WHERE month_start = '{MONTH}'""")
 def ask_total_spend_google_month(d: Driver):
-    return Q.total_spend_month(marts.monthly_paid_spend(d.fact()), MONTH, "google")
+    return Q.total_spend_month(marts.monthly_paid_spend(d.fact(months=[MONTH])), MONTH, "google")
 
 
 @query("ask_total_spend_combined_month", PAID + f"""
 SELECT month_start, meta_spend_inr, google_spend_inr, total_spend_inr FROM paid WHERE month_start = '{MONTH}'""")
 def ask_total_spend_combined_month(d: Driver):
-    return Q.total_spend_month(marts.monthly_paid_spend(d.fact()), MONTH, "combined")
+    return Q.total_spend_month(marts.monthly_paid_spend(d.fact(months=[MONTH])), MONTH, "combined")
 
 
 @query("ask_total_spend_meta", S.BASE + CAMPAIGNS + f"""
 SELECT 'meta' AS channel, {S.dsum("spend")} AS spend_inr, count(*) AS campaign_count FROM mc""")
 def ask_total_spend_meta(d: Driver):
-    return Q.total_spend(_camps(d, "meta"), "meta")
+    return Q.total_spend(d.spend_rows("meta"), "meta")
 
 
 @query("ask_total_spend_google", S.BASE + CAMPAIGNS + f"""
 SELECT 'google' AS channel, {S.dsum("spend")} AS spend_inr, count(*) AS campaign_count FROM gc""")
 def ask_total_spend_google(d: Driver):
-    return Q.total_spend(_camps(d, "google"), "google")
+    return Q.total_spend(d.spend_rows("google"), "google")
 
 
 @query("ask_total_spend_combined", S.BASE + CAMPAIGNS + f"""
@@ -122,4 +123,4 @@ UNION ALL
 SELECT 'combined', {S.resum("spend_inr")}, CAST(SUM(campaign_count) AS BIGINT) FROM totals""")
 def ask_total_spend_combined(d: Driver):
     """Meta, Google and combined spend and row counts (one grouping-sets aggregate)."""
-    return Q.total_spend_combined(_camps(d, "meta"), _camps(d, "google"))
+    return Q.total_spend_combined(d.spend_rows("meta", "google"))

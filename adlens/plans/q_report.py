@@ -8,19 +8,14 @@ from adlens.operators import marts, report, tabs
 from adlens.params import EXPORT_CUSTOMER_BUCKETS
 from adlens.plans import sql as S
 from adlens.plans.catalog import query
-from adlens.plans.driver import Driver
+from adlens.plans.driver import PLATFORM, Driver
 from adlens.sources import tables
 
-# Report window: every month of the data plus an empty month on each side.
-REPORT_START, REPORT_END = "1994-12", "2001-12"
-# Wide search matrix: week columns present in the matrix, and the picked
-# columns (one of them absent) with the period each stands for.
-SEARCH_WEEKS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29"]
-SEARCH_PICK = {"2024-01-08": "2024-01-08", "2024-01-15": "2024-01-15", "2024-02-05": "2024-02-05"}
+# Labels of the wide search matrix that count as branded search.
 SEARCH_TOKEN = "r"
 
 
-@query("budget_split", S.BASE + f", {S.months(REPORT_START, REPORT_END)}" + f"""
+@query("budget_split", S.BASE + f", {S.MONTHS}" + f"""
 , byo AS (
   SELECT month_start,
     {S.resum("CASE WHEN objective_class = 'demand_capture' THEN spend END")} AS cap,
@@ -34,7 +29,7 @@ SELECT month_start, demand_capture, demand_generation, demand_capture + demand_g
 FROM j""")
 def budget_split(d: Driver):
     """Capture vs generation platform spend per report month (gaps are 0) and shares."""
-    return report.budget_split(d.fact(), report.month_frame(d.spark, REPORT_START, REPORT_END))
+    return report.budget_split(d.fact(layers=PLATFORM), d.months())
 
 
 @query("objective_totals", S.BASE + f"""
@@ -45,7 +40,7 @@ SELECT objective_class, spend, revenue, orders, revenue / NULLIF(spend, 0) AS ro
   spend / NULLIF(CAST(SUM(CAST(spend AS DECIMAL(38,4))) OVER () AS DOUBLE), 0) * 100 AS spend_share
 FROM t""")
 def objective_totals(d: Driver):
-    return report.objective_totals(d.fact())
+    return report.objective_totals(d.fact(layers=PLATFORM))
 
 
 @query("capture_by_channel", S.BASE + f"""
@@ -58,7 +53,7 @@ SELECT channel, spend, revenue, orders, revenue / NULLIF(spend, 0) AS roas,
   spend / NULLIF(CAST(SUM(CAST(spend AS DECIMAL(38,4))) OVER () AS DOUBLE), 0) * 100 AS spend_share
 FROM t""")
 def capture_by_channel(d: Driver):
-    return report.capture_by_channel(d.fact())
+    return report.capture_by_channel(d.fact(layers=PLATFORM))
 
 
 @query("generation_by_month", S.BASE + f"""
@@ -68,7 +63,7 @@ def capture_by_channel(d: Driver):
         GROUP BY month_start)
 SELECT month_start, spend, revenue, orders, revenue / NULLIF(spend, 0) AS roas FROM t""")
 def generation_by_month(d: Driver):
-    return report.generation_by_month(d.fact())
+    return report.generation_by_month(d.fact(layers=PLATFORM))
 
 
 @query("iroas_by_objective", S.BASE + f"""
@@ -84,7 +79,7 @@ SELECT objective_class,
 FROM dl WHERE prev_month IS NOT NULL""")
 def iroas_by_objective(d: Driver):
     """Month-over-month iROAS per objective, null under the spend-change floor."""
-    return report.iroas_by_objective(d.fact(), d.p.iroas_floor)
+    return report.iroas_by_objective(d.fact(layers=PLATFORM), d.p.iroas_floor)
 
 
 @query("spend_cut_iroas", S.BASE + f"""
@@ -99,7 +94,7 @@ SELECT *, from_spend - to_spend AS spend_cut, from_revenue - to_revenue AS reven
 FROM dl WHERE to_spend < from_spend""")
 def spend_cut_iroas(d: Driver):
     """Months where a channel's platform spend fell, with the iROAS of the cut."""
-    return report.spend_cut_iroas(d.fact())
+    return report.spend_cut_iroas(d.fact(layers=PLATFORM))
 
 
 # -- demand generation -------------------------------------------------------
@@ -116,8 +111,9 @@ def _engagement(d: Driver):
 
 
 def _search(d: Driver):
-    m = tables.search_matrix(d.spark, d.sf_dir, SEARCH_WEEKS)
-    return marts.branded_search_metrics(m, "label", SEARCH_TOKEN, SEARCH_PICK, d.p.brand_label)
+    weeks = tables.event_weeks(d.spark, d.sf_dir)
+    m = tables.search_matrix(d.spark, d.sf_dir, weeks)
+    return marts.branded_search_metrics(m, "label", SEARCH_TOKEN, {w: w[:7] for w in weeks}, d.p.brand_label)
 
 
 def _new_vs_repeat(d: Driver):
@@ -141,11 +137,10 @@ wk AS (
 hits AS (SELECT * FROM wk WHERE lower(label) LIKE '%{SEARCH_TOKEN}%'),
 search_long AS (
   SELECT p.month_start, '{S.LABEL}' AS brand, 'google' AS channel, 'branded_search_volume' AS metric_name,
-         (SELECT {S.dsum("n")} FROM hits WHERE hits.week = p.col) AS metric_value,
+         (SELECT {S.dsum("n")} FROM hits WHERE left(hits.week, 7) = p.month_start) AS metric_value,
          'blended' AS attribution_layer, 'brand_search_google_raw' AS source_table
-  FROM (VALUES {", ".join(f"('{c}', '{m}', {int(c in SEARCH_WEEKS)})" for c, m in SEARCH_PICK.items())})
-       p(col, month_start, present)
-  WHERE EXISTS (SELECT 1 FROM events WHERE lower(event_type) LIKE '%{SEARCH_TOKEN}%')),
+  FROM (SELECT DISTINCT left(week, 7) AS month_start FROM wk) p
+  WHERE EXISTS (SELECT 1 FROM hits)),
 first AS (SELECT o_custkey, min(o_orderdate) AS first_day FROM orders GROUP BY o_custkey),
 cdays AS (
   SELECT strftime(o.o_orderdate, '%Y-%m-%d') AS day,
@@ -172,7 +167,7 @@ def demand_generation_long(d: Driver):
 
 @query("search_unpivot", S.BASE + GEN_SQL_PARTS + " SELECT * FROM search_long")
 def search_unpivot(d: Driver):
-    """Wide label x week matrix: labels containing the token, picked weeks to long rows."""
+    """Wide label x week matrix: labels containing the token, every week's column to monthly rows."""
     return _search(d)
 
 
@@ -202,12 +197,11 @@ SIGNAL_SQL = ", ".join(
     for n, c, m in SIGNAL_CELLS)
 
 
-@query("generation_signals", S.BASE + GEN_SQL_PARTS + f", {S.months(REPORT_START, REPORT_END)}" + f"""
+@query("generation_signals", S.BASE + GEN_SQL_PARTS + f", {S.MONTHS}" + f"""
 , piv AS (SELECT month_start, {SIGNAL_SQL} FROM gen GROUP BY month_start)
 SELECT m.month_start, {", ".join("piv." + n for n, _, _ in SIGNAL_CELLS)}
 FROM months m LEFT JOIN piv ON piv.month_start = m.month_start""")
 def generation_signals(d: Driver):
     """Report months x selected (channel, metric) sums; months without data are null."""
     gen = marts.demand_generation([_engagement(d), _search(d), _new_vs_repeat(d)], sort=False)
-    return report.generation_signals(gen, report.month_frame(d.spark, REPORT_START, REPORT_END),
-                                     SIGNAL_CELLS)
+    return report.generation_signals(gen, d.months(), SIGNAL_CELLS)

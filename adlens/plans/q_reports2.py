@@ -25,11 +25,10 @@ SELECT *, abs(gap) / NULLIF(CAST(SUM(CAST(abs(gap) AS DECIMAL(38,4))) OVER () AS
 FROM j""")
 def order_gap_by_type(d: Driver):
     """Platform vs store orders per campaign type (full outer), gap and share of absolute gap."""
-    p = (d.staged_platform_rows_for("google")
+    p = (d.platform_rows(True).where(F.col("channel") == "google")
          .groupBy(F.lower("campaign_type").alias("campaign_type"))
          .agg(sum_money("orders").alias("platform_orders")))
-    s = (d.store_rows(True).where((F.col("channel") == "google")
-                                  & (d.bmap.brand_of("utm_campaign", "google") == d.p.focus_brand))
+    s = (d.store_rows(True).where(F.col("channel") == "google")
          .groupBy(F.lower("utm_medium").alias("campaign_type"))
          .agg(sum_money("orders").alias("store_orders")))
     j = p.join(s, "campaign_type", "full").select(
@@ -58,15 +57,12 @@ UNION ALL SELECT 'orders', brand, channel, s_orders, t_orders FROM j""")
 def brand_metric_long(d: Driver):
     """Metric x brand x channel with the platform value next to the store value (all brands)."""
     rows = d.platform_rows().where(F.col("channel").isin("google", "meta"))
-    src = (rows.select(d.bmap.brand_of("campaign_name", platform_sql="platform").alias("brand"),
-                       "channel", "spend", "revenue", "orders")
+    src = (rows.select(F.col("mapped_brand").alias("brand"), "channel", "spend", "revenue", "orders")
            .where(F.col("brand").isNotNull()).groupBy("brand", "channel")
            .agg(sum_money("spend").alias("s_spend"), sum_money("revenue").alias("s_revenue"),
                 sum_money("orders").alias("s_orders")))
     st = d.store_rows().where(F.col("channel").isin("google", "meta"))
-    sb = (F.when(F.col("channel") == "google", d.bmap.brand_of("utm_campaign", "google"))
-          .otherwise(d.bmap.brand_of("utm_campaign", "meta")))
-    sto = (st.select(sb.alias("brand"), "channel", "revenue", "orders").where(F.col("brand").isNotNull())
+    sto = (st.select(F.col("campaign_brand").alias("brand"), "channel", "revenue", "orders").where(F.col("brand").isNotNull())
            .groupBy("brand", "channel")
            .agg(sum_money("revenue").alias("t_revenue"), sum_money("orders").alias("t_orders")))
     j = src.join(sto, ["brand", "channel"], "full")

@@ -8,7 +8,7 @@ from adlens.operators import tabs
 from adlens.operators.fact import demand_capture
 from adlens.plans import sql as S
 from adlens.plans.catalog import query
-from adlens.plans.driver import Driver
+from adlens.plans.driver import PLATFORM, Driver
 
 L = S.relabel()
 
@@ -22,7 +22,7 @@ SELECT month_start, {L} AS channel, spend, month_spend_total,
        {S.div("spend", "month_spend_total")} * 100 AS channel_spend_pct FROM tot""")
 def spend_mix(d: Driver):
     """Platform spend mix per month with channel share (channel labels applied)."""
-    return tabs.spend_mix(d.fact(), d.p.channel_labels)
+    return tabs.spend_mix(d.fact(layers=PLATFORM), d.p.channel_labels)
 
 
 TAB2 = f"""
@@ -113,10 +113,8 @@ j AS (SELECT gp.*, gs.revenue_shopify_attribution FROM gp
             " + coalesce(revenue_shopify_attribution, 0) <> 0"))
 def campaign_drilldown(d: Driver):
     """Google campaigns of the focus brand: platform claims vs store revenue by campaign key."""
-    p = d.staged_platform_rows_for("google")
-    s = d.store_rows(True)
-    s = s.where((F.col("channel") == "google")
-                & (d.bmap.brand_of("utm_campaign", "google") == d.p.focus_brand))
+    p = d.platform_rows(True).where(F.col("channel") == "google")
+    s = d.store_rows(True).where(F.col("channel") == "google")
     return tabs.campaign_drilldown(
         p, s, name_col="campaign_name", type_col="campaign_type", spend_col="spend",
         revenue_col="revenue", orders_col="orders", store_key_col="utm_campaign",
@@ -141,10 +139,8 @@ j AS (SELECT gp.*, gs.revenue_shopify_attribution FROM gp
     nonzero="coalesce(paid_spend, 0) + coalesce(orders_platform, 0) + coalesce(revenue_paid_attribution, 0) <> 0"))
 def adset_drilldown(d: Driver):
     """Meta ad sets of the focus brand (by attribution setting) vs store revenue."""
-    p = d.staged_platform_rows_for("meta")
-    s = d.store_rows(True)
-    s = s.where((F.col("channel") == "meta")
-                & (d.bmap.brand_of("utm_campaign", "meta") == d.p.focus_brand))
+    p = d.platform_rows(True).where(F.col("channel") == "meta")
+    s = d.store_rows(True).where(F.col("channel") == "meta")
     return tabs.adset_drilldown(
         p, s, name_col="campaign_name", setting_col="attribution_setting", spend_col="spend",
         revenue_col="revenue", orders_col="orders", store_key_col="utm_campaign",
@@ -165,13 +161,10 @@ GROUP BY month_start, platform, source, campaign_name, mapped_brand, attribution
 HAVING coalesce({S.dsum("spend")}, 0) <> 0""")
 def campaign_brand_mapping(d: Driver):
     """Spend by campaign and mapped brand for Google campaigns and Meta ad sets."""
-    rows = d.platform_rows()
-    mapped = d.bmap.brand_of("campaign_name", platform_sql="platform")
-    g = rows.where(F.col("channel") == "google").select(
-        "month_start", F.lit("google").alias("platform"),
-        F.lit("google_ads_campaigns_monthly").alias("source"), "campaign_name",
-        mapped.alias("mapped_brand"), F.lit("").alias("attribution_setting"), "spend")
-    m = rows.where(F.col("channel") == "meta").select(
-        "month_start", F.lit("meta").alias("platform"), F.lit("meta_d2c_adset_monthly").alias("source"),
-        "campaign_name", mapped.alias("mapped_brand"), "attribution_setting", "spend")
-    return tabs.campaign_brand_mapping([g, m])
+    google = F.col("channel") == "google"
+    rows = d.platform_rows().where(F.col("channel").isin("google", "meta")).select(
+        "month_start", F.col("channel").alias("platform"),
+        F.when(google, "google_ads_campaigns_monthly").otherwise("meta_d2c_adset_monthly").alias("source"),
+        "campaign_name", "mapped_brand",
+        F.when(google, "").otherwise(F.col("attribution_setting")).alias("attribution_setting"), "spend")
+    return tabs.campaign_brand_mapping([rows])

@@ -164,9 +164,11 @@ def alias_key(expr: str) -> str:
     return f"CASE {expr} {arms} ELSE {expr} END" if arms else expr
 
 
-def months(start: str, end: str) -> str:
-    return (f"months AS (SELECT strftime(d, '%Y-%m') AS month_start FROM generate_series("
-            f"DATE '{start}-01', DATE '{end}-01', INTERVAL 1 MONTH) t(d))")
+# Every month from the first to the last of the data.
+MONTHS = """months AS (
+  SELECT strftime(unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)), '%Y-%m') AS month_start
+  FROM (SELECT min(CAST(d AS TIMESTAMP)) AS lo, max(CAST(d AS TIMESTAMP)) AS hi
+        FROM (SELECT l_shipdate AS d FROM lineitem UNION ALL SELECT o_orderdate FROM orders)))"""
 
 
 def dsum(expr: str) -> str:

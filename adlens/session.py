@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes, splits
@@ -40,19 +37,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
-
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset (local tests) a fresh scratch folder is created and registered.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        # Already registered (Spark adds a unique sub-folder on registration;
-        # registering again would move every later checkpoint elsewhere).
-        return current
-    d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="adlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    """Shared folder for checkpoints and stream state: ``spark.checkpoint.dir``. Machine-local
+    folders would not survive a lost executor, so there is no other default."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder

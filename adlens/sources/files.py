@@ -1,13 +1,13 @@
 """File sources and sinks for the original exports.
 
-* ``read_csv_strings``   header CSV, every column read as text (no inference:
-                          types must not depend on the file)
+* ``read_csv_strings``   header CSVs bound by column name, every column read as text
+                          (no inference: types must not depend on the file)
 * ``read_utf16_tsv``     UTF-16 tab-separated export with preamble rows
-* ``read_group``         many files of one source group in one read, with
-                          lineage (``source_file``) and month from the file name
+* ``read_group``         many files of one source group, with lineage
+                          (``source_file``) and month from the file name
 * ``prefer_revised``     per month, rows of revised files replace the others
 * ``manifest``           file listing (binaryFile metadata only) with source
-                          group, month, parseability and header preview
+                          group, month, parseability and header preview (first lines only)
 * ``write_partitioned``  parquet sink partitioned by month (dynamic overwrite)
 
 Column names are normalised to snake_case at this boundary when asked.
@@ -16,7 +16,9 @@ Column names are normalised to snake_case at this boundary when asked.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,61 +38,112 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake(c) for c in df.columns])
 
 
-def read_csv_strings(spark: SparkSession, paths, columns: list | None = None) -> DataFrame:
-    """Header CSV as all-string columns. With ``columns`` the schema is fixed
-    up front (no header pass); otherwise the header names are used."""
-    r = spark.read.option("header", True).option("multiLine", True).option("mode", "PERMISSIVE")
+def existing(spark: SparkSession, paths) -> list[str]:
+    """The files under ``paths`` (files, folders or globs); a path that doesn't exist has none."""
+    out: list[str] = []
+    for p in [paths] if isinstance(paths, str) else paths:
+        try:
+            out += [r.path for r in spark.read.format("binaryFile").load(p).select("path").collect()]
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+    return sorted(set(out))
+
+
+def _reader(spark: SparkSession, multi_line: bool):
+    return (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+            .option("multiLine", multi_line))
+
+
+def read_csv_strings(spark: SparkSession, paths, columns: list | None = None, multi_line: bool = False) -> DataFrame:
+    """Header CSVs as all-string columns, bound by name. Files may differ in their headers: those with
+    the same header are read together, and the reads are united by column name (a column that a
+    file lacks is null). ``columns`` picks columns in that order. A file is split among tasks unless
+    quoted line breaks are declared by ``multi_line``. Paths that don't exist count as empty. Every
+    row has its decoded path in ``source_file``."""
+    files = existing(spark, paths)
+    by_header: dict[tuple, list] = {}
+    with ThreadPoolExecutor(8) as pool:  # a small job per file, which reads its first line
+        headers = pool.map(lambda f: tuple(_reader(spark, multi_line).csv(f).columns), files)
+        for f, header in zip(files, headers, strict=True):
+            by_header.setdefault(header, []).append(f)
+    out = None
+    for header, own in by_header.items():
+        if not header:
+            continue
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        df = _reader(spark, multi_line).schema(schema).csv(own).select(
+            "*", F.url_decode(F.col("_metadata.file_path")).alias("source_file"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        out = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*(columns or []), "source_file"]))
     if columns:
-        r = r.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        have = set(out.columns)
+        out = out.select(*[F.col(f"`{c}`") if c in have else F.lit(None).cast("string").alias(c) for c in columns], "source_file")
+    return out
+
+
+def head_lines(spark: SparkSession, path: str, n: int = 3, most: int = 1 << 16) -> list[str]:
+    """The first ``n`` lines of a text file (each cut at ``most`` bytes), decoded by byte-order mark, as UTF-8
+    or else as Latin-1. Only the head of the file is read."""
+    rows = (spark.read.option("lineSep", "\n").text(path)
+            .select(F.substring(F.col("value").cast("binary"), 1, most).alias("line")).limit(n).collect())
+    raw = b"\n".join(bytes(r.line) for r in rows)
+    if raw[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        text = raw[:len(raw) // 2 * 2].decode("utf-16", "replace")
     else:
-        r = r.option("inferSchema", False)
-    return r.csv(paths)
-
-
-def read_tolerant(spark: SparkSession, paths: list, schema: T.StructType) -> DataFrame:
-    """Missing files give an empty frame of the schema instead of an error."""
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .option("ignoreMissingFiles", True).schema(schema).csv(paths))
-
-
-def read_utf16_tsv(spark: SparkSession, path: str, header: list, preamble_rows: int = 2) -> DataFrame:
-    """UTF-16 TSV export: two preamble lines, then the header, then rows.
-    Read positionally as text; preamble and header rows are dropped by value
-    (the header row repeats the first column name)."""
-    n = len(header)
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
-    df = (spark.read.option("encoding", "UTF-16").option("sep", "\t").option("multiLine", True)
-          .option("header", False).option("mode", "PERMISSIVE").schema(schema).csv(path))
-    df = df.toDF(*header)
-    first = header[0]
-    # Preamble lines carry one field only; the header line repeats the names.
-    body = df.where(~F.col(first).eqNullSafe(F.lit(first)))
-    return body.where(F.col(header[1]).isNotNull()) if preamble_rows and n > 1 else body
+        try:
+            text = raw.decode("utf-8-sig")
+        except UnicodeDecodeError:
+            text = raw.decode("latin-1")
+    return [x.rstrip("\r") for x in text.split("\n")][:n]
+
+
+def read_utf16_tsv(spark: SparkSession, path: str, preamble_rows: int = 2) -> DataFrame:
+    """UTF-16 TSV export: preamble lines, then the header, then rows, as text columns by the names of
+    the header. The preamble and the header are dropped by their content (a preamble line has one
+    field, whose text is known; a row with blank fields stays). Lines are found by their bytes, so a
+    file is split among tasks. The encoding is little-endian, as the exports have it."""
+    top = head_lines(spark, path, preamble_rows + 1)
+    if len(top) <= preamble_rows:
+        return spark.createDataFrame([], "source_file string")
+    header = [c.strip("\ufeff") for c in top[preamble_rows].split("\t")]
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+    df = (spark.read.option("encoding", "UTF-16LE").option("sep", "\t").option("lineSep", "\n")
+          .option("header", False).option("mode", "PERMISSIVE").schema(schema).csv(path)
+          .withColumn("source_file", F.url_decode(F.col("_metadata.file_path"))))
+    clean = [F.regexp_replace(F.col(f"_c{i}"), "^\ufeff|\r$", "").alias(c) for i, c in enumerate(header)]
+    df = df.select(*[F.when(c != "", c).alias(n) for c, n in zip(clean, header, strict=True)], "source_file")
+    same = F.lit(True)
+    for c in header:
+        same = same & F.col(f"`{c}`").eqNullSafe(F.lit(c if c else None))
+    rest_null = F.lit(True)
+    for c in header[1:]:
+        rest_null = rest_null & F.col(f"`{c}`").isNull()
+    intro = [x.strip("\ufeff") for x in top[:preamble_rows]]
+    first = F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))
+    preamble = rest_null & (first.isin(intro) if intro else F.lit(False))
+    return df.where(~same & ~preamble)
 
 
 def read_group(spark: SparkSession, paths, columns: list | None = None,
-               months: list | None = None) -> DataFrame:
-    """All files of a source group in one read, with ``source_file`` (decoded
-    path) and ``month_start`` from the file name; optional month filter."""
-    df = read_csv_strings(spark, paths, columns)
-    src = F.url_decode(F.col("_metadata.file_path"))
-    out = df.select("*", src.alias("source_file"),
-                    month_from_name(F.regexp_extract(src, r"([^/]*)$", 1)).alias("month_start"))
+               months: list | None = None, multi_line: bool = False) -> DataFrame:
+    """All files of a source group by column name, with ``source_file`` (decoded path) and
+    ``month_start`` from the file name; optional month filter."""
+    df = read_csv_strings(spark, paths, columns, multi_line)
+    out = df.withColumn("month_start", month_from_name(F.regexp_extract("source_file", r"([^/]*)$", 1)))
     return out.where(F.col("month_start").isin(list(months))) if months else out
 
 
 def prefer_revised(df: DataFrame, month_col: str, is_revised: Column) -> DataFrame:
     """Keep, per month, only the revised rows when the month has any; other
-    months keep all rows. The months that have revised rows are a distinct
-    set (at most one row per month), joined back with a left-semi/anti pair,
-    so no window spans a whole month of raw rows."""
-    flagged = df.withColumn("_rev", is_revised)
-    rev_months = flagged.where(F.col("_rev")).select(month_col).distinct()
-    keep_rev = flagged.where(F.col("_rev"))
-    no_rev = flagged.where(~F.col("_rev")).join(rev_months, month_col, "left_anti")
-    return keep_rev.unionByName(no_rev).drop("_rev")
+    months keep all rows. A null flag is no revision. Whether a month has any
+    is one grouped maximum (a row per month), joined back, so no window spans
+    a whole month of raw rows."""
+    flagged = df.withColumn("_rev", F.coalesce(is_revised, F.lit(False)))
+    has = flagged.groupBy(F.col(month_col).alias("_month")).agg(F.max("_rev").alias("_any"))
+    return (flagged.join(has, F.col(month_col).eqNullSafe(F.col("_month")))
+            .where(F.col("_rev") == F.col("_any")).drop("_rev", "_month", "_any"))
 
 
 def classify_source(path: Column, rules: list) -> Column:
@@ -111,25 +164,22 @@ def parseability(ext: Column):
     return ok, note
 
 
-def header_preview(content: Column, limit: int = 500) -> Column:
+def header_preview(lines: list[str], limit: int = 500) -> str:
     """First non-blank of the first three lines (the third when the first
-    names a campaign report); cut to ``limit`` characters. UTF-16 files are
-    decoded as UTF-16, others as UTF-8."""
-    head = F.substring(content, 1, 4096)
-    is16 = F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
-    text = F.when(is16, F.decode(head, "UTF-16")).otherwise(F.decode(head, "UTF-8"))
-    lines = F.split(F.regexp_replace(text, "\r", ""), "\n")
-    l0, l1, l2 = (F.trim(F.coalesce(F.get(lines, i), F.lit(""))) for i in range(3))
-    pick = (F.when(F.lower(l0).contains("campaign report") & (F.size(lines) >= 3), l2)
-            .when(l0 != "", l0).when(l1 != "", l1).otherwise(l2))
-    return F.substring(pick, 1, limit)
+    names a campaign report); cut to ``limit`` characters."""
+    l0, l1, l2 = ([x.strip() for x in lines] + ["", "", ""])[:3]
+    if "campaign report" in l0.lower() and len(lines) >= 3:
+        return l2[:limit]
+    return (l0 or l1 or l2)[:limit]
 
 
 def manifest(spark: SparkSession, root: str, rules: list, with_preview: bool = True) -> DataFrame:
     """One row per file under ``root``: path, group, extension, size, mtime,
-    month from the name, parseability and (optionally) header preview.
-    Only the first bytes of a file are used for the preview."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    month from the name, parseability and (optionally) header preview, for
+    which only the first lines of the CSV files are read. Files of no bytes are
+    not listed (the file source skips them)."""
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+          .select("path", "length", "modificationTime"))
     path = F.url_decode(F.col("path"))
     name = F.regexp_extract(path, r"([^/]*)$", 1)
     ext = F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1))
@@ -140,8 +190,12 @@ def manifest(spark: SparkSession, root: str, rules: list, with_preview: bool = T
             month_from_name(name).alias("parsed_month"), ok.alias("parseable_by_etl"),
             F.when(ext == "xlsx", "yes").otherwise("no").alias("needs_manual_xlsx_etl")]
     if with_preview:
-        cols.append(F.when(ext == "csv", header_preview(F.col("content"))).otherwise("")
-                    .alias("header_preview"))
+        files = [r.path for r in df.where(ext == "csv").select("path").collect()]  # file names, not data
+        with ThreadPoolExecutor(8) as pool:
+            heads = pool.map(lambda f: (f, header_preview(head_lines(spark, f))), files)
+            heads = spark.createDataFrame(list(heads), "path string, _preview string")
+        df = df.join(heads, "path", "left")
+        cols.append(F.coalesce("_preview", F.lit("")).alias("header_preview"))
     cols.append(note.alias("notes"))
     return df.select(*cols)
 

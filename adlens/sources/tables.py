@@ -29,16 +29,23 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-_READ_CACHE: dict = {}
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table of the folder."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table of the folder. The DataFrame (not its data) is reused per
-    session so the file listing and footer read happen once."""
-    key = (id(spark), sf_dir, name)
-    if key not in _READ_CACHE:
-        _READ_CACHE[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _READ_CACHE[key]
+def mapped_part(spark: SparkSession, sf_dir: str, bmap, texts=("p_name",)) -> DataFrame:
+    """part with the winning rule of each of ``texts`` on both platforms: columns
+    ``<text>_google`` and ``<text>_meta``, struct(brand, pattern, priority) or null.
+    Rules are tested once per distinct text of this dimension; the result travels
+    through the joins with the big tables."""
+    pt = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    names = pt.select(F.explode(F.array(*texts)).alias("name"))
+    best = bmap.wide(names, ("google", "meta"))
+    for c in texts:
+        own = best.select(F.col("name").alias("_n"), F.col("google").alias(f"{c}_google"), F.col("meta").alias(f"{c}_meta"))
+        pt = pt.join(own, F.lower(c) == F.col("_n"), "left").drop("_n")
+    return pt
 
 
 def _channel_from_flag():
@@ -53,24 +60,19 @@ def _source_from_flag():
             .when(f == "N", "meta_blinkit_monthly"))
 
 
-def part_filter_for(bmap, focus: str):
-    """Predicate on part that keeps parts whose name maps to the focus brand on
-    any platform: the brand filter of the fact, applied before the join."""
-    return ((bmap.brand_of("p_name", "google") == focus)
-            | (bmap.brand_of("p_name", "meta") == focus)
-            | (bmap.brand_of("p_brand", "meta") == focus)
-            | (bmap.brand_of("p_type", "meta") == focus))
-
-
-def platform_rows(spark: SparkSession, sf_dir: str, part_filter=None) -> DataFrame:
+def platform_rows(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    """Ad rows. With a mapped ``part`` they carry the winning rule of the campaign
+    name on the row's platform (``rule``, ``mapped_brand``); ``part`` may be filtered."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
-    pt = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    if part_filter is not None:
-        pt = pt.where(part_filter)
+    pt = part if part is not None else read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     j = li.join(pt, li["l_partkey"] == pt["p_partkey"], "inner")
     channel = _channel_from_flag()
+    if part is not None:
+        rule = F.when(channel == "google", F.col("p_name_google")).otherwise(F.col("p_name_meta"))
+        j = j.withColumn("_rule", rule)
+    mapped = [F.col("_rule").alias("rule"), F.col("_rule.brand").alias("mapped_brand")] if part is not None else []
     return j.select(
         month_of("l_shipdate").alias("month_start"),
         F.col("l_shipdate").alias("day"),
@@ -87,21 +89,23 @@ def platform_rows(spark: SparkSession, sf_dir: str, part_filter=None) -> DataFra
         F.col("l_quantity").alias("orders"),
         (F.col("l_quantity") * 100).alias("impressions"),
         (F.col("l_quantity") * 60).alias("reach"),
-        (F.col("l_quantity") * F.col("l_linenumber")).alias("clicks"),
+        (F.col("l_quantity") * F.col("l_linenumber")).alias("clicks"), *mapped,
     )
 
 
-def store_rows(spark: SparkSession, sf_dir: str, part_filter=None) -> DataFrame:
+def store_rows(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    """Store order lines. With a mapped ``part`` they carry the brand of the UTM
+    campaign on the row's own channel (``campaign_brand``, null for direct)."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
-    pt = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    if part_filter is not None:
-        pt = pt.where(part_filter)
+    pt = part if part is not None else read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     od = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     j = (li.join(pt, li["l_partkey"] == pt["p_partkey"], "inner")
          .join(od, F.col("l_orderkey") == F.col("o_orderkey"), "inner"))
     pr = F.col("o_orderpriority")
+    mapped = [F.when(pr.isin("1-URGENT", "2-HIGH"), F.col("p_name_google.brand")).when(pr == "3-MEDIUM", F.col("p_name_meta.brand"))
+              .alias("campaign_brand")] if part is not None else []
     return j.select(
         month_of("o_orderdate").alias("month_start"),
         F.col("o_orderdate").alias("day"),
@@ -112,7 +116,7 @@ def store_rows(spark: SparkSession, sf_dir: str, part_filter=None) -> DataFrame:
         F.lower(F.col("p_type")).alias("utm_medium"),
         F.col("o_orderkey"), F.col("o_custkey"), F.col("l_linenumber"),
         F.col("l_extendedprice").alias("revenue"),
-        F.lit(1.0).alias("orders"),
+        F.lit(1.0).alias("orders"), *mapped,
     )
 
 
@@ -134,10 +138,17 @@ def customer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total_sales")))
 
 
+def event_weeks(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The weeks present in the events, in order: one entry per week of the table's span."""
+    wk = F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
+    rows = read(spark, sf_dir, "events").select(wk.alias("w")).where("w is not null").distinct().collect()
+    return sorted(r.w for r in rows)
+
+
 def search_matrix(spark: SparkSession, sf_dir: str, weeks: list[str]) -> DataFrame:
     """Wide matrix: one row per label (event type), one column per week
     (``yyyy-MM-dd`` of the week start) holding the event count. The week list
-    is passed in, so the pivot runs without a separate job for its values."""
+    gives the columns (``event_weeks``)."""
     ev = read(spark, sf_dir, "events").select("event_type", "ts")
     wk = F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd")
     return (ev.select(F.col("event_type").alias("label"), wk.alias("week"))

@@ -1,55 +1,76 @@
 """Incremental refresh of monthly staging partitions (weekly export drops).
 
-New export files land in a drop folder. A Structured Streaming query picks
-up only files it has not seen (the file source keeps that in its
-checkpoint), and each micro-batch replaces exactly the ``month_start``
-partitions it carries (dynamic partition overwrite), so re-delivering a
-month's extract is idempotent and other months are untouched. The
-checkpoint lives under the cluster's shared ``spark.checkpoint.dir`` so a
-restarted driver or lost executor resumes where it stopped.
+New export files land in a drop folder. A Structured Streaming query over the
+file listing picks up only files it has not seen (its checkpoint keeps that);
+each micro-batch reads its files by column name and writes them to partitions
+``month_start / source_key`` of the target. A file owns its partition, so
+several files of one month stay side by side, and re-delivering a file
+replaces that file's rows only (dynamic partition overwrite). Files whose name
+has no month go to a quarantine table and are reported as issues.
+
+The checkpoint has a fixed place under the cluster's ``spark.checkpoint.dir``,
+so a later application goes on where the last one stopped.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from adlens.functions.dates import month_from_name
 from adlens.session import checkpoint_dir
+from adlens.sources.files import existing, read_group
+
+LISTING = "path string, modificationTime timestamp, length long, content binary"
+NO_MONTH_DETAIL = "The file name has no month; rows are in quarantine."
+
 
+def quarantine_path(target: str) -> str:
+    return target.rstrip("/") + "_quarantine"
 
-def drop_stream(spark: SparkSession, drop_dir: str, columns: list[str],
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of CSV exports (all columns as text) with the month
-    taken from the file name and the source file kept as lineage."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    r = spark.readStream.option("header", True).schema(schema)
+
+def drop_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the paths of new CSV files; contents are not loaded."""
+    r = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", "*.csv")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(drop_dir)
-    src = F.url_decode(F.col("_metadata.file_path"))
-    return df.select("*", src.alias("source_file"),
-                     month_from_name(F.regexp_extract(src, r"([^/]*)$", 1)).alias("month_start"))
+    return r.load(drop_dir).select("path")
+
+
+def store_files(spark: SparkSession, paths: list[str], target: str, columns: list[str]) -> None:
+    """Write each file's rows to its own partition; files without a month to quarantine."""
+    rows = read_group(spark, paths, columns)
+    key = F.regexp_replace(F.regexp_extract("source_file", r"([^/]*)$", 1), r"[^0-9A-Za-z._-]", "_")
+    rows = rows.withColumn("source_key", F.concat(key, F.lit("-"), F.hex(F.xxhash64("source_file"))))
+
+    def write(df: DataFrame, path: str, *by: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+    write(rows.where(F.col("month_start") != ""), target, "month_start", "source_key")
+    lost = rows.where(F.col("month_start") == "").drop("month_start")
+    if not lost.isEmpty():
+        write(lost, quarantine_path(target), "source_key")
 
 
-def _replace_months(target: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.where(F.col("month_start") != "")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("month_start").parquet(target))
-    return write
+def quarantine_issues(spark: SparkSession, target: str) -> DataFrame:
+    """An issue row per file in quarantine, in the shape of the data-quality issues."""
+    schema = "issue_type string, source_group string, month_start string, severity string, details string"
+    if not existing(spark, quarantine_path(target) + "/*/*.parquet"):
+        return spark.createDataFrame([], schema)
+    files = spark.read.parquet(quarantine_path(target)).select("source_file").distinct()
+    return files.select(F.lit("file_without_month").alias("issue_type"), F.col("source_file").alias("source_group"),
+                        F.lit("").alias("month_start"), F.lit("high").alias("severity"),
+                        F.lit(NO_MONTH_DETAIL).alias("details"))
 
 
 def refresh(spark: SparkSession, drop_dir: str, target: str, columns: list[str],
-            name: str = "staging_refresh", once: bool = True):
+            name: str = "staging_refresh", once: bool = True, max_files_per_trigger: int | None = None):
     """Start (and with ``once`` run to completion) the refresh query."""
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    q = (drop_stream(spark, drop_dir, columns).writeStream
-         .foreachBatch(_replace_months(target))
-         .option("checkpointLocation", ckpt))
+    def batch(listing: DataFrame, _: int) -> None:
+        paths = [r.path for r in listing.collect()]  # names of the new files
+        if paths:
+            store_files(listing.sparkSession, paths, target, columns)
+    place = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    q = (drop_stream(spark, drop_dir, max_files_per_trigger).writeStream.foreachBatch(batch)
+         .option("checkpointLocation", place))
     q = q.trigger(availableNow=True) if once else q.trigger(processingTime="1 minute")
     handle = q.queryName(name).start()
     if once:

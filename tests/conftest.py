@@ -11,10 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from adlens.session import build_session
     s = build_session("local[4]", shuffle_partitions=4,
-                      extra={"spark.ui.showConsoleProgress": "false"})
-    # Tests set a checkpoint folder only because none is configured locally.
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="adlens-test-ckpt-"))
+                      extra={"spark.ui.showConsoleProgress": "false",
+                             "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="adlens-test-ckpt-")})
     yield s
     s.stop()
 

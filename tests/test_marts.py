@@ -39,7 +39,7 @@ def test_zero_spend_ratio_is_null(spark):
 
 
 def test_budget_split_fills_missing_months(spark):
-    months = report.month_frame(spark, "2025-11", "2026-01")
+    months = spark.createDataFrame([("2025-11",), ("2025-12",), ("2026-01",)], "month_start string")
     out = {r.month_start: r for r in report.budget_split(fact(spark), months).collect()}
     assert out["2025-11"].total == 0.0 and out["2025-11"].capture_share is None
     assert out["2025-12"].demand_capture == 100.0 and out["2025-12"].demand_generation == 300.0
