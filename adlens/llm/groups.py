@@ -55,7 +55,7 @@ def _cross(near: Callable, width: int):
     """Pairs in one block pair of a group that are in different components and pass ``near``."""
     def pairs(rows):
         _, half, own, root, n, sketch = (np.concatenate(c) for c in zip(*rows, strict=True))
-        sketch = sketch.reshape(-1, width)
+        sketch = sketch.view(np.uint64).reshape(-1, width)  # bits of a signed number are counted wrongly
         left, right = np.flatnonzero(half == 0), np.flatnonzero(half == 1)
         alone = not len(right)
         right = left if alone else right

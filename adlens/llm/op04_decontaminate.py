@@ -36,7 +36,7 @@ WINDOW_BITS = 24
 def _words(part: pa.RecordBatch):
     data, offsets = kernel.utf8(part.column("text"))
     starts, ends, first = kernel.words(data, offsets, kernel.ALNUM)
-    return data, starts, ends, first, kernel.hash_words(data, starts, ends, kernel.ALNUM)
+    return data, starts, ends, first, kernel.hash_words(data, starts, ends)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

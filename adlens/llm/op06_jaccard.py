@@ -48,7 +48,7 @@ U64 = np.uint64
 def _sets_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = kernel.utf8(part.column("text"))
     starts, ends, first = kernel.words(data, offsets, kernel.NOT_SPACE)
-    return kernel.shingle_sets(kernel.hash_words(data, starts, ends, kernel.NOT_SPACE), first, SHINGLE)
+    return kernel.shingle_sets(kernel.hash_words(data, starts, ends), first, SHINGLE)
 
 
 def _set_hash(own: np.ndarray) -> int:

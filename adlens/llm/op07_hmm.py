@@ -105,7 +105,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in kernel.pieces(batch, "text"):
             data, offsets = kernel.utf8(part.column("text"))
             starts, ends, first = kernel.words(data, offsets, kernel.NOT_SPACE)
-            held.append((kernel.hash_words(data, starts, ends, kernel.NOT_SPACE), _classes(data, starts, ends), first,
+            held.append((kernel.hash_words(data, starts, ends), _classes(data, starts, ends), first,
                          part.column("doc_id").to_pylist(), part.column("held_out").to_numpy(zero_copy_only=False)))
             size += len(data)
             if size >= BLOCK_BYTES:

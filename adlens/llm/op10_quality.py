@@ -33,7 +33,7 @@ def _ngrams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all 1- and 2-grams, the row of each, and the rows' n-gram counts."""
     data, offsets = kernel.utf8(batch.column("text"))
     starts, ends, first = kernel.words(data, offsets, kernel.NOT_SPACE)
-    hashes = kernel.hash_words(data, starts, ends, kernel.NOT_SPACE)
+    hashes = kernel.hash_words(data, starts, ends)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     pairs = kernel.grams(hashes, 2)
     same = row[1:] == row[:-1]
@@ -87,7 +87,7 @@ def _measure(ratio: np.ndarray | None):
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = kernel.utf8(part.column("text"))
         starts, ends, first = kernel.words(data, offsets, kernel.NOT_SPACE)
-        windows = kernel.grams(kernel.hash_words(data, starts, ends, kernel.NOT_SPACE, lower=False), 3)
+        windows = kernel.grams(kernel.hash_words(data, starts, ends, lower=False), 3)
         total = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[offsets])
         chars = total(kernel.NOT_SPACE[data] & ((data & 0xC0) != 0x80))
         raw = data.tobytes()
