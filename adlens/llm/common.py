@@ -70,11 +70,19 @@ def stash(df: DataFrame) -> DataFrame:
 
 
 def vector_rows(kind: str, vector: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
-    """A task's count vector as rows of at most SLICE numbers; slices that are all zero are left out."""
+    """A task's count vector as rows of at most SLICE numbers, in the narrowest type that holds them (its
+    name comes first); slices that are all zero are left out."""
     for k in range(0, len(vector), SLICE):
         part = vector[k:k + SLICE]
         if part.any():
-            yield kind, k // SLICE, part.astype("<f8").tobytes()
+            top = part.max()
+            narrow = next((w for w, most in ((b"u1", 255), (b"u2", 65535)) if top <= most), b"f8")
+            narrow = narrow if part.min() >= 0 and (part == np.floor(part)).all() else b"f8"
+            yield kind, k // SLICE, narrow + part.astype("<" + narrow.decode()).tobytes()
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "<" + bytes(packed[:2]).decode(), offset=2).astype(np.float64)
 
 
 VECTOR_SCHEMA = "kind string, slice int, numbers binary"
@@ -91,10 +99,10 @@ def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[tuple[str, int], np.ndarray] = {}
     for batch in batches:
         for kind, part, numbers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            values = np.frombuffer(numbers, "<f8")
+            values = _numbers(numbers)
             old = total.get((kind, part))
-            total[kind, part] = values.copy() if old is None else old + values
-    yield vector_batch([(k, s, v.tobytes()) for (k, s), v in sorted(total.items())])
+            total[kind, part] = values if old is None else old + values
+    yield vector_batch([(k, s, b"f8" + v.astype("<f8").tobytes()) for (k, s), v in sorted(total.items())])
 
 
 def sum_vectors(df: DataFrame, lengths: dict[str, int]) -> dict[str, np.ndarray]:
@@ -106,7 +114,7 @@ def sum_vectors(df: DataFrame, lengths: dict[str, int]) -> dict[str, np.ndarray]
     summed = arrow(df.repartition(parts, "kind", "slice"), _add_slices, VECTOR_SCHEMA)
     out = {kind: np.zeros(-(-n // SLICE) * SLICE) for kind, n in lengths.items()}
     for kind, part, numbers in summed.collect():  # fixed size: sum(lengths) numbers
-        values = np.frombuffer(numbers, "<f8")
+        values = _numbers(numbers)
         out[kind][part * SLICE:part * SLICE + len(values)] += values
     return {kind: out[kind][:n] for kind, n in lengths.items()}
 

@@ -34,7 +34,8 @@ from adlens.llm import common, groups, kernel
 from adlens.llm.components import components
 
 SHINGLE = 5
-RARITY_BITS = 16
+#: Shingles are counted in 2**RARITY_BITS hashed cells; the finer, the better common ones stand out.
+RARITY_BITS = 20
 #: Words (64 bits each) of the bit sketch that filters pairs.
 SKETCH = 16
 #: Below this size every shingle is its own cell.
@@ -171,13 +172,14 @@ def _fetch(bits: np.ndarray):
 
 def _near(sets: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
     """Those of pairs(a, b) whose sizes and bit sketches allow a link."""
-    side = lambda x: sets.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"),
-                                 F.col("sketch").alias(f"sketch_{x}"), F.col("rep").alias(f"rep_{x}"))
+    side = lambda x: sets.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("rep").alias(f"rep_{x}"))
+    bits = lambda x: sets.select(F.col("set").alias(x), F.col("sketch").alias(f"sketch_{x}"))
     apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")),
                         F.lit(0), lambda x, y: x + y)
     most = (100 - threshold) * (F.col("n_a") + F.col("n_b")) / (100 + threshold)
-    return common.stash(pairs.join(side("a"), "a").join(side("b"), "b")
-                        .where((100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")) & (apart <= most))
+    like = common.stash(pairs.join(side("a"), "a").join(side("b"), "b")
+                        .where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")))
+    return common.stash(like.join(bits("a"), "a").join(bits("b"), "b").where(apart <= most)
                         .select("a", "b", "n_a", "n_b", "rep_a", "rep_b"))
 
 
@@ -217,7 +219,7 @@ def jaccard_components(docs: DataFrame, threshold: int = 75) -> DataFrame:
     docs = docs.select("doc_id", "text", common.content().alias("content"))
     described = common.stash(common.arrow(docs, _describe, SETS))
     counts = common.sum_vectors(described.where("kind is not null").select("kind", "slice", "numbers"),
-                                {"shingles": 1 << RARITY_BITS})["shingles"]
+                                {"shingles": 1 << RARITY_BITS})["shingles"].astype(np.float32)
     rows = described.where("kind is null").select("doc_id", "content", "n", "set", "sketch")
     sets = common.stash(rows.where("n > 0").groupBy("set").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sketch").alias("sketch")))
