@@ -72,7 +72,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of the sentences with a cue, and of runs of them."""
+    """Spans of the sentences with a cue, then of runs of them."""
     low = text.lower()
     if not any(c in low for c in CUES):
         return []
@@ -131,9 +131,13 @@ def _scan(templates: tuple):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 text = text.as_py() or ""
+                confirmed: list[tuple[int, int]] = []
                 for a, b in candidates(text):
+                    if any(a <= c and d <= b for c, d in confirmed):
+                        continue  # a run of sentences one of which is a notice by itself
                     found = scan(text[a:b].strip(), templates)
                     if found:
+                        confirmed.append((a, b))
                         rows.append((doc_id, a, b - a, *found, text[a:b].strip()))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays(
