@@ -61,10 +61,3 @@ def month_from_name(name) -> Column:
 
 def add_months_str(month, n: int) -> Column:
     return F.date_format(F.add_months(month_start_date(month), n), "yyyy-MM")
-
-
-def month_range(start: str, end: str) -> Column:
-    """Array of ``yyyy-MM`` from start to end inclusive (both literal months)."""
-    seq = F.sequence(F.to_date(F.lit(start + "-01")), F.to_date(F.lit(end + "-01")),
-                     F.expr("interval 1 month"))
-    return F.transform(seq, lambda d: F.date_format(d, "yyyy-MM"))

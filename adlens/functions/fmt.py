@@ -18,12 +18,12 @@ def currency(c, symbol: str = "Rs") -> Column:
 
 def percent(c) -> Column:
     """``12.3%``; null gives ``-``."""
-    return F.coalesce(F.concat(F.format_string("%.1f", _col(c)), F.lit("%")), F.lit("-"))
+    return F.when(_col(c).isNotNull(), F.concat(F.format_string("%.1f", _col(c)), F.lit("%"))).otherwise("-")
 
 
 def multiple(c) -> Column:
     """``3.45x``; null gives ``-``."""
-    return F.coalesce(F.concat(F.format_string("%.2f", _col(c)), F.lit("x")), F.lit("-"))
+    return F.when(_col(c).isNotNull(), F.concat(F.format_string("%.2f", _col(c)), F.lit("x"))).otherwise("-")
 
 
 def round_floats(df: DataFrame, digits: int = 2) -> DataFrame:

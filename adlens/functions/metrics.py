@@ -37,3 +37,8 @@ def pct(part, total) -> Column:
 def iroas_with_floor(d_revenue, d_spend, floor: float = IROAS_MIN_ABS_DELTA_SPEND) -> Column:
     """Incremental ROAS, null when the spend change is smaller than the floor."""
     return F.when(F.abs(_col(d_spend)) >= floor, safe_div(d_revenue, d_spend))
+
+
+def revenue_from_roas(spend, reported_roas) -> Column:
+    """Revenue rebuilt for a report that has spend and ROAS only; null if either is null."""
+    return _col(spend) * _col(reported_roas)

@@ -1,4 +1,4 @@
-"""Text expressions: join keys, defaults, LIKE escaping, token tests."""
+"""Text expressions: join keys, defaults, token tests."""
 
 from __future__ import annotations
 
@@ -22,11 +22,6 @@ def lower_or_unknown(c) -> Column:
     return F.lower(F.coalesce(_col(c).cast("string"), F.lit("unknown")))
 
 
-def like_escape(pattern: str) -> str:
-    """Make ``%`` the only wildcard of a LIKE pattern: ``_`` and ``\\`` match themselves."""
-    return pattern.replace("\\", "\\\\").replace("_", "\\_")
-
-
 def contains_any(c, tokens) -> Column:
     """True when the lower-cased text contains any token; null text gives false."""
     s = F.lower(_col(c))

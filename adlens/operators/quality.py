@@ -50,23 +50,23 @@ def manifest_status(files: DataFrame, pending: DataFrame, status_order: list,
                     validate_token: str | None = None,
                     validate_action: str = "Confirm the period; re-export if mislabeled.") -> DataFrame:
     """Status per manifest entry: by parseability, overridden for file names
-    containing ``validate_token``; pending rows appended; one row per path
-    (the later entry wins); sorted by status order, group, month, path."""
+    containing ``validate_token``; pending rows appended (other columns of ``files``
+    are null there); one row per path (the later entry wins); sorted by status order, group, month, path."""
+    kept = [c for c in files.columns if c not in ("status", "action_required")]
     base = files.select(
-        "relative_path", "source_group", "parsed_month", "notes",
+        *kept,
         F.when(F.col("parseable_by_etl") == "yes", "received_ready_csv")
          .when(F.col("parseable_by_etl") == "no", "received_xlsx_manual_etl")
          .otherwise("received").alias("status"),
         F.lit("").alias("action_required"))
     if validate_token:
         hit = F.col("relative_path").contains(validate_token)
-        base = base.select("relative_path", "source_group", "parsed_month", "notes",
-                           F.when(hit, "received_needs_validation").otherwise(F.col("status")).alias("status"),
+        base = base.select(*kept, F.when(hit, "received_needs_validation").otherwise(F.col("status")).alias("status"),
                            F.when(hit, validate_action).otherwise(F.col("action_required"))
                            .alias("action_required"))
     u = (base.withColumn("_seq", F.lit(0))
-         .unionByName(pending.select("relative_path", "source_group", "parsed_month", "notes",
-                                     "status", "action_required").withColumn("_seq", F.lit(1))))
+         .unionByName(pending.select("relative_path", "source_group", "parsed_month", "notes", "status",
+                                     "action_required").withColumn("_seq", F.lit(1)), allowMissingColumns=True))
     w = Window.partitionBy("relative_path").orderBy(F.desc("_seq"))
     rank = F.create_map(*[x for i, s in enumerate(status_order) for x in (F.lit(s), F.lit(i))])
     return (u.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
