@@ -47,8 +47,7 @@ def audit_candidates(entities: DataFrame, focus: str) -> DataFrame:
 def audit_summary(candidates: DataFrame) -> DataFrame:
     """Candidate counts per (source, mapped brand, confidence); null brands kept."""
     return (candidates.groupBy("source", "mapped_brand", "confidence")
-            .agg(F.count(F.lit(1)).alias("entities"))
-            .orderBy(F.asc("confidence"), F.desc("entities")))
+            .agg(F.count(F.lit(1)).alias("entities")))
 
 
 def brand_tagging(rows: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def objective_from_type(type_col, tokens) -> Column:
 
 
 def conversion_fact(staged: list[DataFrame], focus_brand: str, brand_label: str,
-                    months: list | None = None, sort: bool = True) -> DataFrame:
+                    months: list | None = None, sort: bool = False) -> DataFrame:
     """Null-preserving monthly fact over staged frames.
 
     Rows are kept when their mapped brand equals the focus brand and (when

@@ -29,7 +29,7 @@ def layer_pivot(df: DataFrame, index: list, measures: list, layers=LAYERS,
 
 
 def reconciliation(fact: DataFrame, brand_label: str, channels=("google", "meta"),
-                   sort: bool = True) -> DataFrame:
+                   sort: bool = False) -> DataFrame:
     """Platform-claimed vs store-attributed revenue per month and channel."""
     p = layer_pivot(fact.where(F.col("channel").isin(list(channels))),
                     ["month_start", "channel"], ["spend", "revenue"], ("platform", "shopify"))
@@ -47,7 +47,7 @@ def reconciliation(fact: DataFrame, brand_label: str, channels=("google", "meta"
 
 
 def exec_summary(fact: DataFrame, brand_label: str, total_revenue: DataFrame | None = None,
-                 sort: bool = True) -> DataFrame:
+                 sort: bool = False) -> DataFrame:
     """Monthly paid summary across channels. Total revenue and MER stay null
     unless a total-revenue frame (month_start, total_revenue) is given."""
     p = layer_pivot(fact, ["month_start"], ["spend", "revenue"])
@@ -157,7 +157,7 @@ def customer_bucket_metrics(daily: DataFrame, brand_label: str, buckets: dict, m
                       F.lit("shopify").alias("attribution_layer"), F.lit(source_table).alias("source_table"))
 
 
-def demand_generation(parts: list[DataFrame], sort: bool = True) -> DataFrame:
+def demand_generation(parts: list[DataFrame], sort: bool = False) -> DataFrame:
     u = parts[0].select(*GEN_COLUMNS)
     for p in parts[1:]:
         u = u.unionByName(p.select(*GEN_COLUMNS))
@@ -169,8 +169,7 @@ def demand_generation(parts: list[DataFrame], sort: bool = True) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def monthly_channel_spend(fact: DataFrame) -> DataFrame:
-    return (fact.groupBy("month_start", "channel").agg(resum("spend").alias("spend_inr"))
-            .orderBy("month_start", "channel"))
+    return fact.groupBy("month_start", "channel").agg(resum("spend").alias("spend_inr"))
 
 
 def monthly_paid_spend(fact: DataFrame) -> DataFrame:
@@ -183,8 +182,7 @@ def monthly_paid_spend(fact: DataFrame) -> DataFrame:
     return (fact.groupBy("month_start").agg(
         cond(ch == "meta").alias("meta_spend_inr"),
         cond(ch == "google").alias("google_spend_inr"),
-        cond(ch.isin("meta", "google")).alias("total_spend_inr"))
-        .orderBy("month_start"))
+        cond(ch.isin("meta", "google")).alias("total_spend_inr")))
 
 
 def spend_by_brand(rows: DataFrame, out_col: str) -> DataFrame:

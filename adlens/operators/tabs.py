@@ -15,6 +15,7 @@ from adlens.functions.numeric import money, resum, sum_money
 from adlens.functions.text import campaign_key, relabel
 from adlens.operators.marts import layer_pivot
 
+# Fixed value: the note of the iROAS tab.
 IROAS_NOTE = "Directional only: month-on-month proxy with limited data points."
 
 
@@ -115,6 +116,20 @@ DRILL_METRICS = ["cpa_platform", "revenue_paid_attribution", "revenue_shopify_at
                  "revenue_gap_paid_vs_shopify", "roas_paid_over_shopify"]
 
 
+def first_present(df: DataFrame, candidates=("Order UTM content", "Order UTM campaign", "Order UTM medium")) -> str:
+    """The first of the candidate UTM columns that a store export has; older exports lack some."""
+    found = next((c for c in candidates if c in df.columns), None)
+    if found is None:
+        raise ValueError(f"none of {', '.join(candidates)} is a column")
+    return found
+
+
+def in_report_order(df: DataFrame, spend: str = "paid_spend") -> DataFrame:
+    """A drilldown or mapping tab as it is shown: by month, then by falling spend. A global sort, so it is
+    for presentation only and no other operator applies it."""
+    return df.orderBy("month_start", F.desc(spend))
+
+
 def _drill_metrics(df: DataFrame) -> list:
     return [
         safe_div("paid_spend", "orders_platform").alias("cpa_platform"),
@@ -164,7 +179,7 @@ def adset_drilldown(platform: DataFrame, store: DataFrame, *, name_col: str, set
                     spend_col: str, revenue_col: str, orders_col: str, store_key_col: str,
                     store_revenue_col: str) -> DataFrame:
     """Ad sets: as ``campaign_drilldown`` with the attribution setting in the
-    grouping; the store key column is the first present UTM field."""
+    grouping. ``store_key_col``: see ``first_present``."""
     plat = (platform.select("month_start", F.col(name_col).cast("string").alias("campaign_name"),
                             F.coalesce(F.col(setting_col), F.lit("")).alias("attribution_setting"),
                             F.col(spend_col).alias("_s"), F.col(revenue_col).alias("_r"),

@@ -96,9 +96,6 @@ EXPORT_STATUS_ORDER = ["awaited", "received_needs_validation", "received_xlsx_ma
                        "received_ready_csv"]
 # Customer buckets of the new-vs-returning export.
 EXPORT_CUSTOMER_BUCKETS = {"new": "d2c_new_customers", "returning": "d2c_repeat_customers"}
-# Period report: CPA band bounds (scale below, pause above).
-CPA_BAND_LOW = 400.0
-CPA_BAND_HIGH = 600.0
 
 
 @dataclass(frozen=True)
