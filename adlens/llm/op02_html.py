@@ -49,6 +49,10 @@ _PLAIN_NAMES = set("""ad ads adv advert adverts advertisement advertising alert
     cookies disclaimer dialog footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice
     notices notification overlay pagination pager popup promo promotion related search share sharing sidebar signup social
     sponsor sponsored subscribe subscription toolbar widget widgets complementary contentinfo""".split())
+#: Names of a page's own header; inside an article they mark its title.
+_TOP_NAMES = {"banner", "header", "masthead"}
+#: Beside these a name tells what the element holds or allows, not what it is ("has-sidebar", "comments-open").
+_LAYOUT_NAMES = {"closed", "container", "enabled", "grid", "has", "layout", "no", "open", "page", "with", "without", "wrap", "wrapper"}
 _TALK_NAMES = {"comment", "comments", "commentlist", "discussion", "disqus", "replies", "reply", "respond", "responses"}
 
 ZONE = {1: 4.0, 0: -0.5, -1: -6.0, -2: -6.0}
@@ -66,13 +70,17 @@ def _zone(parent: int, tag: str, attributes: str) -> int:
             names.update(re.split(r"[^a-z0-9]+", "".join(found).lower()))
     if attributes and _HIDDEN.search(attributes):
         return -2
-    if names & _TALK_NAMES or tag in _PLAIN_TAGS or (tag == "header" and parent != 1):
+    if tag in ("body", "html"):
+        names = set()
+    named = not names & _LAYOUT_NAMES
+    if names & _TALK_NAMES and named or tag in _PLAIN_TAGS or (tag == "header" and parent != 1):
         return -2
-    if tag in _CONTENT_TAGS or "articlebody" in names:
+    plain = names & _PLAIN_NAMES - (_TOP_NAMES if parent == 1 else set())
+    if tag == "main" or tag in _CONTENT_TAGS and parent >= 0 and not plain or "articlebody" in names:
         return 1
-    if names & _PLAIN_NAMES and tag not in ("body", "html"):
+    if plain and named:
         return -1
-    if parent == 0 and names & _CONTENT_NAMES and tag not in ("body", "html"):
+    if parent == 0 and names & _CONTENT_NAMES:
         return 1
     return parent
 
@@ -84,8 +92,9 @@ class Block:
         self.text, self.zone, self.path, self.links = text, zone, path, links
 
 
-def blocks(html: str) -> list[Block]:
-    """Text blocks of a page in page order. ``path`` numbers the enclosing block elements."""
+def blocks(html: str, forms: bool = True) -> list[Block]:
+    """Text blocks of a page in page order. ``path`` numbers the enclosing block elements. Without ``forms``
+    the form element itself is a plain container."""
     out: list[Block] = []
     stack: list[tuple[str, int, tuple[int, ...]]] = [("", 0, ())]
     held: list[str] = []
@@ -147,7 +156,8 @@ def blocks(html: str) -> list[Block]:
                     if stack[k][0] in _SCOPE:
                         break
                 count += 1
-                stack.append((tag, _zone(stack[-1][1], tag, attributes), (*stack[-1][2], count)))
+                kind = "div" if tag == "form" and not forms else tag
+                stack.append((tag, _zone(stack[-1][1], kind, attributes), (*stack[-1][2], count)))
         elif tag not in _VOID and not attributes.endswith("/"):
             zone = _zone(stack[-1][1], tag, attributes) if attributes else stack[-1][1]
             if zone != stack[-1][1]:  # an inline element with a zone of its own is a block
@@ -254,14 +264,23 @@ def source_side(gains: list[float], ties: list[tuple[int, int, float]]) -> list[
             a = to[e]
 
 
-def main_text(html: str | None) -> str:
-    page = blocks(html or "")
+def _content(page: list[Block]) -> str:
     gains = [odds(b) for b in page]
     if all(g > 0 for g in gains):
         return "\n".join(b.text for b in page)
     return "\n".join(b.text for b, on in zip(page, source_side(gains, edges(page)), strict=True) if on)
 
 
+def main_text(html: str | None) -> str:
+    """The content of a page. If there is none and a form holds text, the form may be a frame around the
+    whole page: then it is read as a plain container."""
+    html = html or ""
+    text = _content(blocks(html))
+    if not text and "<form" in html.lower():
+        text = _content(blocks(html, forms=False))
+    return text
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, batch.num_rows, 500):

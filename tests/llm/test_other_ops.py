@@ -52,6 +52,14 @@ PAGES = {
     "<article><p>Cut off in the middle of a ta<p": "Cut off in the middle of a ta",
     "<article><!-- no <p>text</p> --><p>x&#233;&lt;&am</p><style>p{}</style></article>": "xé<&am",
     "": "", "<html></html>": "", "   ": "",
+    "<body class='comments-open has-sidebar'><div class='layout with-sidebar'><div class=page-header><a href=/>Site name</a></div>"
+    "<article class='post comments-open'><div class='post-header'><h1>The title</h1></div><p class=lead>First words of the article."
+    "</p><div class='share'>Share it</div><p>Last words.</p><footer>By someone</footer></article><div class=sidebar>"
+    "<article><p>A teaser of another article with quite a number of words in it, which is not part of this one.</p></article>"
+    "</div><section id=comments><article><p>I have read it all, and I must say that it is a good article. Thanks.</p></article>"
+    "</section></div>": "The title\nFirst words of the article.\nLast words.",
+    "<form id=aspnet><input><div class=content><p>The whole page is in a form, as some servers write it.</p></div></form>":
+        "The whole page is in a form, as some servers write it.",
 }
 
 
