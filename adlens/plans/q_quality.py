@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from adlens.functions.numeric import sum_money
@@ -10,7 +11,6 @@ from adlens.params import EXPORT_MONTHLY_SOURCES
 from adlens.plans import sql as S
 from adlens.plans.catalog import query
 from adlens.plans.driver import Driver
-from adlens.sources import files
 
 FIXED_PENDING = [("PENDING::total_revenue_by_channel::all", "total_revenue_by_channel", "all",
                   "Pending total revenue by month across channels.",
@@ -209,4 +209,6 @@ def prefer_revised(d: Driver):
     revised depends on its status, so the choice is made on the sums per month and status."""
     by = (d.table("lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month_start"), "l_linestatus")
           .agg(F.count(F.lit(1)).alias("n_rows"), sum_money("l_extendedprice").alias("amount")))
-    return files.prefer_revised(by, "month_start", F.col("l_linestatus") == "F")
+    revised = F.col("l_linestatus") == "F"
+    some = F.coalesce(F.max(revised).over(Window.partitionBy("month_start")), F.lit(False))  # a row per status
+    return by.withColumn("_some", some).where(F.coalesce(revised, F.lit(False)) == F.col("_some")).drop("_some")
