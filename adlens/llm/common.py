@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -37,10 +39,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _lean(task: Task) -> Task:
+    """``task``, which gives its memory back to the system when it ends: a Python worker lives on between
+    tasks and stages, and what its allocators keep counts against the executor."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+    return run
+
+
+def arrow(df: DataFrame, task: Task, schema: str) -> DataFrame:
     """mapInArrow with this package at hand in the workers."""
     ship(df.sparkSession)
-    return df.mapInArrow(task, schema)
+    return df.mapInArrow(_lean(task), schema)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -170,3 +190,13 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     left = marked(docs, "_key", keys, "_k").join(
         gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_of")), "left_anti")
     return left.select(names).union(unmarked(docs, "_key", keys, "_k").select(names))
+
+
+def lowest(df: DataFrame, n: int, *key: str) -> DataFrame:
+    """The ``n`` rows with the smallest hash of ``key`` (ties: by the key), as a bounded sample. Rows above a cut
+    that some 4 n rows pass are dropped first, so that a task doesn't send n rows of its own to the driver."""
+    total = df.count()
+    mark = F.xxhash64(*key)
+    if total > 8 * n:
+        df = df.where(mark <= F.lit(-(1 << 63) + int((1 << 64) * 4 * n / total)))
+    return df.orderBy(mark, *key).limit(n)

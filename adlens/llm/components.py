@@ -37,6 +37,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links = stash(links.select(F.col(a).alias("a"), F.col(b).alias("b"))
                   .where("a is not null and b is not null and a <> b")
                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if links.isEmpty():
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = None
     while True:
         both = links.select(F.col("a").alias("node"), F.col("b").alias("near")).union(links.select("b", "a"))

@@ -287,8 +287,7 @@ def fit(encoded: DataFrame, base: np.ndarray, unseen: float, states: int = STATE
     """Start, transition and emission probabilities after ``rounds`` of Baum-Welch over all training
     documents. base: the base model's probability of each class; unseen: that of an unknown word."""
     train = encoded.where("kind = 1 and not held_out").select("doc_id", "number", "classes")
-    seeds = (train.where("number between 20 and 2000").orderBy(F.xxhash64("doc_id"), "classes").limit(SEED_ROWS)
-             .select("classes").collect())
+    seeds = common.lowest(train.where("number between 20 and 2000"), SEED_ROWS, "doc_id").select("classes").collect()
     start, move, emit = _seeded([bytes(r[0]) for r in seeds], base, states)
     for _ in range(rounds):
         sent = common.arrow(train.select("classes"), _train(start, move, emit), common.VECTOR_SCHEMA)

@@ -1,7 +1,8 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
 Two multinomials over hashed word 1- and 2-grams are estimated: the raw one from every document,
-the target one from documents labelled good. A document's score is its mean log ratio per n-gram.
+the target one from documents labelled good. A document's score is its mean log ratio per n-gram; a document that
+the target was estimated from is scored without its own counts, so labelled scores are like those of any other.
 The threshold is fixed before any document is judged: the score that best parts the labelled rows,
 where rejecting a good one costs ``clean_cost`` times what keeping a bad one gains.
 
@@ -80,7 +81,30 @@ def repeated(windows: np.ndarray, size: int) -> int:
     return int((np.cumsum(twice) > 0).sum())
 
 
-def _measure(ratio: np.ndarray | None):
+class Model:
+    """Hashed n-gram counts of the target and the raw corpus, and the ids the target was counted from."""
+
+    def __init__(self, target: np.ndarray, raw: np.ndarray, trusted: np.ndarray):
+        cells = SMOOTHING * len(raw)
+        self.target, self.trusted = target.astype(np.float32), trusted
+        self.total = float(target.sum()) + cells
+        self.raw = (np.log(raw + SMOOTHING) - np.log(raw.sum() + cells)).astype(np.float32)
+
+    def score(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Mean log ratio per n-gram of each row."""
+        bucket, row, n = _ngrams(batch)
+        count, total = self.target[bucket].astype(np.float64), np.full(batch.num_rows, self.total)
+        own = np.isin(batch.column("doc_id").to_numpy(zero_copy_only=False), self.trusted)
+        if own.any():  # leave the document itself out
+            at = np.flatnonzero(own[row])
+            _, place, times = np.unique(row[at] * len(self.raw) + bucket[at], return_inverse=True, return_counts=True)
+            count[at] = np.maximum(count[at] - times[place], 0)
+            total[own] = np.maximum(total[own] - n[own], SMOOTHING * len(self.raw))
+        ratio = np.log(count + SMOOTHING) - np.log(total)[row] - self.raw[bucket]
+        return np.bincount(row, ratio, batch.num_rows) / np.maximum(n, 1)
+
+
+def _measure(model: Model | None):
     symbol = np.zeros(256, bool)
     symbol[list(SYMBOLS)] = True
 
@@ -96,10 +120,7 @@ def _measure(ratio: np.ndarray | None):
             text = raw[offsets[i]:offsets[i + 1]]
             dup.append(_dup_lines(text) if b"\n" in text else 0)
             again.append(repeated(windows[first[i]:max(first[i], first[i + 1] - 2)], 3))
-        score = np.zeros(part.num_rows)
-        if ratio is not None:
-            bucket, row, n = _ngrams(part)
-            score = np.bincount(row, ratio[bucket], part.num_rows) / np.maximum(n, 1)
+        score = model.score(part) if model else np.zeros(part.num_rows)
         columns = [part.column("doc_id"), part.column("content"), np.diff(first), chars, total(symbol[data]), dup, again, score]
         kinds = [pa.int64()] * 7 + [pa.float64()]
         return pa.RecordBatch.from_arrays(
@@ -113,17 +134,13 @@ def _measure(ratio: np.ndarray | None):
     return run
 
 
-def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
-    """Log ratio per bucket, target over raw; None without a trusted row."""
-    good = (labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS))
-    trusted = np.array([r[0] for r in good.collect()], np.int64)  # TRUSTED_ROWS at most
+def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """The two multinomials; None without a trusted row."""
+    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
+    trusted = np.array([r[0] for r in common.lowest(good, TRUSTED_ROWS, "doc_id").collect()], np.int64)
     size = {"raw": 1 << BUCKET_BITS, "target": 1 << BUCKET_BITS}
     got = common.sum_vectors(common.arrow(docs.select("doc_id", "text"), _count(trusted), common.VECTOR_SCHEMA), size)
-    if not got["target"].any():
-        return None
-    share = lambda x: np.log(x + SMOOTHING) - np.log(x.sum() + SMOOTHING * len(x))
-    return share(got["target"]) - share(got["raw"])
+    return Model(got["target"], got["raw"], trusted) if got["target"].any() else None
 
 
 def threshold(scored: DataFrame, labels: DataFrame) -> float:
@@ -149,7 +166,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Base counts, base_failed, score, threshold and the verdict ``kept`` for every row of ``docs``
     (doc_id, text)."""
     docs = docs.select("doc_id", "text", common.content().alias("content"))
-    scored = common.stash(common.arrow(docs, _measure(log_ratio(docs, labels)), METRICS))
+    scored = common.stash(common.arrow(docs, _measure(fit(docs, labels)), METRICS))
     at = threshold(scored, labels)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (scored.withColumn("base_failed", failed)

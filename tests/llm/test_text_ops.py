@@ -320,3 +320,29 @@ def test_quality_parts_held_out_labels(spark):
 
 def test_quality_of_nothing(spark):
     assert op10.judge(frame(spark, []), labels(spark, [(1, 1, 0), (None, None, None)])).count() == 0
+
+
+def test_cross_pairs_are_those_of_all_pairs(spark, monkeypatch):
+    from adlens.llm import groups
+    monkeypatch.setattr(groups, "BLOCK", 40)  # groups of many blocks, block pairs above and below SMALL_GROUP
+    rng = random.Random(8)
+    sets = [(k, 10 + k % 5, [rng.getrandbits(3) - 4, rng.getrandbits(2)], k - k % 3 if k % 4 else k) for k in range(400)]
+    key_of = {k: [0] if k < 150 else [1, 2] if k < 210 else [3 + k % 40] for k, *_ in sets}
+    rows = [(key, min(j for j in key_of if key in key_of[j]), k) for k, keys in key_of.items() for key in keys]
+    grouped = spark.createDataFrame([r for r in rows if r[1] != r[2]], groups.GROUPED)
+    nodes = spark.createDataFrame([s[:3] for s in sets], "set long, n int, sketch array<long>")
+    roots = spark.createDataFrame([(s[0], s[3]) for s in sets], "node long, root long")
+    near = lambda n, m, apart: (apart <= 2) & (abs(n - m) <= 3)
+    got = {tuple(r) for r in groups.cross_pairs(grouped, nodes, roots, near, 2).collect()}
+    bits = lambda a, b: sum(((x ^ y) & 0xFFFFFFFFFFFFFFFF).bit_count() for x, y in zip(a, b, strict=True))
+    size = {key: sum(key in k for k in key_of.values()) for k in key_of.values() for key in k}
+    want = {(a[0], b[0]) for a in sets for b in sets if a[0] < b[0] and a[3] != b[3] and abs(a[1] - b[1]) <= 3
+            and bits(a[2], b[2]) <= 2 and any(size[k] > 2 for k in set(key_of[a[0]]) & set(key_of[b[0]]))}
+    assert got == want
+
+
+def test_lowest_is_the_sorted_head(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "k")
+    want = [r.k for r in rows.selectExpr("k", "xxhash64(k) as h").orderBy("h", "k").limit(100).collect()]
+    assert [r.k for r in common.lowest(rows, 100, "k").collect()] == want
+    assert common.lowest(rows.limit(5), 100, "k").count() == 5 and common.lowest(rows.limit(0), 3, "k").count() == 0
