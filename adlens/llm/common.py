@@ -19,12 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE = 4096
+#: Rows of an Arrow batch. Spark's default of 10,000 whole texts would be tens of megabytes, several times a task.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _scratch: list[str] = []
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers of every executor, once per application."""
+    """Give this package to the Python workers of every executor, once per application, and see to batches
+    that hold whole texts in little memory (unless the session sets its own size)."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -17,73 +17,126 @@ from adlens.llm import common
 
 #: Members of a group are compared in blocks of so many.
 BLOCK = 1024
+#: Groups of up to so many rows are compared all at once, row distance by row distance.
+SMALL_GROUP = 64
+#: Sorted rows handled at once.
+GATHER = 1 << 16
 GROUPED = "key long, pivot long, set long"
+#: The low bits of a key hold the number of its part, 0 where a group isn't split.
+PART_BITS = 16
+_PART = (1 << PART_BITS) - 1
 
 
-def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, salt, set): each set with the first one of its group. The first one of a
-    salted group comes without a pivot, to be grouped again by its key alone."""
-    last = (None, None, None, None)  # key, salt, set, pivot
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key, value) arrays of rows sorted by key, some GATHER rows each, cut so that no group is divided."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    rows = 0
     for batch in batches:
-        if not batch.num_rows:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        rows += batch.num_rows
+        if rows < GATHER:
             continue
-        key, salt, own = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        new = np.concatenate([[(key[0], salt[0]) != last[:2]], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])])
-        again = np.concatenate([[not new[0] and own[0] == last[2]], ~new[1:] & (own[1:] == own[:-1])])
-        head = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        pivot = np.where(head >= 0, own[head], 0 if last[3] is None else last[3])
-        last = (key[-1], salt[-1], own[-1], pivot[-1])
-        keep = ~again & (~new | (salt > 0))
+        key, value = (np.concatenate(c) for c in zip(*held, strict=True))
+        last = int(np.searchsorted(key, key[-1]))  # the last group may go on
+        held, rows = [(key[last:], value[last:])], len(key) - last
+        if last:
+            yield key[:last], value[:last]
+        else:
+            rows = 0  # a group that fills it all: gather as much again
+    key, value = (np.concatenate(c) for c in zip(*held, strict=True)) if held else ((), ())
+    if len(key):
+        yield key, value
+
+
+def dealt(keys: DataFrame) -> DataFrame:
+    """keys(key, value) with equal keys next to each other (one sort column: a radix sort)."""
+    return keys.repartition("key").sortWithinPartitions("key")
+
+
+def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set with the smallest one of its group, once. The pivot of a part of a split group comes
+    without a pivot, to be grouped again by its key alone."""
+    for key, own in whole_groups(batches):
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(head, len(key)))
+        if size.max() > 1:  # sort within groups; most groups have one row
+            many = np.repeat(size > 1, size)
+            order = np.flatnonzero(many)
+            order = order[np.lexsort((own[order], key[order]))]
+            own = own.copy()
+            own[np.flatnonzero(many)] = own[order]
+        new = np.zeros(len(key), bool)
+        new[head] = True
+        again = np.concatenate([[False], (own[1:] == own[:-1]) & ~new[1:]])
+        pivot = np.repeat(own[head], size)
+        keep = ~again & (~new | ((key & _PART) > 0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key[keep]), pa.array(pivot[keep], mask=new[keep]), pa.array(own[keep])], ["key", "pivot", "set"])
+            [pa.array(key[keep] & ~np.int64(_PART)), pa.array(pivot[keep], mask=new[keep]), pa.array(own[keep])],
+            ["key", "pivot", "set"])
 
 
 def _group(keys: DataFrame) -> DataFrame:
-    dealt = keys.repartition("key", "salt").sortWithinPartitions("key", "salt", "set")
-    return common.stash(common.arrow(dealt, _pivots, GROUPED))
+    return common.stash(common.arrow(dealt(keys), _pivots, GROUPED))
 
 
 def pivots(keys: DataFrame) -> DataFrame:
-    """(key, pivot, set) for every member but the first of each group in keys(key, salt, set). Rows of a
-    group with a salt above 0 are grouped by salt first, then the pivots of the parts by the key."""
-    grouped = _group(keys)
-    again = _group(grouped.where("pivot is null").select("key", F.lit(0).alias("salt"), "set"))
+    """(key, pivot, set) for every member but the first of each group in keys(key, set). A group whose
+    keys have part numbers in their low bits is grouped by part first, then the pivots of its parts by
+    the key alone."""
+    grouped = _group(keys.select("key", "set"))
+    again = _group(grouped.where("pivot is null").select("key", "set"))
     return grouped.where("pivot is not null").union(again.where("pivot is not null"))
 
 
 def _cross(near: Callable, width: int):
     """Pairs in one block pair of a group that are in different components and pass ``near``."""
-    def pairs(rows):
-        _, half, own, root, n, sketch = (np.concatenate(c) for c in zip(*rows, strict=True))
-        sketch = sketch.view(np.uint64).reshape(-1, width)  # bits of a signed number are counted wrongly
-        left, right = np.flatnonzero(half == 0), np.flatnonzero(half == 1)
-        alone = not len(right)
-        right = left if alone else right
+    def pairs(block, half, own, root, n, sketch) -> pa.RecordBatch:
+        head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        size = np.diff(np.append(head, len(block)))
+        alone = np.repeat(np.maximum.reduceat(half, head) == 0, size)  # one block with itself
         out = [np.empty((0, 2), np.int64)]
-        for i in left.tolist():
-            j = right[root[right] != root[i]]
-            j = j[own[j] > own[i]] if alone else j
-            j = j[near(n[j], n[i], np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64))]
-            out.append(np.stack([np.minimum(own[i], own[j]), np.maximum(own[i], own[j])], 1))
+
+        def test(i, j):
+            on = (root[i] != root[j]) & (alone[i] | (half[i] != half[j]))
+            i, j = i[on], j[on]
+            for k in range(0, len(i), 1 << 16):
+                a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+                ok = near(n[a], n[b], np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64))
+                a, b = own[a[ok]], own[b[ok]]
+                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+
+        rows = np.flatnonzero(np.repeat(size <= SMALL_GROUP, size))
+        for step in range(1, SMALL_GROUP):  # all small groups at once
+            rows = rows[rows + step < len(block)]
+            rows = rows[block[rows] == block[rows + step]]
+            if not len(rows):
+                break
+            test(rows, rows + step)
+        for k in np.flatnonzero(size > SMALL_GROUP).tolist():
+            own_root = root[head[k]:head[k] + size[k]]
+            for at in range(0, int(size[k]), 256):
+                i, j = np.nonzero(own_root[at:at + 256, None] != own_root[None, :])
+                later = j > i + at
+                test(i[later] + at + head[k], j[later] + head[k])
         found = np.concatenate(out)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, name = [], None
+        rest = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
-            sketch = np.concatenate(batch.column(5).to_numpy(zero_copy_only=False)).reshape(-1, width)
-            edges = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
-            for a, b in zip(edges, [*edges[1:], batch.num_rows], strict=True):
-                if held and cols[0][a] != name:
-                    yield pairs(held)
-                    held = []
-                name = cols[0][a]
-                held.append((*(c[a:b] for c in cols), sketch[a:b].ravel()))
-        if held:
-            yield pairs(held)
+            sketch = np.concatenate(batch.column(5).to_numpy(zero_copy_only=False)).view(np.uint64)  # of a signed
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]  # number bits are counted wrongly
+            cols.append(sketch.reshape(-1, width))
+            if rest:
+                cols = [np.concatenate(c) for c in zip(rest, cols, strict=True)]
+            last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last group may go on
+            if last:
+                yield pairs(*(c[:last] for c in cols))
+            rest = [c[last:] for c in cols]
+        if rest:
+            yield pairs(*rest)
     return run
 
 

@@ -120,7 +120,7 @@ def signatures(own: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray,
             yield kernel.mix(value[:differ + 1] + salt + U64(1 << 32)), rare[:differ + 1]
 
 
-KEYS = "key long, salt int, set long"
+KEYS = "key long, set long"
 
 
 def _emit(counts: np.ndarray):
@@ -143,11 +143,10 @@ def _emit(counts: np.ndarray):
                         sizes.append(len(key))
                 if keys:
                     sets = np.repeat(np.array(sets, np.int64), sizes)
-                    parts = np.maximum(1, np.concatenate(rare) // SALT_ROWS).astype(np.int64)
-                    salt = np.where(parts > 1, 1 + (kernel.mix(sets.view(U64)) % parts.view(U64)).view(np.int64), 0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(sets)],
-                        ["key", "salt", "set"])
+                    parts = np.clip(np.concatenate(rare) // SALT_ROWS, 1, (1 << groups.PART_BITS) - 1).astype(U64)
+                    part = np.where(parts > 1, 1 + kernel.mix(sets.view(U64)) % parts, 0).astype(np.int64)
+                    key = (np.concatenate(keys).view(np.int64) >> groups.PART_BITS << groups.PART_BITS) | part
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(sets)], ["key", "set"])
     return run
 
 
