@@ -114,7 +114,7 @@ def shingle_sets(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.n
     return np.concatenate(sets) if sets else np.empty(0, U64), np.concatenate([[0], np.cumsum(counts)])
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 22):
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Slices of a record batch with about ``limit`` bytes of text each (one row at least)."""
     lengths = np.diff(utf8(batch.column(column))[1])
     total = np.cumsum(lengths)

@@ -38,7 +38,7 @@ SENTENCE = 4
 INSIDE = 24
 #: Without a boundary for GAP ids, cuts inside a sentence are offered every STEP ids.
 GAP, STEP = 128, 32
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 RUNOUT = 16
 SPECIAL = "<|endoftext|>"
 
@@ -173,7 +173,7 @@ def _pack(tokenizer: str, ranks: str, capacity: int, end_id: int):
                 ids = encode(text.as_py() or "")
                 ids.append(end_id)
                 docs.append((doc_id, size, len(ids)))
-                parts.append(np.array(ids, np.int64))
+                parts.append(np.array(ids, np.uint32))
                 size += len(ids)
                 if size >= BLOCK:
                     yield from settle(False)
