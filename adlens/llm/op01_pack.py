@@ -38,33 +38,32 @@ SENTENCE = 4
 INSIDE = 24
 #: Without a boundary for GAP ids, cuts inside a sentence are offered every STEP ids.
 GAP, STEP = 128, 32
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 RUNOUT = 16
 SPECIAL = "<|endoftext|>"
 
 PIECES = "doc_id long, start long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-@functools.lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-@functools.lru_cache(maxsize=2)
 def _encoder(tokenizer: str, ranks: str):
     """Encode text to ids, and a table of the ids after which a sentence ends. The byte-level ranks
-    give the tokenizer's ids; a text with its special token's string goes to the tokenizer itself."""
+    give the tokenizer's ids; a text with its special token's string goes to the tokenizer itself. Built
+    for each task, so that an idle worker holds none of it."""
     import tiktoken
 
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
+    @functools.cache
+    def whole():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(tokenizer)
+
     def encode(text: str) -> list[int]:
         if SPECIAL in text:
-            return _tokenizer(tokenizer).encode(text, add_special_tokens=False).ids
+            return whole().encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     ends = np.zeros(max(table.values()) + 2, bool)
