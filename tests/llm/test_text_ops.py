@@ -181,6 +181,35 @@ def test_a_failed_pair_does_not_hide_other_links(spark, monkeypatch):
     assert got == {docs[i][0]: x for i, x in gone.items()}
 
 
+def test_near_lines_are_found_by_edit_similarity_alone(spark):
+    """No SimHash in the expected result: every pair of lines with few enough edits is linked, from 9 words on."""
+    rng = random.Random(11)
+    docs = []
+    for n in (9, 10, 11, 19, 20, 30, 50, 100):
+        for _ in range(6):
+            line = [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+            docs.append((len(docs), " ".join(line)))
+            for edits in {1, n // 10, n // 10 + 1}:
+                w = list(line)
+                for _ in range(edits):
+                    at, kind = rng.randrange(len(w)), rng.choice("sid")
+                    w[at:at + (kind != "i")] = [] if kind == "d" else [f"z{rng.randint(0, 99)}"]
+                docs.append((len(docs), " ".join(w)))
+    lines = {line_words(t) for _, t in docs}
+    gone = removed_lines(docs, dict.fromkeys(lines, 0), 0, 0.9, 1)
+    got = {r.doc_id: r.removed_lines for r in op3.dedup_lines(frame(spark, docs)).collect()}
+    assert sum(map(len, gone.values())) > 60 and got == {docs[k][0]: x for k, x in gone.items()}
+
+
+def test_salted_keys_lose_no_near_line(spark, monkeypatch):
+    monkeypatch.setattr(op3, "SALT_ROWS", 3)
+    docs = near_lines()[:12]
+    lines = {line_words(x) for _, t in docs for x in t.split("\n")}
+    gone = removed_lines(docs, dict.fromkeys(lines, 0), 0, 0.9, 1)
+    got = {r.doc_id: r.removed_lines for r in op3.dedup_lines(frame(spark, docs)).collect()}
+    assert got == {docs[k][0]: x for k, x in gone.items()}
+
+
 def test_line_dedup_of_nothing(spark):
     assert op3.dedup_lines(frame(spark, [])).count() == 0
 
