@@ -210,6 +210,13 @@ def test_salted_keys_lose_no_near_line(spark, monkeypatch):
     assert got == {docs[k][0]: x for k, x in gone.items()}
 
 
+def test_exact_repeats_of_any_length_go(spark):
+    docs = [(1, "Home\n\n***\n中文没有空格的一行"), (2, "home!\nShare this\n\n***\n中文没有空格的一行"), (3, "share THIS\nAccept all cookies?"),
+            (4, "Accept all cookies")]
+    got = {r.doc_id: (r.text, r.removed_lines) for r in op3.dedup_lines(frame(spark, docs)).collect()}
+    assert got == {1: (docs[0][1], []), 2: ("Share this\n\n***", [0, 4]), 3: ("Accept all cookies?", [0]), 4: ("", [0])}
+
+
 def test_line_dedup_of_nothing(spark):
     assert op3.dedup_lines(frame(spark, [])).count() == 0
 
