@@ -32,8 +32,8 @@ _TAG = re.compile(
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""(?:\b(?:class|id|role|aria-label)\s*=\s*)(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$|/)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "object", "math", "head"}
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_RAW = {"script", "style", "template", "title", "textarea", "iframe", "svg", "head"}
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main menu nav ol optgroup option
     p pre search section select summary table tbody td tfoot th thead tr ul""".split())

@@ -81,6 +81,16 @@ def test_driver_pages_give_their_articles(spark):
         assert r.text == "\n".join(p for p in parts if p)
 
 
+def test_formulas_and_fallback_text_are_content():
+    page = ("<body><article><p>The area is <math><mi>a</mi><mo>=</mo><msup><mi>r</mi><mn>2</mn></msup></math> for a square of side r.</p>"
+            "<noscript><p>This paragraph of the article is also there without any scripts.</p></noscript>"
+            "<object data=x.swf><param name=a value=b><p>This paragraph stands in for the embedded object.</p></object>"
+            "<p>The last words.</p></article><nav><noscript><a href=m>Menu</a></noscript></nav>")
+    assert op2.main_text(page) == (
+        "The area is a=r2 for a square of side r.\nThis paragraph of the article is also there without any scripts.\n"
+        "This paragraph stands in for the embedded object.\nThe last words.")
+
+
 def test_a_large_page_takes_linear_time():
     page = "<body>" + "<div><p>text words in a row here.</p><a href=q>l</a></div>" * 5000
     assert len(op2.blocks(page)) == 10_000 and op2.main_text(page).count("\n") >= 0
