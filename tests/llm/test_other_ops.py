@@ -234,6 +234,17 @@ def test_wording_decides(spark):
     assert op8.license_blocks(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("width", [72, 80])
+@pytest.mark.parametrize("prefix", ["", "# ", " * ", "// "])
+def test_wrapped_notices_are_whole(width, prefix):
+    import textwrap
+    prose = [prefix + "Some other words of the file stand here, and none is about rights."] * 3
+    for name, wording in op8.TEMPLATES:
+        lines = textwrap.wrap(wording, width, initial_indent=prefix, subsequent_indent=prefix, break_on_hyphens=False, break_long_words=False)
+        text = "\n".join([prefix + "Copyright (c) 2020 A. Nother", prefix.strip(), *lines, prefix.strip(), *prose])
+        assert [(x[2], x[4], x[5]) for x in op8.scan(text, tuple(op8.TEMPLATES))] == [(name, 0, 0)], text
+
+
 # urls
 
 def parts(url):
