@@ -245,6 +245,17 @@ def test_wrapped_notices_are_whole(width, prefix):
         assert [(x[2], x[4], x[5]) for x in op8.scan(text, tuple(op8.TEMPLATES))] == [(name, 0, 0)], text
 
 
+def test_every_notice_of_a_run_is_found():
+    of = lambda text, templates=op8.TEMPLATES: [x[2] for x in op8.scan(text, tuple(templates))]
+    gpl = next(x for _, x in op8.TEMPLATES if x.startswith("This program"))
+    assert of("Code: Released under the MIT License; text: Licensed under CC BY 4.0") == ["MIT", "CC-BY-4.0"]
+    assert of("Licensed under CC BY 4.0.\n" + gpl.replace("modify ", "modify\n").replace("option) ", "option)\n")) == ["CC-BY-4.0", "GPL-3.0"]
+    assert of("Licensed under CC BY 4.0.\nLicensed under CC BY 4.0.") == ["CC-BY-4.0"] * 2
+    close = [(f"L{k}", "Licensed under the very same long public wording for all files of the project, edition " + x)
+             for k, x in enumerate(["one", "two", "three", "four", "five", "six"])]
+    assert [of(text, close) for _, text in close] == [[name] for name, _ in close]
+
+
 # urls
 
 def parts(url):
