@@ -11,6 +11,9 @@ from adlens.llm.op07_hmm import op7_hmm_scores
 from adlens.llm.op08_license import op8_license_scan
 from adlens.llm.op09_urls import op9_url_filters
 from adlens.llm.op10_quality import op10_quality_rules
+from adlens.llm.op11_ann import op11_ann_graph
+from adlens.llm.op12_divergence import OP12_SQL, op12_source_divergence
+from adlens.llm.op13_resample import OP13_SQL, op13_importance_resampling
 
 QUERIES = {
     "op1_packing": op1_packing,
@@ -23,9 +26,14 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ann_graph": op11_ann_graph,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_importance_resampling": op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op4_decontamination": OP4_SQL,
+    "op12_source_divergence": OP12_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }
