@@ -284,11 +284,11 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = NEAREST, beam: i
     distinct = common.stash(asked.select("vec").distinct().withColumn("q", F.monotonically_increasing_id()))
     parts = max(1, -(-distinct.count() // QUERY_ROWS))
     part = F.pmod(F.xxhash64("q"), F.lit(parts)).cast("int").alias("part")
-    at = index.select("shard", "size").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    wanted = (distinct.select("q", "vec", F.octet_length("vec").alias("size"), part)
-              .join(at, ["size", "part"]).select("shard", "size", "part", "q", "vec"))
     spread = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    found = (spread.groupBy("shard", "size", "part").cogroup(wanted.groupBy("shard", "size", "part"))
+    last = index.agg(F.max("shard")).first()[0] or 0
+    wanted = distinct.select(F.explode(F.sequence(F.lit(0), F.lit(last))).alias("at"),
+                             F.octet_length("vec").alias("length"), part, "q", "vec")
+    found = (spread.groupBy("shard", "size", "part").cogroup(wanted.groupBy("at", "length", "part"))
              .applyInArrow(_search(kind, k + 1, beam), FOUND))
     best = common.stash(found.groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, k + 1).alias("top")))
     own = asked.join(distinct, "vec").select(F.col("vec_id").alias("query_id"), "q").join(best, "q")
