@@ -202,9 +202,10 @@ GRAPH = "shard int, size int, points binary, edges binary, ids binary, counts bi
 def _build(kind: np.dtype):
     """The graph of each vector length that a shard holds, as one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(batches)
-        vectors = held.column("vec").to_pylist() if held.num_rows else []
-        ids = held.column("ids").to_pylist() if held.num_rows else []
+        vectors, ids = [], []
+        for batch in batches:
+            vectors += batch.column("vec").to_pylist()
+            ids += batch.column("ids").to_pylist()
         for size in sorted({len(v) for v in vectors}):
             own = sorted((v, i) for v, i in zip(vectors, ids, strict=True) if len(v) == size)
             order = np.random.default_rng(0).permutation(len(own))

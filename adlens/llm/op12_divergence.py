@@ -298,20 +298,21 @@ def shares(groups: DataFrame, terms: DataFrame, counts: DataFrame, smoothing: in
     return stats, common.stash(rows)
 
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("value", pa.int64())])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("value", pa.int64()), ("met", pa.int64())])
 
 
 def _distances(part: pa.Table) -> pa.Table:
-    """Sums of absolute differences of each pair of sources of one slice and two tiles."""
+    """Sums of absolute differences of each pair of sources of one slice and two tiles, over the terms that any of these
+    sources has, and the number of those terms."""
     group, term = part.column("group").to_numpy(), part.column("term")
     numbers, row = np.unique(group, return_inverse=True)
     base, left = np.empty(len(numbers), np.int64), np.empty(len(numbers), bool)
     base[row] = part.column("p0").fill_null(0).to_numpy()
-    left[row] = (part.column("own") .to_numpy() == part.column("ta").to_numpy())
+    left[row] = (part.column("own").to_numpy() == part.column("ta").to_numpy())
     real = term.is_valid().to_numpy()
-    terms, column = np.unique(term.to_numpy()[real].astype(np.int64), return_inverse=True)
+    terms, column = np.unique(term.fill_null(0).to_numpy()[real], return_inverse=True)
     table = np.repeat(base[:, None], len(terms), 1)
-    table[row[real], column] = part.column("p").to_numpy()[real].astype(np.int64)
+    table[row[real], column] = part.column("p").fill_null(0).to_numpy()[real]
     one = part.column("ta")[0].as_py() == part.column("tb")[0].as_py()
     a, b, value = [], [], []
     for i in range(len(numbers)):
@@ -322,7 +323,8 @@ def _distances(part: pa.Table) -> pa.Table:
             value.append(np.abs(table[others] - table[i]).sum(1))
     if not a:
         return _PAIRS.empty_table()
-    return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, value)], schema=_PAIRS)
+    a, b, value = (np.concatenate(x) for x in (a, b, value))
+    return pa.Table.from_arrays([pa.array(x) for x in (a, b, value, np.full(len(a), len(terms)))], schema=_PAIRS)
 
 
 def pairs(stats: DataFrame, rows: DataFrame, slice_terms: int = SLICE, tile: int = TILE) -> DataFrame:
@@ -340,7 +342,14 @@ def pairs(stats: DataFrame, rows: DataFrame, slice_terms: int = SLICE, tile: int
              .withColumn("ta", F.least("own", "other")).withColumn("tb", F.greatest("own", "other")))
     common.ship(rows.sparkSession)
     parts = (dealt.groupBy("lang", "slice", "ta", "tb")
-             .applyInArrow(_distances, "a long, b long, value long").groupBy("a", "b").agg(F.sum("value").alias("value")))
+             .applyInArrow(_distances, "a long, b long, value long, met long")
+             .groupBy("a", "b").agg(F.sum("value").alias("value"), F.sum("met").alias("met")))
+    # a term that neither has differs by what they give to a term they lack
+    for x in ("a", "b"):
+        parts = parts.join(stats.select(F.col("group").alias(x), F.coalesce("p0", F.lit(0)).alias(f"p0_{x}"),
+                                        F.col("kept").alias(f"kept_{x}")), x)
+    lacked = (F.col("kept_a") - F.col("met")) * F.abs(F.col("p0_a") - F.col("p0_b"))
+    parts = parts.withColumn("value", F.col("value") + lacked)
     both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
     return parts.select(both.alias("pair"), "value").select("pair.a", "pair.b", "value")
 

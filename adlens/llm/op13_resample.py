@@ -149,9 +149,10 @@ def features(batch: pa.RecordBatch, runs: int = RUNS, buckets: int = BUCKETS) ->
         head = np.arange(max(0, len(starts) - run + 1))
         head = head[row[head] == row[head + run - 1]] if len(head) else head
         tail = head + run - 1
-        bucket.append(crc32_spans(joined, begin[head], begin[tail] + size[tail] - begin[head]) % np.uint32(buckets))
+        hashes = crc32_spans(joined, begin[head], begin[tail] + size[tail] - begin[head])
+        bucket.append(hashes.astype(np.int64) % buckets)
         of.append(row[head])
-    return np.concatenate(bucket).astype(np.int64), np.concatenate(of), n_words
+    return np.concatenate(bucket), np.concatenate(of), n_words
 
 
 def _count(runs: int, buckets: int):
