@@ -253,7 +253,7 @@ def kept_terms(docs: DataFrame, least: int = LEAST, bits: int = 64) -> tuple[Dat
                           .groupBy("digest").agg(F.sum("n").alias("documents")).where(F.col("documents") >= least))
     gathered = common.stash(common.arrow(texts, _gather(_bitmap(passed, bits), bits), GATHERED))
     strings = common.stash(gathered.where("low is not null").groupBy("digest")
-                           .agg(F.min("low").alias("low"), F.max("high").alias("high")).join(passed, "digest", "left_semi"))
+                           .agg(F.min("low").alias("low"), F.max("high").alias("high")).join(passed.select("digest"), "digest"))
     counts = gathered.where("low is null").groupBy("group", "digest").agg(F.sum("n").alias("n"))
     alone = strings.where("low = high").select("digest", F.col("low").alias("text"))
     shared = common.stash(strings.where("low != high").select("digest"))
