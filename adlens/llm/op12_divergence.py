@@ -40,7 +40,7 @@ LISTED = 50
 SLICE = 1024
 TILE = 128
 #: Counters a task holds before it sends them.
-HELD = 1 << 19
+HELD = 1 << 20
 #: The bitmap of digests has 8 bits a digest, up to 2**MOST_BITS (8 MB).
 MOST_BITS = 26
 
@@ -64,9 +64,11 @@ class Terms:
     def only(self, keep: np.ndarray) -> None:
         self.starts, self.ends, self.row, self.digest = (x[keep] for x in (self.starts, self.ends, self.row, self.digest))
 
-    def spell(self, k: int) -> bytes:
-        """lang and term, a zero byte between them (no term holds one)."""
-        return self.langs[self.row[k]].encode() + b"\0" + kernel.LOWER[self.data[self.starts[k]:self.ends[k]]].tobytes()
+    def spelled(self, places: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+        """Digest, row, and lang and term with a zero byte between them (no term holds one)."""
+        low, head = kernel.LOWER[self.data].tobytes(), [x.encode() + b"\0" for x in self.langs]
+        for digest, row, a, b in zip(*(x[places].tolist() for x in (self.digest, self.row, self.starts, self.ends)), strict=True):
+            yield digest, row, head[row] + low[a:b]
 
     def differing(self, order: np.ndarray, head: np.ndarray) -> np.ndarray:
         """Of the terms in ``order`` (sorted by digest), those whose text or lang isn't that of the first term of
@@ -180,8 +182,8 @@ def _gather(bitmap: np.ndarray, bits: int):
                 order = np.argsort(terms.digest, kind="stable")
                 at = _runs(terms.digest[order])
                 heads = order[at]
-                for k in [*heads.tolist(), *terms.differing(order, np.repeat(heads, np.diff(np.append(at, len(order))))).tolist()]:
-                    digest, text = int(terms.digest[k]), terms.spell(k)
+                others = terms.differing(order, np.repeat(heads, np.diff(np.append(at, len(order)))))
+                for digest, _, text in terms.spelled(np.concatenate([heads, others])):
                     old = table.get(digest)
                     if old is None:
                         table[digest] = (text, text)
@@ -213,8 +215,8 @@ def _split(bitmap: np.ndarray, bits: int):
                 terms.only((bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0)
                 groups = part.column("group").to_pylist()
                 found: dict[tuple[int, bytes], list[int]] = {}
-                for k, row in enumerate(terms.row.tolist()):
-                    own = found.setdefault((groups[row], terms.spell(k)), [0, 0, -1])
+                for _, row, text in terms.spelled(np.arange(len(terms.row))):
+                    own = found.setdefault((groups[row], text), [0, 0, -1])
                     own[0] += 1
                     own[1] += own[2] != row
                     own[2] = row
