@@ -53,8 +53,9 @@ class Driver:
         """Parts of the focus brand, before any join: by name for the platform layer; for the store layer
         also by the other UTM texts of meta."""
         if "shopify" not in layers:
-            return self.part.where(self._is_focus("p_name_google") | self._is_focus("p_name_meta"))
-        pt = tables.mapped_part(self.spark, self.sf_dir, self.bmap, ("p_name", "p_brand", "p_type"))
+            named = tables.mapped_part(self.spark, self.sf_dir, self.bmap, hits_only=True)
+            return named.where(self._is_focus("p_name_google") | self._is_focus("p_name_meta"))
+        pt = tables.mapped_part(self.spark, self.sf_dir, self.bmap, ("p_name", "p_brand", "p_type"), hits_only=True)
         hit = self._is_focus("p_name_meta") | self._is_focus("p_brand_meta") | self._is_focus("p_type_meta")
         return pt.withColumn("meta_hit", hit).where(hit | self._is_focus("p_name_google"))
 

@@ -111,7 +111,7 @@ WHERE NOT EXISTS (SELECT 1 FROM v)"""
 def guardrails(d: Driver):
     """Brand-map guardrails per name and month; one ok row when nothing is violated."""
     return quality.guardrails(_entities(d), d.p.focus_brand, d.p.must_map_tokens, d.p.must_not_map_tokens,
-                              rules=d.bmap.rules)
+                              rules=d.bmap.candidates)
 
 
 def _conf_sql(col: str) -> str:

@@ -34,18 +34,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def mapped_part(spark: SparkSession, sf_dir: str, bmap, texts=("p_name",)) -> DataFrame:
+def mapped_part(spark: SparkSession, sf_dir: str, bmap, texts=("p_name",), hits_only: bool = False) -> DataFrame:
     """part with the winning rule of each of ``texts`` on both platforms: columns
     ``<text>_google`` and ``<text>_meta``, struct(brand, pattern, priority) or null.
-    Rules are tested once per distinct text of this dimension; the result travels
-    through the joins with the big tables."""
+    Rules are tested on this dimension, all texts in one pass; the result travels
+    through the joins with the big tables. ``hits_only`` leaves out parts without a hit."""
     pt = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    names = pt.select(F.explode(F.array(*texts)).alias("name"))
-    best = bmap.wide(names, ("google", "meta"))
-    for c in texts:
-        own = best.select(F.col("name").alias("_n"), F.col("google").alias(f"{c}_google"), F.col("meta").alias(f"{c}_meta"))
-        pt = pt.join(own, F.lower(c) == F.col("_n"), "left").drop("_n")
-    return pt
+    best = bmap.by_key(pt, "p_partkey", texts, ("google", "meta"))
+    return pt.join(best, "p_partkey", "inner" if hits_only else "left")
 
 
 def _channel_from_flag():
