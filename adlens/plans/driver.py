@@ -158,20 +158,25 @@ class Driver:
                                            "l_returnflag", "l_shipdate")
         od = self.table("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
         on_part, on_order = F.col("l_partkey") == F.col("p_partkey"), F.col("l_orderkey") == F.col("o_orderkey")
-        rows = {"platform": self._platform_row(period, max_day), "shopify": self._store_row(period, max_day)}
+        rows = {"platform": self._platform_row, "shopify": self._store_row}
         if set(layers) == set(BOTH) and not months:
             joined = li.join(self.focus_part(layers), on_part).join(od, on_order, "left")
-            frames = [joined.select(F.explode(F.array(*rows.values())).alias("r"))]
+            return [self.both_layers(joined, period, max_day)]
         else:
             frames = []
             if "platform" in layers:
                 frames.append(li.where(_in_months("l_shipdate", months)).join(self.focus_part(PLATFORM), on_part)
-                              .select(rows["platform"].alias("r")))
+                              .select(rows["platform"](period, max_day).alias("r")))
             if "shopify" in layers:
                 frames.append(li.join(self.focus_part(), on_part).join(od.where(_in_months("o_orderdate", months)), on_order)
-                              .select(rows["shopify"].alias("r")))
+                              .select(rows["shopify"](period, max_day).alias("r")))
         return [f.select("r.*").where(F.col("channel").isNotNull()) for f in frames]
 
+    def both_layers(self, joined: DataFrame, period: str = "month", max_day: int | None = None) -> DataFrame:
+        """Staged rows of both layers from lines that carry the columns of their part and order."""
+        rows = F.array(self._platform_row(period, max_day), self._store_row(period, max_day))
+        return joined.select(F.explode(rows).alias("r")).select("r.*").where(F.col("channel").isNotNull())
+
     def fact(self, sort: bool = False, period: str = "month", max_day: int | None = None, layers=BOTH,
              months: list | None = None) -> DataFrame:
         months = months or self.p.months

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes, splits
@@ -43,3 +47,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return folder
+
+
+_scratch: list[str] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Where derived tables are kept: ``spark.checkpoint.dir``. Only in local mode, where driver and executors are one
+    process, a scratch folder stands in for it."""
+    master = spark.sparkContext.master
+    if spark.conf.get("spark.checkpoint.dir", None) or not (master == "local" or master.startswith("local[")):
+        return checkpoint_dir(spark)
+    if not _scratch:
+        _scratch.append(tempfile.mkdtemp(prefix="adlens-store-"))
+        atexit.register(shutil.rmtree, _scratch[0], ignore_errors=True)
+    return "file://" + _scratch[0]
