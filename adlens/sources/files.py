@@ -16,8 +16,9 @@ Column names are normalised to snake_case at this boundary when asked.
 from __future__ import annotations
 
 import re
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,13 +63,10 @@ def read_csv_strings(spark: SparkSession, paths, columns: list | None = None, mu
     quoted line breaks are declared by ``multi_line``. Paths that don't exist count as empty. Every
     row has its decoded path in ``source_file``."""
     files = existing(spark, paths)
-    by_header: dict[tuple, list] = {}
-    with ThreadPoolExecutor(8) as pool:  # a small job per file, which reads its first line
-        headers = pool.map(lambda f: tuple(_reader(spark, multi_line).csv(f).columns), files)
-        for f, header in zip(files, headers, strict=True):
-            by_header.setdefault(header, []).append(f)
     out = None
-    for header, own in by_header.items():
+    for group in by_head(spark, files):  # a header is read once, not once a file
+        own = [_escaped(p) for p in group.paths]
+        header = _reader(spark, multi_line).csv(own[0]).columns
         if not header:
             continue
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
@@ -83,43 +81,99 @@ def read_csv_strings(spark: SparkSession, paths, columns: list | None = None, mu
     return out
 
 
-def head_lines(spark: SparkSession, path: str, n: int = 3, most: int = 1 << 16) -> list[str]:
-    """The first ``n`` lines of a text file (each cut at ``most`` bytes), decoded by byte-order mark, as UTF-8
-    or else as Latin-1. Only the head of the file is read."""
-    rows = (spark.read.option("lineSep", "\n").text(path)
-            .select(F.substring(F.col("value").cast("binary"), 1, most).alias("line")).limit(n).collect())
-    raw = b"\n".join(bytes(r.line) for r in rows)
-    if raw[:2] in (b"\xff\xfe", b"\xfe\xff"):
-        text = raw[:len(raw) // 2 * 2].decode("utf-16", "replace")
-    else:
-        try:
-            text = raw.decode("utf-8-sig")
-        except UnicodeDecodeError:
-            text = raw.decode("latin-1")
-    return [x.rstrip("\r") for x in text.split("\n")][:n]
-
-
-def read_utf16_tsv(spark: SparkSession, path: str, preamble_rows: int = 2) -> DataFrame:
-    """UTF-16 TSV export: preamble lines, then the header, then rows, as text columns by the names of
-    the header. The preamble and the header are dropped by their content (a preamble line has one
-    field, whose text is known; a row with blank fields stays). Lines are found by their bytes, so a
-    file is split among tasks. The encoding is little-endian, as the exports have it."""
-    top = head_lines(spark, path, preamble_rows + 1)
-    if len(top) <= preamble_rows:
-        return spark.createDataFrame([], "source_file string")
+#: Raw lines looked at for a file's first lines: in UTF-16 some letters hold the byte of a line break.
+HEAD_PARTS = 64
+HEADS = "path string, encoding string, lines array<string>"
+
+
+def _decoded(raw: bytes) -> tuple[str, str]:
+    """(encoding, text) by byte-order mark, as UTF-8 or else as Latin-1."""
+    for mark, encoding in ((b"\xff\xfe", "UTF-16LE"), (b"\xfe\xff", "UTF-16BE")):
+        if raw.startswith(mark):
+            return encoding, raw[2:len(raw) // 2 * 2].decode(encoding, "replace")
+    try:
+        return "UTF-8", raw.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return "ISO-8859-1", raw.decode("latin-1")
+
+
+def _first_lines(n: int):
+    """The first ``n`` lines of the file that a task reads. The task ends with its first batches: the rest of the file
+    is never read."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, parts = None, []
+        for batch in batches:
+            path = path or (batch.column("path")[0].as_py() if batch.num_rows else None)
+            parts += batch.column("line").to_pylist()
+            if len(parts) >= HEAD_PARTS:
+                break
+        if path is not None:
+            encoding, text = _decoded(b"\n".join(parts[:HEAD_PARTS]))
+            lines = [x.rstrip("\r") for x in text.split("\n")][:n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path]), pa.array([encoding]), pa.array([lines], pa.list_(pa.string()))], ["path", "encoding", "lines"])
+    return run
+
+
+def heads(spark: SparkSession, paths: list[str], n: int = 3) -> DataFrame:
+    """(path, encoding, lines): encoding and first ``n`` lines of every file that isn't empty, in one job, whatever the
+    number of files. A file is one task, which stops after its head."""
+    own = spark.newSession()  # its settings: a file isn't split, and no task gets two
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEAD_PARTS))
+    if not paths:
+        return own.createDataFrame([], HEADS)
+    lines = (own.read.option("lineSep", "\n").text(paths)
+             .select(F.url_decode(F.col("_metadata.file_path")).alias("path"), F.col("value").cast("binary").alias("line")))
+    return lines.mapInArrow(_first_lines(n), HEADS)
+
+
+def head_lines(spark: SparkSession, path: str, n: int = 3) -> list[str]:
+    """The first ``n`` lines of a text file."""
+    found = heads(spark, [path], n).collect()
+    return found[0].lines if found else []
+
+
+def by_head(spark: SparkSession, files: list[str], line: int = 0) -> list:
+    """The files grouped on the executors by encoding and first lines (up to and with number ``line``): rows of
+    (encoding, lines, paths). Empty files are in no group."""
+    return (heads(spark, [_escaped(f) for f in files], line + 1).where(F.size("lines") > line).groupBy("encoding", "lines")
+            .agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("paths").collect())  # names of files, and their headers
+
+
+def _escaped(path: str) -> str:
+    """A decoded path as Spark's readers take it: literally, not as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def read_utf16_tsv(spark: SparkSession, paths, preamble_rows: int = 2) -> DataFrame:
+    """TSV exports in UTF-16 of either byte order, or in UTF-8: preamble lines, then the header, then rows, as text columns
+    by the names of the header. ``paths`` is one path or many; files with the same encoding and head are read together, and
+    the reads are united by column name. The preamble and the header are dropped by their content (a preamble line has one
+    field, whose text is known; a row with blank fields stays). Lines are found by their bytes, so a file is split among
+    tasks; in UTF-16 a letter that ends in the byte 00 right before one that begins with 0A would end a line. Paths that don't exist and files that end before their header count as empty."""
+    out = None
+    for group in by_head(spark, existing(spark, paths), preamble_rows):
+        df = _tsv(spark, [_escaped(p) for p in group.paths], group.encoding, group.lines, preamble_rows)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return spark.createDataFrame([], "source_file string") if out is None else \
+        out.select(*[c for c in out.columns if c != "source_file"], "source_file")
+
+
+def _tsv(spark: SparkSession, paths: list[str], encoding: str, top: list[str], preamble_rows: int) -> DataFrame:
     header = [c.strip("\ufeff") for c in top[preamble_rows].split("\t")]
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
-    df = (spark.read.option("encoding", "UTF-16LE").option("sep", "\t").option("lineSep", "\n")
-          .option("header", False).option("mode", "PERMISSIVE").schema(schema).csv(path)
+    df = (spark.read.option("encoding", encoding).option("sep", "\t").option("lineSep", "\n")
+          .option("header", False).option("mode", "PERMISSIVE").option("maxCharsPerColumn", -1)
+          .option("maxColumns", max(20480, len(header) + 1)).schema(schema).csv(paths)
           .withColumn("source_file", F.url_decode(F.col("_metadata.file_path"))))
     clean = [F.regexp_replace(F.col(f"_c{i}"), "^\ufeff|\r$", "").alias(c) for i, c in enumerate(header)]
     df = df.select(*[F.when(c != "", c).alias(n) for c, n in zip(clean, header, strict=True)], "source_file")
-    same = F.lit(True)
-    for c in header:
-        same = same & F.col(f"`{c}`").eqNullSafe(F.lit(c if c else None))
-    rest_null = F.lit(True)
-    for c in header[1:]:
-        rest_null = rest_null & F.col(f"`{c}`").isNull()
+    fields = F.array(*[F.col(f"`{c}`") for c in header])
+    same = fields.eqNullSafe(F.array(*[F.lit(c if c else None).cast("string") for c in header]))
+    rest_null = F.size(F.array_compact(F.slice(fields, 2, len(header)))) == 0
     intro = [x.strip("\ufeff") for x in top[:preamble_rows]]
     first = F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))
     preamble = rest_null & (first.isin(intro) if intro else F.lit(False))
@@ -190,11 +244,10 @@ def manifest(spark: SparkSession, root: str, rules: list, with_preview: bool = T
             month_from_name(name).alias("parsed_month"), ok.alias("parseable_by_etl"),
             F.when(ext == "xlsx", "yes").otherwise("no").alias("needs_manual_xlsx_etl")]
     if with_preview:
-        files = [r.path for r in df.where(ext == "csv").select("path").collect()]  # file names, not data
-        with ThreadPoolExecutor(8) as pool:
-            heads = pool.map(lambda f: (f, header_preview(head_lines(spark, f))), files)
-            heads = spark.createDataFrame(list(heads), "path string, _preview string")
-        df = df.join(heads, "path", "left")
+        files = [_escaped(r.path) for r in df.where(ext == "csv").select(path.alias("path")).collect()]  # file names, not data
+        previews = [(r.path, header_preview(r.lines)) for r in heads(spark, files).collect()]  # 500 characters a file
+        previews = spark.createDataFrame(previews, "_path string, _preview string")
+        df = df.join(previews, path == F.col("_path"), "left")
         cols.append(F.coalesce("_preview", F.lit("")).alias("header_preview"))
     cols.append(note.alias("notes"))
     return df.select(*cols)
@@ -204,9 +257,14 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "month_star
                       fmt: str = "parquet") -> None:
     """Sink partitioned by month; only the months present in ``df`` are
     replaced (dynamic partition overwrite), so a re-run of one month does
-    not touch the others."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).format(fmt).save(path))
+    not touch the others. CSV files get a header."""
+    out = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    (out.option("header", True) if fmt == "csv" else out).format(fmt).save(path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A mart or tab as CSV with a header in every file; a null is an empty field, an empty text is quoted."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def load_table(df: DataFrame, name: str, path: str | None = None) -> None:

@@ -1,10 +1,13 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from adlens.functions import fmt
 from adlens.functions.metrics import revenue_from_roas
 from adlens.operators import report
 from adlens.operators.mapping import BrandMap
-from adlens.operators.resolve import resolve_types
+from adlens.operators.resolve import fuzzy_types, resolve_types
 from adlens.plans.driver import Driver
 
 
@@ -68,3 +71,54 @@ def test_platform_queries_do_not_read_orders(spark):
 def test_no_names_at_all(spark):
     empty = spark.createDataFrame([], "name string")
     assert BrandMap.from_rows(spark, []).attach(empty, "name", "meta").count() == 0
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(row[j] + 1, now[-1] + 1, row[j - 1] + (x != y)))
+        row = now
+    return row[-1]
+
+
+def test_fuzzy_types_equal_all_pairs(spark):
+    """Also short keys, repeated grams, ties, nulls and blanks; random edits at and beyond the bound."""
+    rng = random.Random(4)
+    names = ["aaaaaaaaaa", "aaaaaaaaab", "abababababab", "ab", "abcd", "abcde", "abcdf", "summer sale 2026", "summer sole 2026", "x", ""]
+    names += ["".join(rng.choice("abc_ ") for _ in range(rng.randint(3, 14))) for _ in range(60)]
+    texts = [*names[:9], None, "", "--", "Summer-Sale 2026!", "sumer sale 202", "smmr sl"]
+    for t in names:
+        for _ in range(2):
+            x = list(t)
+            for _ in range(rng.randint(1, 3)):
+                at = rng.randint(0, max(0, len(x) - 1))
+                x[at:at + rng.randint(0, 1)] = rng.choice(["", "c", "zz"])
+            texts.append("".join(x))
+    known = [(n, f"T{k % 7}") for k, n in enumerate(names)] + [(None, "X")]
+    key = lambda t: re.sub("[^a-z0-9]+", "_", t.strip(" ").lower()).strip("_")
+    kinds = {}
+    for n, c in known:
+        if n is not None and key(n):
+            kinds[key(n)] = min(kinds.get(key(n), c), c)
+    want = {}
+    for t in texts:
+        if t is not None:
+            near = sorted((edits(key(t), m), m, c) for m, c in kinds.items() if key(t)
+                          and edits(key(t), m) <= min(max(len(key(t)), len(m)) // 5, 2))
+            want[t] = (near[0][2], near[0][1], near[0][0]) if near else (None, None, None)
+    got = fuzzy_types(spark.createDataFrame([(t,) for t in texts], "text string"), spark.createDataFrame(known, "name string, campaign_type string"))
+    assert {r.text: (r.campaign_type, r.matched_key, r.distance) for r in got.collect()} == want
+    assert want["sumer sale 202"][2] == 2 and sum(v[2] is None for v in want.values()) > 5
+
+
+def test_fuzzy_query_compares_no_pairs(spark):
+    from adlens.plans.catalog import QUERIES
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["campaign_type_fuzzy"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "ReusedExchange" in plan
