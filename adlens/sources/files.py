@@ -83,6 +83,7 @@ def read_csv_strings(spark: SparkSession, paths, columns: list | None = None, mu
 
 #: Raw lines looked at for a file's first lines: in UTF-16 some letters hold the byte of a line break.
 HEAD_PARTS = 64
+SMALL = 1 << 20
 HEADS = "path string, encoding string, lines array<string>"
 
 
@@ -97,37 +98,47 @@ def _decoded(raw: bytes) -> tuple[str, str]:
         return "ISO-8859-1", raw.decode("latin-1")
 
 
-def _first_lines(n: int):
-    """The first ``n`` lines of the file that a task reads. The task ends with its first batches: the rest of the file
-    is never read."""
+def _first_lines(n: int, alone: bool):
+    """The first ``n`` lines of each file that a task reads. With ``alone`` a task has one file, and ends with its
+    first batches: the rest of the file is never read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, parts = None, []
+        parts: dict[str, list[bytes]] = {}
         for batch in batches:
-            path = path or (batch.column("path")[0].as_py() if batch.num_rows else None)
-            parts += batch.column("line").to_pylist()
-            if len(parts) >= HEAD_PARTS:
+            for path, line in zip(batch.column("path").to_pylist(), batch.column("line").to_pylist(), strict=True):
+                own = parts.setdefault(path, [])
+                if len(own) < HEAD_PARTS:
+                    own.append(line)
+            if alone and any(len(own) >= HEAD_PARTS for own in parts.values()):
                 break
-        if path is not None:
-            encoding, text = _decoded(b"\n".join(parts[:HEAD_PARTS]))
-            lines = [x.rstrip("\r") for x in text.split("\n")][:n]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([path]), pa.array([encoding]), pa.array([lines], pa.list_(pa.string()))], ["path", "encoding", "lines"])
+        texts = [_decoded(b"\n".join(own)) for own in parts.values()]
+        lines = [[x.rstrip("\r") for x in text.split("\n")][:n] for _, text in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string()), pa.array([e for e, _ in texts], pa.string()),
+                                          pa.array(lines, pa.list_(pa.string()))], ["path", "encoding", "lines"])
     return run
 
 
 def heads(spark: SparkSession, paths: list[str], n: int = 3) -> DataFrame:
-    """(path, encoding, lines): encoding and first ``n`` lines of every file that isn't empty, in one job, whatever the
-    number of files. A file is one task, which stops after its head."""
-    own = spark.newSession()  # its settings: a file isn't split, and no task gets two
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
-    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
-    own.conf.set("spark.sql.files.minPartitionNum", "1")
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEAD_PARTS))
-    if not paths:
-        return own.createDataFrame([], HEADS)
-    lines = (own.read.option("lineSep", "\n").text(paths)
-             .select(F.url_decode(F.col("_metadata.file_path")).alias("path"), F.col("value").cast("binary").alias("line")))
-    return lines.mapInArrow(_first_lines(n), HEADS)
+    """(path, encoding, lines): encoding and first ``n`` lines of every file that isn't empty, in as many jobs for a
+    thousand files as for ten. A file of over SMALL bytes is one task, which stops after its head; smaller ones share
+    tasks."""
+    def read(some: list[str], alone: bool) -> DataFrame:
+        own = spark.newSession()  # for its settings
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50 if alone else 16 * SMALL))
+        own.conf.set("spark.sql.files.openCostInBytes", str(1 << 50 if alone else SMALL // 16))
+        own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEAD_PARTS if alone else 10_000))
+        if alone:
+            own.conf.set("spark.sql.files.minPartitionNum", "1")
+        if not some:
+            return own.createDataFrame([], HEADS)
+        lines = (own.read.option("lineSep", "\n").text(some)
+                 .select(F.url_decode(F.col("_metadata.file_path")).alias("path"), F.col("value").cast("binary").alias("line")))
+        return lines.mapInArrow(_first_lines(n, alone), HEADS)
+
+    listed = spark.read.format("binaryFile").load(paths).select("path", "length").collect() if paths else []
+    large = [_escaped(r.path) for r in listed if r.length > SMALL]
+    small = [_escaped(r.path) for r in listed if r.length <= SMALL]
+    found = read(small, False)
+    return found.unionAll(read(large, True)) if large else found
 
 
 def head_lines(spark: SparkSession, path: str, n: int = 3) -> list[str]:
