@@ -45,14 +45,13 @@ def _padded_grams(key: str) -> str:
 
 
 def _prefixes(keys: DataFrame) -> DataFrame:
-    """``keys(key, ...)`` with ``grams`` (all) and ``prefix``: enough of its rarest grams to meet any key it may match."""
-    cut = keys.withColumn("grams", F.expr(_padded_grams("key")))
-    spread = cut.select("key", F.explode("grams").alias("gram"))
+    """``keys(key, ...)`` with ``prefix``: enough of its rarest grams to meet any key it may match."""
+    spread = keys.select("key", F.explode(F.expr(_padded_grams("key"))).alias("gram"))
     count = spread.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     ordered = (spread.join(count, "gram").groupBy("key")
                .agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("by_rarity")))  # as many as a key has grams
     need = Q * allowed_edits(F.length("key") + MOST_EDITS) + 1
-    return cut.join(ordered, "key").withColumn("prefix", F.slice(F.transform("by_rarity", lambda x: x["gram"]), F.lit(1), need)).drop("by_rarity")
+    return keys.join(ordered, "key").withColumn("prefix", F.slice(F.transform("by_rarity", lambda x: x["gram"]), F.lit(1), need)).drop("by_rarity")
 
 
 def fuzzy_types(texts: DataFrame, known: DataFrame) -> DataFrame:
@@ -70,16 +69,13 @@ def fuzzy_tagged(tagged: DataFrame) -> DataFrame:
             .agg(F.max(F.col("text").isNotNull()).alias("asked"), F.max(F.col("text").isNull()).alias("is_known"),
                  F.min("campaign_type").alias("campaign_type")))
     cut = _prefixes(keys)
-    left = cut.where("asked").select("key", "grams", F.explode("prefix").alias("gram"))
-    right = cut.where("is_known").select(F.col("key").alias("matched_key"), "campaign_type", F.col("grams").alias("others"),
-                                         F.explode("prefix").alias("gram"))
-    n = F.greatest(F.length("key"), F.length("matched_key"))
-    k = allowed_edits(n)
-    shared = F.size(F.array_intersect("grams", "others"))
-    pairs = (left.join(right, "gram").where((F.abs(F.length("key") - F.length("matched_key")) <= k) & (shared >= n + (Q - 1) - Q * k))
+    left = cut.where("asked").select("key", F.explode("prefix").alias("gram"))
+    right = cut.where("is_known").select(F.col("key").alias("matched_key"), "campaign_type", F.explode("prefix").alias("gram"))
+    longer = F.greatest(F.length("key"), F.length("matched_key"))
+    pairs = (left.join(right, "gram").where(F.abs(F.length("key") - F.length("matched_key")) <= allowed_edits(longer))
              .select("key", "matched_key", "campaign_type").distinct())
     far = F.levenshtein("key", "matched_key", MOST_EDITS)
-    near = (pairs.withColumn("distance", far).where((F.col("distance") >= 0) & (F.col("distance") <= allowed_edits(F.greatest(F.length("key"), F.length("matched_key")))))
+    near = (pairs.withColumn("distance", far).where((F.col("distance") >= 0) & (F.col("distance") <= allowed_edits(longer)))
             .groupBy("key").agg(F.min(F.struct("distance", "matched_key", "campaign_type")).alias("best")))
     # short keys allow no edit and meet by equality
     same = keys.where("asked and is_known").select("key", F.struct(F.lit(0).alias("distance"), F.col("key").alias("matched_key"), "campaign_type").alias("same"))

@@ -30,4 +30,4 @@ def query(name: str, oracle: str | None = None):
 
 
 # Importing the query modules registers them.
-from adlens.plans import q_core, q_tabs, q_report, q_questions, q_mapping, q_quality, q_extras, q_reports2, q_more, q_store  # noqa: E402,F401
+from adlens.plans import q_core, q_tabs, q_report, q_questions, q_mapping, q_quality, q_extras, q_reports2, q_more, q_store, q_ask  # noqa: E402,F401
