@@ -63,6 +63,12 @@ def conversion_fact(staged: list[DataFrame], focus_brand: str, brand_label: str,
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p, allowMissingColumns=True)
+    out = finished(u, brand_label)
+    return out.orderBy("month_start", "channel", "attribution_layer", "sub_channel") if sort else out
+
+
+def finished(sums: DataFrame, brand_label: str) -> DataFrame:
+    """The fact from its sums by FACT_KEYS: guarded ratios and labels, rows without any signal dropped."""
     no_signal = ((F.coalesce("spend", F.lit(0.0)) == 0) & (F.coalesce("revenue", F.lit(0.0)) == 0)
                  & (F.coalesce("orders", F.lit(0.0)) == 0))
     extra = {
@@ -72,11 +78,7 @@ def conversion_fact(staged: list[DataFrame], focus_brand: str, brand_label: str,
         "data_confidence": F.when(F.col("attribution_layer") == "shopify", "high")
         .otherwise("medium"),
     }
-    out = u.where(~no_signal).select(*[extra[c].alias(c) if c in extra else F.col(c)
-                                       for c in FACT_COLUMNS])
-    if sort:
-        out = out.orderBy("month_start", "channel", "attribution_layer", "sub_channel")
-    return out
+    return sums.where(~no_signal).select(*[extra[c].alias(c) if c in extra else F.col(c) for c in FACT_COLUMNS])
 
 
 def demand_capture(fact: DataFrame) -> DataFrame:
@@ -121,8 +123,8 @@ EXPORT_SOURCES = [
 
 def stage_export(df: DataFrame, src: ExportSource, bmap, focus_brand: str,
                  generation_tokens, title_col: str = "Product title at time of sale",
-                 title_regex: str | None = None) -> DataFrame:
-    """Stage one original export (columns may be missing: they read as null).
+                 title_regex: str | None = None, keep: tuple = ()) -> DataFrame:
+    """Stage one original export (columns may be missing: they read as null). Columns in ``keep`` are carried along.
 
     ``Total:`` rows are dropped first. Names are mapped once per distinct text.
     For store sources with several name columns the row counts as the focus
@@ -153,7 +155,7 @@ def stage_export(df: DataFrame, src: ExportSource, bmap, focus_brand: str,
         F.lit(src.source_table).alias("source_table"), brand.alias("mapped_brand"),
         (to_num(get(src.spend)) if src.spend else F.lit(None).cast("double")).alias("spend"),
         (to_num(get(src.revenue)) if src.revenue else F.lit(None).cast("double")).alias("revenue"),
-        (orders if orders is not None else F.lit(None).cast("double")).alias("orders"),
+        (orders if orders is not None else F.lit(None).cast("double")).alias("orders"), *keep,
     )
 
 

@@ -14,7 +14,9 @@ so a later application goes on where the last one stopped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.session import checkpoint_dir
@@ -36,11 +38,15 @@ def drop_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int |
     return r.load(drop_dir).select("path")
 
 
+def source_key() -> Column:
+    """Partition name of a file: its name made safe, and a hash of its path."""
+    name = F.regexp_replace(F.regexp_extract("source_file", r"([^/]*)$", 1), r"[^0-9A-Za-z._-]", "_")
+    return F.concat(name, F.lit("-"), F.hex(F.xxhash64("source_file")))
+
+
 def store_files(spark: SparkSession, paths: list[str], target: str, columns: list[str]) -> None:
     """Write each file's rows to its own partition; files without a month to quarantine."""
-    rows = read_group(spark, paths, columns)
-    key = F.regexp_replace(F.regexp_extract("source_file", r"([^/]*)$", 1), r"[^0-9A-Za-z._-]", "_")
-    rows = rows.withColumn("source_key", F.concat(key, F.lit("-"), F.hex(F.xxhash64("source_file"))))
+    rows = read_group(spark, paths, columns).withColumn("source_key", source_key())
 
     def write(df: DataFrame, path: str, *by: str) -> None:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
@@ -64,10 +70,16 @@ def quarantine_issues(spark: SparkSession, target: str) -> DataFrame:
 def refresh(spark: SparkSession, drop_dir: str, target: str, columns: list[str],
             name: str = "staging_refresh", once: bool = True, max_files_per_trigger: int | None = None):
     """Start (and with ``once`` run to completion) the refresh query."""
+    return on_new_files(spark, drop_dir, lambda s, paths: store_files(s, paths, target, columns), name, once, max_files_per_trigger)
+
+
+def on_new_files(spark: SparkSession, drop_dir: str, work: Callable[[SparkSession, list[str]], None], name: str, once: bool = True,
+                 max_files_per_trigger: int | None = None):
+    """Start (and with ``once`` run to completion) a query that hands the paths of new files to ``work``."""
     def batch(listing: DataFrame, _: int) -> None:
         paths = [r.path for r in listing.collect()]  # names of the new files
         if paths:
-            store_files(listing.sparkSession, paths, target, columns)
+            work(listing.sparkSession, paths)
     place = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     q = (drop_stream(spark, drop_dir, max_files_per_trigger).writeStream.foreachBatch(batch)
          .option("checkpointLocation", place))
