@@ -42,7 +42,7 @@ class Store:
         size = sum(length for _, length, _ in files)
         need = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
         self.buckets = buckets or 1 << (need - 1).bit_length()
-        mark = repr((files, sorted(vars(driver.p).items()) if hasattr(driver.p, "__dict__") else repr(driver.p), self.buckets))
+        mark = repr((files, driver.p, self.buckets))
         self.state = hashlib.sha256(mark.encode()).hexdigest()[:20]
         self.root = f"{(root or shared_dir(self.spark)).rstrip('/')}/store/{self.state}"
 
