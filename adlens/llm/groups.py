@@ -1,7 +1,7 @@
 """Candidate pairs from groups of rows with an equal key, without emitting all pairs of a group.
 
-``pivots`` compares every member of a group with its first one. After those pairs are linked,
-``cross_pairs`` compares, in blocks, only members that are still in different components.
+``pivots`` compares every member of a group with its first one. After those pairs are linked, ``settled``
+compares, in blocks, only members that are still in different components, the nearest ones first.
 """
 
 from __future__ import annotations
@@ -14,9 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.llm import common
+from adlens.llm.components import components
 
 #: Members of a group are compared in blocks of so many.
 BLOCK = 1024
+#: Pairs taken of each member in the first round, and how many times as many in each later one.
+KEEP = 2
+KEEP_GROWTH = 8
+#: Sides of a block: outsiders, all outsiders again, members of the group's largest component.
+LEFT, RIGHT, MAIN = 0, 1, 2
 #: Groups of up to so many rows are compared all at once, row distance by row distance.
 SMALL_GROUP = 64
 #: Sorted rows handled at once.
@@ -88,22 +94,36 @@ def pivots(keys: DataFrame) -> DataFrame:
     return grouped.where("pivot is not null").union(again.where("pivot is not null"))
 
 
-def _cross(near: Callable, width: int):
-    """Pairs in one block pair of a group that are in different components and pass ``near``."""
+def _best(i: np.ndarray, j: np.ndarray, far: np.ndarray, own: np.ndarray, keep: int) -> np.ndarray:
+    """Which pairs are among the ``keep`` nearest of either of their rows (ties: the smaller partner)."""
+    kept = np.zeros(len(i), bool)
+    for row, partner in ((i, j), (j, i)):
+        order = np.lexsort((own[partner], far, row))
+        row = row[order]
+        start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        rank = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
+        kept[order[rank < keep]] = True
+    return kept
+
+
+def _cross(near: Callable, width: int, keep: int):
+    """Pairs in one block of a group that are in different components and pass ``near``: of each row the
+    ``keep`` nearest ones. ``more`` says that some were left out."""
     def pairs(block, half, own, root, n, sketch) -> pa.RecordBatch:
         head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         size = np.diff(np.append(head, len(block)))
-        alone = np.repeat(np.maximum.reduceat(half, head) == 0, size)  # one block with itself
-        out = [np.empty((0, 2), np.int64)]
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
 
         def test(i, j):
-            on = (root[i] != root[j]) & (alone[i] | (half[i] != half[j]))
-            i, j = i[on], j[on]
             for k in range(0, len(i), 1 << 16):
                 a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
-                ok = near(n[a], n[b], np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64))
-                a, b = own[a[ok]], own[b[ok]]
-                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+                apart = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
+                ok = near(n[a], n[b], apart)
+                a, b = a[ok], b[ok]
+                out.append((a, b, apart[ok] / (n[a] + n[b])))
+
+        def paired(i, j):  # a row of the left half with one of the right half, two outsiders once
+            return (half[i] == LEFT) & (half[j] != LEFT) & ((half[j] == MAIN) | (own[i] < own[j])) & (root[i] != root[j])
 
         rows = np.flatnonzero(np.repeat(size <= SMALL_GROUP, size))
         for step in range(1, SMALL_GROUP):  # all small groups at once
@@ -111,15 +131,22 @@ def _cross(near: Callable, width: int):
             rows = rows[block[rows] == block[rows + step]]
             if not len(rows):
                 break
-            test(rows, rows + step)
+            for i, j in ((rows, rows + step), (rows + step, rows)):
+                on = paired(i, j)
+                test(i[on], j[on])
         for k in np.flatnonzero(size > SMALL_GROUP).tolist():
-            own_root = root[head[k]:head[k] + size[k]]
-            for at in range(0, int(size[k]), 256):
-                i, j = np.nonzero(own_root[at:at + 256, None] != own_root[None, :])
-                later = j > i + at
-                test(i[later] + at + head[k], j[later] + head[k])
-        found = np.concatenate(out)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            here = np.arange(head[k], head[k] + size[k])
+            left, right = here[half[here] == LEFT], here[half[here] != LEFT]
+            for at in range(0, len(left), 256):
+                i, j = np.nonzero(root[left[at:at + 256], None] != root[right][None, :])
+                i, j = left[at + i], right[j]
+                on = paired(i, j)
+                test(i[on], j[on])
+        i, j, far = (np.concatenate(c) for c in zip(*out, strict=True))
+        kept = _best(i, j, far, own, keep) if len(i) else np.zeros(0, bool)
+        a, b = own[i[kept]], own[j[kept]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
+                                           pa.array(np.full(len(a), not kept.all()))], ["a", "b", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -140,21 +167,54 @@ def _cross(near: Callable, width: int):
     return run
 
 
-def cross_pairs(grouped: DataFrame, sets: DataFrame, roots: DataFrame, near: Callable, width: int) -> DataFrame:
-    """Distinct pairs (a, b) within groups that are in different components and pass
-    ``near(n of a, n of b, differing sketch bits)``. sets: (set, n, sketch of ``width`` longs);
-    roots: (node, root)."""
-    members = grouped.select("key", "set").union(grouped.select("key", "pivot")).distinct()
+def _members(grouped: DataFrame) -> DataFrame:
+    return grouped.select("key", "set").union(grouped.select("key", "pivot")).distinct()
+
+
+def cross_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, near: Callable, width: int, keep: int) -> DataFrame:
+    """Pairs (a, b) of members(key, set) with an equal key that are in different components and pass
+    ``near(n of a, n of b, differing sketch bits)``: for each member of a block the ``keep`` nearest ones, and in
+    ``more`` whether pairs of its block were left out. sets: (set, n, sketch of ``width`` longs); roots: (node, root).
+
+    Members outside the largest component of their group (outsiders) are compared with all others; blocks are dealt
+    by hash, so that no group is sorted or held in one task."""
     placed = common.stash(members.join(roots.withColumnRenamed("node", "set"), "set", "left")
                           .select("key", "set", F.coalesce("root", "set").alias("root")))
-    open_keys = common.stash(placed.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"),
-                                                       F.max("root").alias("hi"))
-                             .where("size > 2 and lo <> hi").select("key", "size"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("set")) - 1
-    blocks = (placed.join(open_keys, "key").withColumn("block", F.floor(rank / BLOCK).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / BLOCK).cast("int"))))
-              .withColumn("half", (F.col("block") > F.col("other")).cast("int"))
-              .withColumn("block", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))))
+    parts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    open_keys = common.stash(parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"))
+                             .where("size > 2 and size > main.n")
+                             .select("key", F.col("main.root").alias("main"),
+                                     F.ceil(F.col("size") / BLOCK).alias("rights"),
+                                     F.ceil((F.col("size") - F.col("main.n")) / BLOCK).alias("lefts")))
+    dealt_to = lambda salt, n: F.pmod(F.xxhash64("set", F.lit(salt)), F.col(n))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    joined = placed.join(open_keys, "key")
+    outside = F.col("root") != F.col("main")
+    lefts = (joined.where(outside).withColumn("x", dealt_to(1, "lefts")).withColumn("y", all_of("rights"))
+             .withColumn("half", F.lit(LEFT)))
+    rights = (joined.withColumn("x", all_of("lefts")).withColumn("y", dealt_to(2, "rights"))
+              .withColumn("half", F.when(outside, RIGHT).otherwise(MAIN)))
+    blocks = lefts.unionByName(rights).select(F.xxhash64("key", "x", "y").alias("block"), "half", "set", "root")
     rows = (blocks.join(sets.select("set", "n", "sketch"), "set").select("block", "half", "set", "root", "n", "sketch")
             .repartition("block").sortWithinPartitions("block"))
-    return common.arrow(rows, _cross(near, width), "a long, b long").distinct()
+    return common.arrow(rows, _cross(near, width, keep), "a long, b long, more boolean")
+
+
+def settled(grouped: DataFrame, sets: DataFrame, links: DataFrame, tested: DataFrame, near: Callable, width: int,
+            verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """All components, as (links, roots), after every pair of a group that may link has been verified or has come
+    into one component. Pairs are taken in rounds: the nearest few of every member first, whose links mostly join
+    the rest; each round takes KEEP_GROWTH times as many of those that are still apart, until none is left out.
+    tested(a, b): pairs that were verified before; verify(pairs): those of them that are links."""
+    members = common.stash(_members(grouped))
+    roots, keep = components(links), KEEP
+    while True:
+        found = common.stash(cross_pairs(members, sets, roots, near, width, keep).groupBy("a", "b").agg(F.max("more").alias("more")))
+        new = common.stash(found.select("a", "b").join(tested, ["a", "b"], "left_anti"))
+        if not new.isEmpty():
+            links = links.union(verify(new))
+            tested = tested.union(new)
+            roots = components(links)
+        if found.where("more").isEmpty():
+            return links, roots
+        keep *= KEEP_GROWTH

@@ -13,7 +13,8 @@ most d = (|A| + |B|) / 7 shingles.
   also emit their cells as the band below has them. No pair above the threshold is lost.
 * Groups. Sets with an equal cell are compared with one pivot of the group (smallest hash), not pairwise.
   After linking, only pairs of the same group that are still in different components are compared, in
-  blocks. A bit sketch of fixed width (one parity bit per cell) rejects most pairs before the exact check.
+  blocks and in rounds, the nearest few of each set first. A bit sketch of fixed width (one parity bit per
+  cell) gives that order and rejects most pairs before the exact check.
 * Verification. The shingles of the sets still in question are intersected.
 
 Equal sets are joined by their 64-bit hash before, so copies never become pairs. A group whose shingles are
@@ -231,14 +232,14 @@ def jaccard_components(docs: DataFrame, threshold: int = 75) -> DataFrame:
     links = _verified(first, shingles, threshold)
     rest = _apart(near, components(links)).join(first, ["a", "b"], "left_anti")
     links = links.union(_verified(rest, shingles, threshold))
-    roots = components(links)
     may = lambda n, m, apart: ((100 * np.minimum(n, m) >= threshold * np.maximum(n, m))
                                & (apart * (100 + threshold) <= (100 - threshold) * (n + m)))
-    cross = common.stash(groups.cross_pairs(grouped, sets, roots, may, SKETCH).join(pairs, ["a", "b"], "left_anti"))
-    if not cross.isEmpty():
-        near = _near(sets, cross, threshold)
-        links = links.union(_verified(near, _shingles(docs, near), threshold))
-        roots = components(links)
+
+    def verify(pairs):
+        near = _near(sets, pairs, threshold)
+        return _verified(near, _shingles(docs, near), threshold)
+
+    _, roots = groups.settled(grouped, sets, links, pairs, may, SKETCH, verify)
     placed = common.stash(sets.join(roots.withColumnRenamed("node", "set"), "set", "left")
                           .select("set", "rep", F.coalesce("root", "set").alias("root")))
     least = common.stash(placed.groupBy("root").agg(F.min("rep").alias("component_id")))

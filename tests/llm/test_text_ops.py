@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from helpers import SF, SPACE, awkward, contaminated, frame, jaccard, line_words, low, quality, removed_lines, words
 
 from adlens.llm import catalog, common, kernel
@@ -172,8 +173,10 @@ def test_line_dedup_is_that_of_all_pairs(spark, which):
 
 
 def test_a_failed_pair_does_not_hide_other_links(spark, monkeypatch):
-    """With a loose SimHash and a strict edit check forests break; the rest of a cluster must be compared."""
-    monkeypatch.setattr(op3, "ALL_PAIRS", 2)
+    """Blocks of a few lines and one pair of each a round: the rest of a cluster must be compared."""
+    from adlens.llm import groups
+    monkeypatch.setattr(groups, "KEEP", 1)
+    monkeypatch.setattr(groups, "BLOCK", 4)
     docs = near_lines()
     lines = sorted({line_words(x) for _, t in docs for x in t.split("\n") if len(line_words(x)) >= op3.MIN_WORDS})
     gone = removed_lines(docs, sims_of(lines), op3.DISTANCE, op3.SIMILARITY, op3.MIN_WORDS)
@@ -369,12 +372,25 @@ def test_cross_pairs_are_those_of_all_pairs(spark, monkeypatch):
     nodes = spark.createDataFrame([s[:3] for s in sets], "set long, n int, sketch array<long>")
     roots = spark.createDataFrame([(s[0], s[3]) for s in sets], "node long, root long")
     near = lambda n, m, apart: (apart <= 2) & (abs(n - m) <= 3)
-    got = {tuple(r) for r in groups.cross_pairs(grouped, nodes, roots, near, 2).collect()}
+    members = groups._members(grouped)
+    got = {(r.a, r.b) for r in groups.cross_pairs(members, nodes, roots, near, 2, 1000).collect()}
     bits = lambda a, b: sum(((x ^ y) & 0xFFFFFFFFFFFFFFFF).bit_count() for x, y in zip(a, b, strict=True))
     size = {key: sum(key in k for k in key_of.values()) for k in key_of.values() for key in k}
     want = {(a[0], b[0]) for a in sets for b in sets if a[0] < b[0] and a[3] != b[3] and abs(a[1] - b[1]) <= 3
             and bits(a[2], b[2]) <= 2 and any(size[k] > 2 for k in set(key_of[a[0]]) & set(key_of[b[0]]))}
     assert got == want
+    few = groups.cross_pairs(members, nodes, roots, near, 2, 1).collect()
+    assert {(r.a, r.b) for r in few} < want and any(r.more for r in few)
+    # every pair is a link or none is: in rounds, each candidate is verified or joined by others
+    for link in (True, False):
+        seen = []
+        _, done = groups.settled(grouped, nodes, roots.selectExpr("root as a", "node as b"), spark.createDataFrame([], "a long, b long"),
+                                 near, 2, lambda p: seen.append(p.collect()) or common.stash(p.where(F.lit(link))))
+        at = {r.node: r.root for r in done.collect()}
+        if link:
+            assert all(at.get(a, a) == at.get(b, b) for a, b in want) and sum(map(len, seen)) < len(want) / 2
+        else:
+            assert {tuple(r) for x in seen for r in x} == want
 
 
 def test_lowest_is_the_sorted_head(spark):
