@@ -11,6 +11,8 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -24,6 +26,8 @@ BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _scratch: list[str] = []
 _shipped: set[str] = set()
+#: Paths stashed within the innermost ``released``, and those of the one around it.
+_stashed: ContextVar[tuple[list[str], list[str] | None] | None] = ContextVar("stashed", default=None)
 
 
 def ship(spark: SparkSession) -> None:
@@ -86,11 +90,30 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _scratch[0]
 
 
-def stash(df: DataFrame) -> DataFrame:
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Tables stashed within are deleted at the end, but for those stashed with ``hold``, which belong to what is
+    around it. What is read afterwards must come from held tables only."""
+    outer = _stashed.get()
+    token = _stashed.set((own := [], outer[0] if outer else None))
+    try:
+        yield
+    finally:
+        _stashed.reset(token)
+        for path in own:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def stash(df: DataFrame, hold: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later stages don't recompute it, and
-    losing an executor loses nothing."""
+    losing an executor loses nothing. Within ``released`` it is deleted at the end unless held."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stash-{uuid.uuid4().hex}"
+    own, around = _stashed.get() or (None, None)
+    owner = around if hold else own
+    if owner is not None:
+        owner.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import stash
+from adlens.llm.common import released, stash
 
 
 def _flatten(parent: DataFrame) -> DataFrame:
@@ -34,6 +34,11 @@ def _roots(nodes: DataFrame, parent: DataFrame) -> DataFrame:
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of ``links``: root is the smallest node it is connected with."""
+    with released(links.sparkSession):
+        return stash(_contracted(links, a, b), hold=True)
+
+
+def _contracted(links: DataFrame, a: str, b: str) -> DataFrame:
     links = stash(links.select(F.col(a).alias("a"), F.col(b).alias("b"))
                   .where("a is not null and b is not null and a <> b")
                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())

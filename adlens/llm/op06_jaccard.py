@@ -216,7 +216,11 @@ def jaccard_components(docs: DataFrame, threshold: int = 75) -> DataFrame:
     75, so a lower threshold is refused."""
     if threshold < 75:
         raise ValueError("threshold must be 75 or more")
-    docs = docs.select("doc_id", "text", common.content().alias("content"))
+    with common.released(docs.sparkSession):
+        return common.stash(_classes(docs.select("doc_id", "text", common.content().alias("content")), threshold), hold=True)
+
+
+def _classes(docs: DataFrame, threshold: int) -> DataFrame:
     described = common.stash(common.arrow(docs, _describe, SETS))
     counts = common.sum_vectors(described.where("kind is not null").select("kind", "slice", "numbers"),
                                 {"shingles": 1 << RARITY_BITS})["shingles"].astype(np.float32)

@@ -398,3 +398,22 @@ def test_lowest_is_the_sorted_head(spark):
     want = [r.k for r in rows.selectExpr("k", "xxhash64(k) as h").orderBy("h", "k").limit(100).collect()]
     assert [r.k for r in common.lowest(rows, 100, "k").collect()] == want
     assert common.lowest(rows.limit(5), 100, "k").count() == 5 and common.lowest(rows.limit(0), 3, "k").count() == 0
+
+
+def test_tables_on_the_way_are_deleted(spark):
+    import glob
+    folder = common.shared_dir(spark).removeprefix("file://")
+    there = lambda: set(glob.glob(f"{folder}/stash-*"))
+    before = there()
+    found = op6.jaccard_components(frame(spark, near_copies(20, 14, 2)))
+    assert len(there() - before) == 1  # the result
+    with common.released(spark):
+        inner = common.stash(spark.range(3))
+        with common.released(spark):
+            held = common.stash(spark.range(4), hold=True)
+            common.stash(spark.range(5))
+        assert inner.count() + held.count() == 7 and len(there() - before) == 3
+    assert len(there() - before) == 1 and found.count() == 40
+    with pytest.raises(ZeroDivisionError), common.released(spark):
+        common.stash(spark.range(2)), 1 // 0
+    assert len(there() - before) == 1
