@@ -1,6 +1,7 @@
 """Plain-Python versions of the operators' results, and an awkward documents table."""
 
 import re
+from collections import Counter
 
 SPACE = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -93,16 +94,24 @@ def edit(a, b):
     return row[-1]
 
 
-def removed_lines(docs, sims, distance, similarity, least):
-    """{row: numbers of removed lines} for [(id, text)] in order; sims: {words: SimHash}."""
+def near_line(a, b, similarity=0.9):
+    """Whether word edit similarity is reached; words that only one side has rule most pairs out."""
+    most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    own, other = Counter(a), Counter(b)
+    return max((own - other).total(), (other - own).total()) <= most and edit(a, b) <= most
+
+
+def removed_lines(docs, similarity=0.9, least=1):
+    """{row: numbers of removed lines} for [(id, text)] in order, by edit similarity of all pairs of lines."""
     found = [(i, k, line_words(x)) for i, (_, t) in enumerate(docs) if t is not None for k, x in enumerate(t.split("\n"))]
     found = [f for f in found if len(f[2]) >= least]
     distinct = sorted({f[2] for f in found})
     u = Union(distinct)
     for i, a in enumerate(distinct):
         for b in distinct[:i]:
-            if (sims[a] ^ sims[b]).bit_count() <= distance and \
-                    edit(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9):
+            if near_line(a, b, similarity):
                 u.join(a, b)
     seen, gone = {}, {i: [] for i in range(len(docs))}
     for i, k, line in found:

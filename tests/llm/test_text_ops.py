@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from helpers import SF, SPACE, awkward, contaminated, frame, jaccard, line_words, low, quality, removed_lines, words
+from helpers import SF, SPACE, awkward, contaminated, frame, jaccard, line_words, low, near_line, quality, removed_lines, words
 
 from adlens.llm import catalog, common, kernel
 from adlens.llm import op01_pack as op1
@@ -163,8 +163,7 @@ def near_lines():
 def test_line_dedup_is_that_of_all_pairs(spark, which):
     docs = {"awkward": awkward, "near": near_lines, "driver": lambda: documents(spark)}[which]()
     docs = sorted(docs, key=lambda d: d[0])
-    lines = sorted({line_words(x) for _, t in docs for x in (t or "").split("\n") if len(line_words(x)) >= op3.MIN_WORDS})
-    gone = removed_lines(docs, sims_of(lines), op3.DISTANCE, op3.SIMILARITY, op3.MIN_WORDS)
+    gone = removed_lines(docs)
     want = sorted((i, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[row]), gone[row])
                   for row, (i, t) in enumerate(docs))
     got = op3.dedup_lines(frame(spark, docs))
@@ -178,8 +177,7 @@ def test_a_failed_pair_does_not_hide_other_links(spark, monkeypatch):
     monkeypatch.setattr(groups, "KEEP", 1)
     monkeypatch.setattr(groups, "BLOCK", 4)
     docs = near_lines()
-    lines = sorted({line_words(x) for _, t in docs for x in t.split("\n") if len(line_words(x)) >= op3.MIN_WORDS})
-    gone = removed_lines(docs, sims_of(lines), op3.DISTANCE, op3.SIMILARITY, op3.MIN_WORDS)
+    gone = removed_lines(docs)
     got = {r.doc_id: r.removed_lines for r in op3.dedup_lines(frame(spark, docs)).collect()}
     assert got == {docs[i][0]: x for i, x in gone.items()}
 
@@ -198,17 +196,49 @@ def test_near_lines_are_found_by_edit_similarity_alone(spark):
                     at, kind = rng.randrange(len(w)), rng.choice("sid")
                     w[at:at + (kind != "i")] = [] if kind == "d" else [f"z{rng.randint(0, 99)}"]
                 docs.append((len(docs), " ".join(w)))
-    lines = {line_words(t) for _, t in docs}
-    gone = removed_lines(docs, dict.fromkeys(lines, 0), 0, 0.9, 1)
+    gone = removed_lines(docs)
     got = {r.doc_id: r.removed_lines for r in op3.dedup_lines(frame(spark, docs)).collect()}
     assert sum(map(len, gone.values())) > 60 and got == {docs[k][0]: x for k, x in gone.items()}
 
 
+def keys_of(lines):
+    """Keys of each line of words."""
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(x) for x in lines])], ["text"])
+    _, _, first, n, hashes = op3._lines(batch)
+    at, head = op3._words_of(first, n)
+    own = [set() for _ in lines]
+    for key, line in zip(*(c.tolist() for c in op3.line_keys(hashes[at], head, n)), strict=True):
+        own[line].add(key)
+    return own
+
+
+@pytest.mark.parametrize("vocabulary", [60, 5000])
+@pytest.mark.parametrize("least, most", [(9, 12), (13, 19), (20, 29), (30, 39), (40, 59), (60, 99), (100, 199), (200, 600)])
+def test_near_lines_share_a_block(least, most, vocabulary):
+    """Recall of the candidate step by band of word counts: pairs with as many edits as edit similarity allows."""
+    rng = random.Random(least)
+    pairs = []
+    while len(pairs) < 400:
+        line = [f"w{int(vocabulary * rng.random() ** 3)}" for _ in range(rng.randint(least, most))]
+        other = list(line)
+        for _ in range(len(line) // 10 + 1):
+            if not near_line(line, other):
+                break
+            last, at, kind = list(other), rng.randrange(len(other)), rng.choice("sid")
+            other[at:at + (kind != "i")] = [] if kind == "d" else [f"w{int(vocabulary * rng.random() ** 3)}"]
+        other = other if near_line(line, other) else last
+        if line != other and max(len(line), len(other)) >= 10 and min(len(line), len(other)) >= 9:
+            pairs.append((line, other))
+    keys = keys_of([x for pair in pairs for x in pair])
+    found = sum(bool(keys[k] & keys[k + 1]) for k in range(0, len(keys), 2))
+    assert found >= 0.97 * len(pairs)
+    assert max(map(len, keys)) <= 2 * op3.KEYS
+
+
 def test_salted_keys_lose_no_near_line(spark, monkeypatch):
     monkeypatch.setattr(op3, "SALT_ROWS", 3)
     docs = near_lines()[:12]
-    lines = {line_words(x) for _, t in docs for x in t.split("\n")}
-    gone = removed_lines(docs, dict.fromkeys(lines, 0), 0, 0.9, 1)
+    gone = removed_lines(docs)
     got = {r.doc_id: r.removed_lines for r in op3.dedup_lines(frame(spark, docs)).collect()}
     assert got == {docs[k][0]: x for k, x in gone.items()}
 
