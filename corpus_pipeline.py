@@ -4,13 +4,14 @@ Every stage takes all that the one before it kept, written as Parquet and read a
 columns of ``documents``:
 
 1. quality: documents that the rules or the likelihood ratio reject go;
-2. lines: lines that are equal or similar to an earlier one go, the documents stay (``n_chars`` is counted anew);
+2. lines: lines that are equal or similar to an earlier one go (``n_chars`` is counted anew); a document that is
+   left without a word by that, all of it being said before, goes too;
 3. near_duplicates: of each group of linked documents the one with the smallest doc_id stays. Rows with both
    doc_id and text equal are one document, which stays once;
 4. decontamination: documents with a window of a benchmark item go;
 5. packing: the pieces of the packed sequences.
 
-``ORACLE_SQL`` is None: SimHash groups, the likelihood ratio and the tokenizer have no SQL form. The pipeline is
+``ORACLE_SQL`` is None: groups of similar lines, the likelihood ratio and the tokenizer have no SQL form. The pipeline is
 tested against a brute-force version.
 """
 
@@ -32,8 +33,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return common.without(docs, judged.where("not kept").select("doc_id", "content"))
 
 
+#: A character of a word, as line dedup reads words.
+WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = dedup_lines(docs)
+    out = dedup_lines(docs).where(F.expr("size(removed_lines) = 0") | F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("removed_lines") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))
