@@ -135,15 +135,16 @@ def _pack(tokenizer: str, ranks: str, capacity: int, end_id: int):
         first id in the stream, its ids)."""
         at = np.array([d[1] for d in docs])
         points = np.union1d(cuts, at[(at > cuts[0]) & (at < cuts[-1])])
-        begin, end = points[:-1], points[1:]
+        begin = points[:-1]
         doc = np.searchsorted(at, begin, "right") - 1
         window = np.searchsorted(cuts, begin, "right") - 1
-        raw = memoryview(stream.astype("<u4")).cast("B")
+        # points follow each other: their ids are one buffer. (pa.array of memoryviews would never let go of them)
+        ids = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(((points - points[0]) * 4).astype(np.int32)),
+                                                              pa.py_buffer(stream[points[0]:points[-1]].astype("<u4"))])
         columns = [
             pa.array([docs[k][0] for k in doc.tolist()], pa.int64()), pa.array(begin - at[doc]),
             pa.array([docs[k][2] for k in doc.tolist()], pa.int64()), pa.array(sequence + window),
-            pa.array(begin - cuts[window]),
-            pa.array([raw[4 * a:4 * b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())]
+            pa.array(begin - cuts[window]), ids]
         return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in PIECES.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

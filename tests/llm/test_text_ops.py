@@ -122,6 +122,23 @@ def test_packing_pads_little(spark):
     assert pad < 0.02 * sum(sizes)
 
 
+def test_a_packing_task_keeps_nothing(monkeypatch):
+    """Task after task in one worker: no object of an earlier one stays."""
+    import gc
+    from types import SimpleNamespace
+    import public_tokenizers
+    monkeypatch.setattr(op1, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    path = public_tokenizers.path
+    task = op1._pack(str(path("byte_bpe_50k.json")), str(path("byte_bpe_50k.tiktoken")), 64, 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(["One more short text. And its end."] * 500)], ["doc_id", "text"])
+    left = []
+    for _ in range(3):
+        assert sum(b.num_rows for b in task(iter([batch]))) >= 500
+        gc.collect()
+        left.append(len(gc.get_objects()))
+    assert left[2] - left[1] < 100
+
+
 # lines
 
 def sims_of(lines):
