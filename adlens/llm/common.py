@@ -24,6 +24,8 @@ SLICE = 4096
 #: Rows of an Arrow batch. Spark's default of 10,000 whole texts would be tens of megabytes, several times a task.
 BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Shuffle files of a query go when it ends, not when the driver's JVM happens to collect its plan.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scratch: list[str] = []
 _shipped: set[str] = set()
 #: Paths stashed within the innermost ``released``, and those of the one around it.
@@ -107,14 +109,20 @@ def released(spark: SparkSession) -> Iterator[None]:
 
 def stash(df: DataFrame, hold: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later stages don't recompute it, and
-    losing an executor loses nothing. Within ``released`` it is deleted at the end unless held."""
+    losing an executor loses nothing. Its shuffle files are deleted at once; within ``released`` it is deleted
+    itself at the end unless held."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stash-{uuid.uuid4().hex}"
     own, around = _stashed.get() or (None, None)
     owner = around if hold else own
     if owner is not None:
         owner.append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

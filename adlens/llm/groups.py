@@ -107,9 +107,9 @@ def _best(i: np.ndarray, j: np.ndarray, far: np.ndarray, own: np.ndarray, keep:
 
 
 def _cross(near: Callable, width: int, keep: int):
-    """Pairs in one block of a group that are in different components and pass ``near``: of each row the
-    ``keep`` nearest ones. ``more`` says that some were left out."""
-    def pairs(block, half, own, root, n, sketch) -> pa.RecordBatch:
+    """Pairs in one block of a group that are in different components, weren't compared as pivot and member, and pass
+    ``near``: of each row the ``keep`` nearest ones. ``more`` says that some of the block were left out."""
+    def pairs(block, half, own, root, n, key, pivot, sketch) -> pa.RecordBatch:
         head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         size = np.diff(np.append(head, len(block)))
         out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
@@ -123,7 +123,8 @@ def _cross(near: Callable, width: int, keep: int):
                 out.append((a, b, apart[ok] / (n[a] + n[b])))
 
         def paired(i, j):  # a row of the left half with one of the right half, two outsiders once
-            return (half[i] == LEFT) & (half[j] != LEFT) & ((half[j] == MAIN) | (own[i] < own[j])) & (root[i] != root[j])
+            return ((half[i] == LEFT) & (half[j] != LEFT) & ((half[j] == MAIN) | (own[i] < own[j])) & (root[i] != root[j])
+                    & (pivot[i] != own[j]) & (pivot[j] != own[i]))
 
         rows = np.flatnonzero(np.repeat(size <= SMALL_GROUP, size))
         for step in range(1, SMALL_GROUP):  # all small groups at once
@@ -144,17 +145,19 @@ def _cross(near: Callable, width: int, keep: int):
                 test(i[on], j[on])
         i, j, far = (np.concatenate(c) for c in zip(*out, strict=True))
         kept = _best(i, j, far, own, keep) if len(i) else np.zeros(0, bool)
+        of = np.searchsorted(head, i, "right") - 1
+        more = np.bincount(of[~kept], minlength=len(head)) > 0
         a, b = own[i[kept]], own[j[kept]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
-                                           pa.array(np.full(len(a), not kept.all()))], ["a", "b", "more"])
+                                           pa.array(more[of[kept]]), pa.array(key[i[kept]])], ["a", "b", "more", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sketch = np.concatenate(batch.column(5).to_numpy(zero_copy_only=False)).view(np.uint64)  # of a signed
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]  # number bits are counted wrongly
+            sketch = np.concatenate(batch.column(7).to_numpy(zero_copy_only=False)).view(np.uint64)  # of a signed
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]  # number bits are counted wrongly
             cols.append(sketch.reshape(-1, width))
             if rest:
                 cols = [np.concatenate(c) for c in zip(rest, cols, strict=True)]
@@ -167,19 +170,26 @@ def _cross(near: Callable, width: int, keep: int):
     return run
 
 
-def _members(grouped: DataFrame) -> DataFrame:
-    return grouped.select("key", "set").union(grouped.select("key", "pivot")).distinct()
+def _members(grouped: DataFrame, compared: bool = False) -> DataFrame:
+    """(key, set, pivot) of all members of groups of three or more. ``compared`` says that every member was compared
+    with its pivot; else, and of a group's first member, pivot is the member itself. Of two members the one is
+    the pivot, so that smaller groups have no other pair."""
+    large = grouped.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    pair = F.explode(F.array(F.struct("set", "pivot"), F.struct(F.col("pivot").alias("set"), F.col("pivot"))))
+    members = grouped.join(large, "key", "left_semi").select("key", pair.alias("m"))
+    least = F.min("m.pivot") if compared else F.first("m.set")
+    return members.groupBy("key", F.col("m.set").alias("set")).agg(least.alias("pivot"))
 
 
 def cross_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, near: Callable, width: int, keep: int) -> DataFrame:
-    """Pairs (a, b) of members(key, set) with an equal key that are in different components and pass
-    ``near(n of a, n of b, differing sketch bits)``: for each member of a block the ``keep`` nearest ones, and in
-    ``more`` whether pairs of its block were left out. sets: (set, n, sketch of ``width`` longs); roots: (node, root).
+    """Pairs (a, b) of members(key, set, pivot) with an equal key that are in different components, weren't compared as
+    pivot and member, and pass ``near(n of a, n of b, differing sketch bits)``: for each member of a block the ``keep``
+    nearest ones, and in ``more`` whether pairs of its block were left out. sets: (set, n, sketch of ``width`` longs); roots: (node, root).
 
     Members outside the largest component of their group (outsiders) are compared with all others; blocks are dealt
     by hash, so that no group is sorted or held in one task."""
     placed = common.stash(members.join(roots.withColumnRenamed("node", "set"), "set", "left")
-                          .select("key", "set", F.coalesce("root", "set").alias("root")))
+                          .select("key", "set", "pivot", F.coalesce("root", "set").alias("root")))
     parts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     open_keys = common.stash(parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"))
                              .where("size > 2 and size > main.n")
@@ -194,27 +204,36 @@ def cross_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, near: Cal
              .withColumn("half", F.lit(LEFT)))
     rights = (joined.withColumn("x", all_of("lefts")).withColumn("y", dealt_to(2, "rights"))
               .withColumn("half", F.when(outside, RIGHT).otherwise(MAIN)))
-    blocks = lefts.unionByName(rights).select(F.xxhash64("key", "x", "y").alias("block"), "half", "set", "root")
-    rows = (blocks.join(sets.select("set", "n", "sketch"), "set").select("block", "half", "set", "root", "n", "sketch")
+    blocks = lefts.unionByName(rights).select(F.xxhash64("key", "x", "y").alias("block"), "half", "set", "root", "key", "pivot")
+    rows = (blocks.join(sets.select("set", "n", "sketch"), "set")
+            .select("block", "half", "set", "root", "n", "key", "pivot", "sketch")
             .repartition("block").sortWithinPartitions("block"))
-    return common.arrow(rows, _cross(near, width, keep), "a long, b long, more boolean")
+    return common.arrow(rows, _cross(near, width, keep), "a long, b long, more boolean, key long")
 
 
 def settled(grouped: DataFrame, sets: DataFrame, links: DataFrame, tested: DataFrame, near: Callable, width: int,
-            verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+            verify: Callable[[DataFrame], DataFrame], compared: bool = False) -> tuple[DataFrame, DataFrame]:
     """All components, as (links, roots), after every pair of a group that may link has been verified or has come
     into one component. Pairs are taken in rounds: the nearest few of every member first, whose links mostly join
-    the rest; each round takes KEEP_GROWTH times as many of those that are still apart, until none is left out.
-    tested(a, b): pairs that were verified before; verify(pairs): those of them that are links."""
-    members = common.stash(_members(grouped))
+    the rest; each round takes KEEP_GROWTH times as many of those that are still apart, until none is left out. A
+    group of which no pair was left out is done.
+    tested(a, b): pairs that were verified before, ``compared``: all of pivots and members among them;
+    verify(pairs): those of them that are links."""
+    members = common.stash(_members(grouped, compared))
     roots, keep = components(links), KEEP
     while True:
-        found = common.stash(cross_pairs(members, sets, roots, near, width, keep).groupBy("a", "b").agg(F.max("more").alias("more")))
-        new = common.stash(found.select("a", "b").join(tested, ["a", "b"], "left_anti"))
-        if not new.isEmpty():
-            links = links.union(verify(new))
+        with common.released(grouped.sparkSession):
+            found = common.stash(cross_pairs(members, sets, roots, near, width, keep)
+                                 .select("a", "b", F.when(F.col("more"), F.col("key")).alias("key")))
+            new = common.stash(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), hold=True)
+            linked = None if new.isEmpty() else common.stash(verify(new), hold=True)
+            left = found.where("key is not null").select("key").distinct()
+            members = common.stash(members.join(left, "key", "left_semi"), hold=True)
+        if linked is not None:
             tested = tested.union(new)
-            roots = components(links)
-        if found.where("more").isEmpty():
+            if not linked.isEmpty():
+                links = links.union(linked)
+                roots = components(links)
+        if members.isEmpty():
             return links, roots
         keep *= KEEP_GROWTH

@@ -4,14 +4,12 @@ A line is normalised to its words (letters, digits and all beyond ASCII, A-Z low
 word are never removed.
 
 * Equal normalised lines are one node, whatever their length and the number of their occurrences.
-* Two lines are near if their word-level edit similarity is SIMILARITY or more. The distinct words of a line are dealt
-  by hash to 2 E + 1 blocks, E being the edits that its band of lengths allows, and each block is the SimHash of
-  its words. An edit takes a word away, adds one or does both, so it changes two blocks at most: of near lines
-  one block at least is equal (pigeonhole). The first KEYS blocks are the line's keys, which are all of them up to
-  E = 5 (59 words); of longer lines at the very bound some 0.4 of the blocks are equal, so that KEYS blocks miss
-  less than 1 in 100. A block without words is no key. Recall is measured by band of lengths in the tests.
-  A line also has the keys of the next band if lines it may be near to lie there. Lines too short to allow an edit
-  have no keys.
+* Two lines are near if their word-level edit similarity is SIMILARITY or more. A line's segments are its runs of
+  SEGMENT words, wherever they stand, and a segment's block is the SimHash of its words. E edits change at most
+  SEGMENT * E segments of either line, and of lines so near one segment at least is left (pigeonhole). So of
+  either line's distinct blocks, in one order for all lines, the first SEGMENT * E + 1 hold the first block that both
+  have: these are its keys, rarest first, and no near pair is lost, whatever the lengths. E is what the line
+  and the longest line it may be near to allow. Lines too short to allow an edit have no keys.
 * The lines of a key are compared with one of them (groups.pivots); after linking, only those that are still
   in different components are compared in blocks (groups.settled). An edit changes at most two bits of a line's
   64-bit parity sketch, which with the length rejects most pairs before the edit distance is taken.
@@ -34,10 +32,10 @@ from adlens.llm import common, groups, kernel
 
 MIN_WORDS = 1
 SIMILARITY = 0.9
-#: Blocks of a line that become keys.
-KEYS = 11
-#: Keys are counted in 2**HOT_BITS hashed cells.
-HOT_BITS = 20
+#: Words of a segment.
+SEGMENT = 2
+#: Blocks are counted in 2**RARITY_BITS hashed cells.
+RARITY_BITS = 22
 #: A key that may occur more often than this is salted into parts of about this size.
 SALT_ROWS = 8192
 WANTED_BITS = 24
@@ -59,14 +57,6 @@ def _most_edits(n: np.ndarray) -> np.ndarray:
     return _edits(np.floor(n / SIMILARITY + 1e-6))
 
 
-def _bands(most: int) -> np.ndarray:
-    """Numbers of edits that bands allow: 1 to 5, then about 4/3 of the one before, up to ``most`` or more."""
-    bands = [1]
-    while bands[-1] < most:
-        bands.append(max(bands[-1] + 1, bands[-1] * 4 // 3 + 1 if bands[-1] >= 5 else 0))
-    return np.array(bands, np.int64)
-
-
 def _lines(part: pa.RecordBatch):
     """Lines of the part with MIN_WORDS words or more: row, number in the row, first word, words; and
     all word hashes."""
@@ -101,11 +91,14 @@ _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder
 
 
 def simhash(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """For each line, the majority of every bit over the hashes of its words (ties: 0)."""
+    """For each line or segment, the majority of every bit over the hashes of its words (ties: 0)."""
+    own = kernel.mix(words + U64(0x632BE59BD9B4E019))
+    if n.min() == n.max() == 2:
+        return own[head] & own[head + 1]
     parts = -(-n // 255)  # a byte counts 255 words at most
     edge = np.cumsum(parts) - parts
     start = np.repeat(head, parts) + 255 * (np.arange(int(parts.sum())) - np.repeat(edge, parts))
-    own = kernel.mix(words + U64(0x632BE59BD9B4E019)).view(np.uint8).reshape(-1, 8)
+    own = own.view(np.uint8).reshape(-1, 8)
     votes = np.concatenate([np.add.reduceat(_LANES[own[:, k]], start).view(np.uint8).reshape(-1, 8) for k in range(8)], 1)
     votes = np.add.reduceat(votes, edge, axis=0, dtype=np.int32)
     return np.packbits(2 * votes > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
@@ -117,53 +110,54 @@ def parity(words: np.ndarray, head: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(bit, head)
 
 
-def line_keys(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys under which a line must be found, and the line of each. Every line may differ by an edit from
-    another one."""
-    bands = _bands(int(_most_edits(n).max()))
-    low, high = (np.searchsorted(bands, np.maximum(edits, 1)) for edits in (_edits(n), _most_edits(n)))
-    out = []
-    for step in range(int((high - low).max()) + 1):
-        on = np.flatnonzero(low + step <= high)
-        band = low + step
-        at, _ = _words_of(head[on], n[on])
-        line, word = np.repeat(on, n[on]), words[at]
-        spread = kernel.mix(word ^ kernel.mix(band[line].astype(U64))) >> U64(32)
-        block = (spread * (2 * bands[band[line]] + 1).astype(U64)) >> U64(32)
-        first = block < U64(KEYS)
-        # line and block above 32 bits of the word's hash: one sort gives the distinct words of each block
-        dealt = np.sort(((line[first].astype(U64) * U64(KEYS) + block[first]) << U64(32)) | (word[first] >> U64(32)))
-        if not len(dealt):
-            continue
-        dealt = dealt[np.concatenate([[True], dealt[1:] != dealt[:-1]])]
-        place = (dealt >> U64(32)).astype(np.int64)
-        edge = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        sims = simhash(dealt & U64(0xFFFFFFFF), edge, np.diff(np.append(edge, len(dealt))))
-        line, block = np.divmod(place[edge], KEYS)
-        out.append((kernel.mix(sims ^ kernel.mix((band[line] * KEYS + block).astype(U64) + U64(0x9E6C63D0876A9A47))), line))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, U64), np.empty(0, np.int64))
-
-
-def _new_keys(found, seen: set[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(key, name of the line) of the lines that are not in ``seen`` and may differ by an edit from another one."""
+def _blocks(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The block of every segment, mixed, and the line of each. Every line has SEGMENT words or more."""
+    many = n - SEGMENT + 1
+    at, _ = _words_of(head, many)
+    return kernel.mix(simhash(words, at, np.full(len(at), SEGMENT))), np.repeat(np.arange(len(n)), many)
+
+
+def _cell(block: np.ndarray) -> np.ndarray:
+    return (block >> U64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def _ordered_keys(words: np.ndarray, head: np.ndarray, n: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The keys under which a line must be found, the line of each, and how often its block may occur. Every line may
+    differ by an edit from another one. counts: how often the blocks of each cell occur."""
+    block, line = _blocks(words, head, n)
+    often = np.minimum(counts[_cell(block)], 0xFFFFFF).astype(U64)
+    key = (often << U64(40)) | (block >> U64(24))  # a block's name and its place in the order
+    order = np.lexsort((key, line))
+    key, line = key[order], line[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (line[1:] != line[:-1])])
+    key, line = key[new], line[new]
+    rank = np.arange(len(key)) - np.searchsorted(line, np.arange(len(n)))[line]
+    on = rank <= SEGMENT * _most_edits(n)[line]
+    return kernel.mix(key[on]), line[on], (key[on] >> U64(40)).astype(np.int64)
+
+
+def line_keys(words: np.ndarray, head: np.ndarray, n: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and lines as above; without counts all blocks are as rare."""
+    return _ordered_keys(words, head, n, np.zeros(1 << RARITY_BITS, np.int32) if counts is None else counts)[:2]
+
+
+def _fresh(found, seen: set[int]) -> tuple[np.ndarray, ...]:
+    """Name, first word and words of the lines that are not in ``seen`` and may differ by an edit from another one."""
     _, _, first, n, hashes = found
     long = np.flatnonzero(_most_edits(n) > 0)
-    if not len(long):
-        return np.empty(0, U64), np.empty(0, np.int64)
     first, n = first[long], n[long]
+    if not len(long):
+        return np.empty(0, np.int64), first, n
     at, head = _words_of(first, n)
     name = names(hashes[at], head, n).view(np.int64)
     fresh = np.flatnonzero([x not in seen and not seen.add(x) for x in name.tolist()])
-    if not len(fresh):
-        return np.empty(0, U64), np.empty(0, np.int64)
-    key, line = line_keys(hashes, first[fresh], n[fresh])
-    return key, name[fresh][line]
+    return name[fresh], first[fresh], n[fresh]
 
 
 def _occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per line with a word, and the task's key counts by hashed cell."""
+    """One row per line with a word, and the task's counts of blocks by hashed cell."""
     columns = [x.split()[0] for x in OCCURRENCES.split(", ")]
-    counts = np.zeros(1 << HOT_BITS)
+    counts = np.zeros(1 << RARITY_BITS, np.int32)
     seen: set[int] = set()
     for batch in batches:
         for part in kernel.pieces(batch, "text"):
@@ -172,33 +166,34 @@ def _occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             at, head = _words_of(first, n)
             words = hashes[at]
-            np.add.at(counts, _cell(_new_keys(found, seen)[0]), 1)
+            _, start, size = _fresh(found, seen)
+            if len(start):
+                np.add.at(counts, _cell(_blocks(hashes, start, size)[0]), 1)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id").take(pa.array(row)), part.column("content").take(pa.array(row)),
                 pa.array(line.astype(np.int32)), pa.array(n.astype(np.int32)),
                 pa.array(names(words, head, n).view(np.int64)), pa.array(parity(words, head).view(np.int64)),
                 pa.nulls(len(row), pa.string()), pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())], columns)
-    vector = common.vector_batch(list(common.vector_rows("keys", counts)))
+    vector = common.vector_batch(list(common.vector_rows("blocks", counts)))
     rows = vector.num_rows
     yield pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int32()),
                                       pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
                                       *vector.columns], columns)
 
 
-def _cell(key: np.ndarray) -> np.ndarray:
-    return (key >> U64(64 - HOT_BITS)).astype(np.int64)
-
-
 def _emit(counts: np.ndarray):
     """Keys of the lines that may differ by an edit from another, of each line once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in kernel.pieces(batch, "text"):
-                key, name = _new_keys(_lines(part), seen)
-                if not len(key):
+                found = _lines(part)
+                name, first, n = _fresh(found, seen)
+                if not len(name):
                     continue
-                parts = np.clip(counts[_cell(key)] // SALT_ROWS, 1, (1 << groups.PART_BITS) - 1).astype(U64)
+                key, line, often = _ordered_keys(found[4], first, n, counts)
+                name = name[line]
+                parts = np.clip(often // SALT_ROWS, 1, (1 << groups.PART_BITS) - 1).astype(U64)
                 salt = np.where(parts > 1, 1 + kernel.mix(name.view(U64)) % parts, 0).astype(np.int64)
                 key = (key.view(np.int64) >> groups.PART_BITS << groups.PART_BITS) | salt
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(name)], ["key", "set"])
@@ -258,7 +253,8 @@ def _roots(docs: DataFrame, lines: DataFrame, counts: np.ndarray) -> DataFrame:
     lines = common.stash(common.marked(lines, "name", own, "set"))
     links = _verified(docs, lines, pairs)
     sets = lines.select(F.col("name").alias("set"), "n", F.array("sketch").alias("sketch"))
-    return groups.settled(grouped, sets, links, pairs, _near, 1, lambda p: _verified(docs, lines, p))[1]
+    return groups.settled(grouped, sets, links, pairs, _near, 1, lambda p: _verified(docs, lines, p),
+                          compared=True)[1]
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -271,7 +267,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 def _removed(docs: DataFrame) -> DataFrame:
     described = common.stash(common.arrow(docs.select("doc_id", "text", "content"), _occur, OCCURRENCES))
     counts = common.sum_vectors(described.where("kind is not null").select("kind", "slice", "numbers"),
-                                {"keys": 1 << HOT_BITS})["keys"].astype(np.int64)
+                                {"blocks": 1 << RARITY_BITS})["blocks"].astype(np.int32)
     occurrences = described.where("kind is null").select("doc_id", "content", "line", "n", "name", "sketch")
     lines = common.stash(occurrences.groupBy("name").agg(F.count("*").alias("size"), F.min("n").alias("n"),
                                                          F.min("sketch").alias("sketch"), F.min("content").alias("content")))

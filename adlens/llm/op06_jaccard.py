@@ -243,7 +243,7 @@ def _classes(docs: DataFrame, threshold: int) -> DataFrame:
         near = _near(sets, pairs, threshold)
         return _verified(near, _shingles(docs, near), threshold)
 
-    _, roots = groups.settled(grouped, sets, links, pairs, may, SKETCH, verify)
+    _, roots = groups.settled(grouped, sets, links, pairs, may, SKETCH, verify, compared=True)
     placed = common.stash(sets.join(roots.withColumnRenamed("node", "set"), "set", "left")
                           .select("set", "rep", F.coalesce("root", "set").alias("root")))
     least = common.stash(placed.groupBy("root").agg(F.min("rep").alias("component_id")))

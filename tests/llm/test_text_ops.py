@@ -245,8 +245,27 @@ def test_near_lines_share_a_block(least, most, vocabulary):
             pairs.append((line, other))
     keys = keys_of([x for pair in pairs for x in pair])
     found = sum(bool(keys[k] & keys[k + 1]) for k in range(0, len(keys), 2))
-    assert found >= 0.97 * len(pairs)
-    assert max(map(len, keys)) <= 2 * op3.KEYS
+    assert found == len(pairs)  # no cap: the keys grow with the edits that a line allows
+    assert all(len(own) <= op3.SEGMENT * int(op3._most_edits(np.array(len(x)))) + 1
+               for own, x in zip(keys, [x for pair in pairs for x in pair], strict=True))
+
+
+def test_lines_at_the_very_bound_are_found_at_any_length(spark):
+    """Changed words at equal distances leave the fewest segments, and all but one word occur everywhere."""
+    docs = []
+    for n in (9, 10, 60, 100, 250, 700):
+        line = [f"c{k % 7}" if k % 3 else f"w{n}x{k}" for k in range(n)]
+        other = [f"z{n}x{k}" if k % 10 == 5 and k // 10 < n // 10 else w for k, w in enumerate(line)]
+        docs += [(2 * n, " ".join(line)), (2 * n + 1, " ".join(other) + (" more" if n == 9 else ""))]
+    got = {r.doc_id: r.removed_lines for r in op3.dedup_lines(frame(spark, docs)).collect()}
+    assert got == {i: [0] if i % 2 else [] for i, _ in docs}
+
+
+def test_a_segment_block_is_its_simhash():
+    words = kernel.mix(np.arange(1, 42, dtype=np.uint64))
+    head = np.arange(0, 40, 2)
+    want = op3.simhash(words, np.append(head, 40), np.array([2] * 20 + [1]))[:20]
+    assert (op3.simhash(words, head, np.full(20, 2)) == want).all()
 
 
 def test_salted_keys_lose_no_near_line(spark, monkeypatch):
