@@ -72,3 +72,16 @@ def test_customers_count_once_and_days_merge(spark):
     assert [(r.new_customers, r.repeat_customers) for r in total] == [
         (len({c for (a, _) in want.values() for c in a}), len({c for (_, b) in want.values() for c in b}))]
     assert distinct_customers(daily_customers(df.where("false"), "c", "d", F.col("ch")), "channel").count() == 0
+
+
+def test_a_day_holds_no_more_bits_than_its_orders_need(spark):
+    far = [(k * 10**6, dt.datetime(2026, 1, 1 + k % 3), "a") for k in range(-50, 50)]
+    daily = daily_customers(spark.createDataFrame(far, "c long, d timestamp, ch string"), "c", "d", F.col("ch"))
+    assert daily.count() == 100 and dict(daily.dtypes)["customers"] == "bigint"
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    found = distinct_customers(daily, "channel").collect()
+    assert [(r.new_customers, r.repeat_customers) for r in found] == [(100, 0)]
+    near = [(c, dt.datetime(2026, 1, d), "a") for c in (-65, -64, -1, 0, 63, 64, 2**62) for d in (1, 2)]
+    daily = daily_customers(spark.createDataFrame(near, "c long, d timestamp, ch string"), "c", "d", F.col("ch"))
+    assert [(r.new_customers, r.repeat_customers) for r in distinct_customers(daily, "channel").collect()] == [(7, 7)]
