@@ -12,7 +12,7 @@ word are never removed.
   and the longest line it may be near to allow. Lines too short to allow an edit have no keys.
 * The lines of a key are compared with one of them (groups.pivots); after linking, only those that are still
   in different components are compared in blocks (groups.settled). An edit changes at most two bits of a line's
-  64-bit parity sketch, which with the length rejects most pairs before the edit distance is taken.
+  parity sketch, which with the length rejects most pairs before the edit distance is taken.
 * Of all occurrences of a connected group, the first by (doc_id, content hash, line number) stays.
 
 Null text has no lines and stays null. A document that loses all its lines keeps an empty text. Rows that
@@ -32,8 +32,9 @@ from adlens.llm import common, groups, kernel
 
 MIN_WORDS = 1
 SIMILARITY = 0.9
-#: Words of a segment.
-SEGMENT = 2
+#: Words of a segment. Two words recur by chance in any large table, so that groups grow with the square of the
+#: rows; three hardly do, at half as many keys again.
+SEGMENT = 3
 #: Blocks are counted in 2**RARITY_BITS hashed cells.
 RARITY_BITS = 22
 #: A key that may occur more often than this is salted into parts of about this size.
@@ -41,7 +42,11 @@ SALT_ROWS = 8192
 WANTED_BITS = 24
 U64 = np.uint64
 
-LINES = "doc_id long, content long, line int, n int, name long, sketch long"
+#: 64-bit numbers of a line's parity sketch. Of one number alone, most pairs of near copies that are too far apart pass.
+SKETCH = 4
+SKETCHES = [f"sketch_{k}" for k in range(SKETCH)]
+
+LINES = "doc_id long, content long, line int, n int, name long, " + ", ".join(f"{x} long" for x in SKETCHES)
 OCCURRENCES = f"{LINES}, {common.VECTOR_SCHEMA}"
 LINE_KEYS = "key long, set long"
 CODES = "name long, codes string"
@@ -95,6 +100,9 @@ def simhash(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> np.ndarray:
     own = kernel.mix(words + U64(0x632BE59BD9B4E019))
     if n.min() == n.max() == 2:
         return own[head] & own[head + 1]
+    if n.min() == n.max() == 3:
+        a, b, c = own[head], own[head + 1], own[head + 2]
+        return (a & b) | (c & (a | b))
     parts = -(-n // 255)  # a byte counts 255 words at most
     edge = np.cumsum(parts) - parts
     start = np.repeat(head, parts) + 255 * (np.arange(int(parts.sum())) - np.repeat(edge, parts))
@@ -104,10 +112,11 @@ def simhash(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.packbits(2 * votes > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-def parity(words: np.ndarray, head: np.ndarray) -> np.ndarray:
-    """For each line, which of 64 hashed cells hold an odd number of its words."""
-    bit = U64(1) << (kernel.mix(words ^ U64(0x2545F4914F6CDD1D)) & U64(63))
-    return np.bitwise_xor.reduceat(bit, head)
+def parity(words: np.ndarray, head: np.ndarray) -> list[np.ndarray]:
+    """For each line, which of SKETCH times 64 hashed cells hold an odd number of its words."""
+    cell = kernel.mix(words ^ U64(0x2545F4914F6CDD1D)) % U64(64 * SKETCH)
+    bit, at = U64(1) << (cell & U64(63)), cell >> U64(6)
+    return [np.bitwise_xor.reduceat(np.where(at == U64(k), bit, U64(0)), head) for k in range(SKETCH)]
 
 
 def _blocks(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,12 +181,12 @@ def _occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id").take(pa.array(row)), part.column("content").take(pa.array(row)),
                 pa.array(line.astype(np.int32)), pa.array(n.astype(np.int32)),
-                pa.array(names(words, head, n).view(np.int64)), pa.array(parity(words, head).view(np.int64)),
+                pa.array(names(words, head, n).view(np.int64)), *(pa.array(x.view(np.int64)) for x in parity(words, head)),
                 pa.nulls(len(row), pa.string()), pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())], columns)
     vector = common.vector_batch(list(common.vector_rows("blocks", counts)))
     rows = vector.num_rows
     yield pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int32()),
-                                      pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
+                                      pa.nulls(rows, pa.int32()), *(pa.nulls(rows, pa.int64()) for _ in range(1 + SKETCH)),
                                       *vector.columns], columns)
 
 
@@ -228,12 +237,12 @@ def _near(n, m, apart):
 
 def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of pairs(a, b) of line names that are links, by edit similarity."""
-    side = lambda x: lines.select(F.col("name").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"),
-                                  F.col("content").alias(f"content_{x}"))
+    side = lambda x: lines.select(F.col("name").alias(x), F.col("n").alias(f"n_{x}"), F.col("content").alias(f"content_{x}"),
+                                  *(F.col(k).alias(f"{k}_{x}") for k in SKETCHES))
+    apart = " + ".join(f"bit_count({k}_a ^ {k}_b)" for k in SKETCHES)
     most = F.expr(f"cast(floor({1 - SIMILARITY:.6f} * greatest(n_a, n_b) + 1e-9) as int)")
     near = common.stash(pairs.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
-                        .where((F.abs(F.col("n_a") - F.col("n_b")) <= F.col("most"))
-                               & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= 2 * F.col("most")))
+                        .where(f"abs(n_a - n_b) <= most and {apart} <= 2 * most")
                         .select("a", "b", "most", "content_a", "content_b"))
     wanted = common.stash(near.select(F.col("a").alias("name"), F.col("content_a").alias("mark")).union(
         near.select("b", "content_b")).distinct())
@@ -246,14 +255,14 @@ def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _roots(docs: DataFrame, lines: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(node, root) of all line names that are near to another. lines: name, n, sketch, content."""
+    """(node, root) of all line names that are near to another. lines: name, n, sketches, content."""
     grouped = groups.pivots(common.arrow(docs.select("text"), _emit(counts), LINE_KEYS))
     pairs = common.stash(grouped.select(F.col("pivot").alias("a"), F.col("set").alias("b")).where("a <> b").distinct())
     own = grouped.select("set").union(grouped.select("pivot"))
     lines = common.stash(common.marked(lines, "name", own, "set"))
     links = _verified(docs, lines, pairs)
-    sets = lines.select(F.col("name").alias("set"), "n", F.array("sketch").alias("sketch"))
-    return groups.settled(grouped, sets, links, pairs, _near, 1, lambda p: _verified(docs, lines, p),
+    sets = lines.select(F.col("name").alias("set"), "n", F.array(*SKETCHES).alias("sketch"))
+    return groups.settled(grouped, sets, links, pairs, _near, SKETCH, lambda p: _verified(docs, lines, p),
                           compared=True)[1]
 
 
@@ -268,9 +277,10 @@ def _removed(docs: DataFrame) -> DataFrame:
     described = common.stash(common.arrow(docs.select("doc_id", "text", "content"), _occur, OCCURRENCES))
     counts = common.sum_vectors(described.where("kind is not null").select("kind", "slice", "numbers"),
                                 {"blocks": 1 << RARITY_BITS})["blocks"].astype(np.int32)
-    occurrences = described.where("kind is null").select("doc_id", "content", "line", "n", "name", "sketch")
+    occurrences = described.where("kind is null").select("doc_id", "content", "line", "n", "name", *SKETCHES)
     lines = common.stash(occurrences.groupBy("name").agg(F.count("*").alias("size"), F.min("n").alias("n"),
-                                                         F.min("sketch").alias("sketch"), F.min("content").alias("content")))
+                                                         F.min("content").alias("content"),
+                                                         *(F.min(k).alias(k) for k in SKETCHES)))
     roots = _roots(docs, lines.drop("size"), counts).withColumnRenamed("node", "name")
     groups_of = common.stash(lines.where("size > 1").select("name").join(roots, "name", "full")
                              .select("name", F.coalesce("root", "name").alias("root")))

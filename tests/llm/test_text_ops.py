@@ -250,6 +250,34 @@ def test_near_lines_share_a_block(least, most, vocabulary):
                for own, x in zip(keys, [x for pair in pairs for x in pair], strict=True))
 
 
+def test_two_words_in_common_make_no_group():
+    """Pairs of words recur by chance in any large table; groups that they make grow with the square of its rows."""
+    lines = []
+    for k in range(60):
+        for side in "ab":
+            words = [f"{side}{k}x{j}" for j in range(38)]
+            lines.append([*words[:k % 38], f"c{k}", f"d{k}", *words[k % 38:]])
+    keys = keys_of(lines)
+    assert not any(keys[k] & keys[k + 1] for k in range(0, len(keys), 2))
+
+
+def test_the_sketch_rejects_copies_that_are_too_far_apart():
+    """40 words allow 4 edits; of pairs with 6 changed words hardly one is left to the edit distance."""
+    words = kernel.mix(np.arange(1, 1 + 400 * 46, dtype=np.uint64).reshape(400, 46))
+    left, right = words[:, :40].copy(), words[:, :40].copy()
+    right[:, 3:39:6] = words[:, 40:]
+    head = np.arange(0, 400 * 40, 40)
+    apart = sum(np.bitwise_count(a ^ b).astype(int) for a, b in zip(
+        *(np.atleast_2d(op3.parity(x.ravel(), head)) for x in (left, right)), strict=True))
+    n = np.full(400, 40)
+    assert op3._near(n, n, apart).mean() < 0.1
+    near = left.copy()
+    near[:, 3:27:6] = words[:, 40:44]
+    apart = sum(np.bitwise_count(a ^ b).astype(int) for a, b in zip(
+        *(np.atleast_2d(op3.parity(x.ravel(), head)) for x in (left, near)), strict=True))
+    assert op3._near(n, n, apart).all()
+
+
 def test_lines_at_the_very_bound_are_found_at_any_length(spark):
     """Changed words at equal distances leave the fewest segments, and all but one word occur everywhere."""
     docs = []
