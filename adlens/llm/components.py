@@ -38,6 +38,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         return stash(_contracted(links, a, b), hold=True)
 
 
+def extended(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of the links that gave ``roots`` and of these ones (a, b): only the roots that they join are
+    worked on, however many nodes there are."""
+    with released(links.sparkSession):
+        at = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
+        moved = components(links.join(at("a"), "a", "left").join(at("b"), "b", "left")
+                           .select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+        new = moved.join(roots.select("node"), "node", "left_anti")
+        return stash(_roots(roots, moved).union(new.select("node", "root")), hold=True)
+
+
 def _contracted(links: DataFrame, a: str, b: str) -> DataFrame:
     links = stash(links.select(F.col(a).alias("a"), F.col(b).alias("b"))
                   .where("a is not null and b is not null and a <> b")

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.llm import common
-from adlens.llm.components import components
+from adlens.llm.components import components, extended
 
 #: Members of a group are compared in blocks of so many.
 BLOCK = 1024
 #: Pairs taken of each member in the first round, and how many times as many in each later one.
 KEEP = 2
-KEEP_GROWTH = 8
+KEEP_GROWTH = 16
 #: Sides of a block: outsiders, all outsiders again, members of the group's largest component.
 LEFT, RIGHT, MAIN = 0, 1, 2
 #: Groups of up to so many rows are compared all at once, row distance by row distance.
@@ -106,10 +106,39 @@ def _best(i: np.ndarray, j: np.ndarray, far: np.ndarray, own: np.ndarray, keep:
     return kept
 
 
+class _Keys:
+    """The keys of each row, for asking in which of their common groups two rows are compared: the one of the smallest key."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray, key: np.ndarray):
+        known, rank = np.unique(np.append(flat, key), return_inverse=True)
+        self.many, self.rank = len(known), rank[:len(flat)]
+        row = np.repeat(np.arange(len(size)), size)
+        own = rank[len(flat):]
+        self.all = np.sort(row * self.many + self.rank)
+        less = self.rank < own[row]  # of groups that come before the one that the row is in here
+        self.less = self.rank[less]
+        self.size = np.bincount(row[less], minlength=len(size))
+        self.head = np.cumsum(self.size) - self.size
+
+    def elsewhere(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs have a smaller key in common."""
+        i, j = np.where(self.size[i] <= self.size[j], i, j), np.where(self.size[i] <= self.size[j], j, i)
+        many = self.size[i]
+        pair = np.repeat(np.arange(len(i)), many)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many) + self.head[i][pair]
+        want = j[pair] * self.many + self.less[at]
+        place = np.minimum(np.searchsorted(self.all, want), len(self.all) - 1)
+        out = np.zeros(len(i), bool)
+        out[pair[self.all[place] == want]] = True
+        return out
+
+
 def _cross(near: Callable, width: int, keep: int):
-    """Pairs in one block of a group that are in different components, weren't compared as pivot and member, and pass
-    ``near``: of each row the ``keep`` nearest ones. ``more`` says that some of the block were left out."""
-    def pairs(block, half, own, root, n, key, pivot, sketch) -> pa.RecordBatch:
+    """Pairs in one block of a group that are in different components, weren't compared as pivot and member, have no
+    smaller key in common, and pass ``near``: of each row the ``keep`` nearest ones. ``more`` says that some of the
+    block were left out."""
+    def pairs(block, half, own, root, n, key, pivot, count, sketch, keys) -> pa.RecordBatch:
+        keys = _Keys(keys, count, key)
         head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         size = np.diff(np.append(head, len(block)))
         out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
@@ -119,6 +148,8 @@ def _cross(near: Callable, width: int, keep: int):
                 a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
                 apart = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
                 ok = near(n[a], n[b], apart)
+                a, b, apart = a[ok], b[ok], apart[ok]
+                ok = ~keys.elsewhere(a, b)
                 a, b = a[ok], b[ok]
                 out.append((a, b, apart[ok] / (n[a] + n[b])))
 
@@ -156,17 +187,21 @@ def _cross(near: Callable, width: int, keep: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sketch = np.concatenate(batch.column(7).to_numpy(zero_copy_only=False)).view(np.uint64)  # of a signed
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]  # number bits are counted wrongly
-            cols.append(sketch.reshape(-1, width))
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
+            lists = batch.column(8)
+            cols.append(np.diff(lists.offsets.to_numpy()))
+            cols.append(np.concatenate(batch.column(7).to_numpy(zero_copy_only=False)).view(np.uint64).reshape(-1, width))
+            flat = lists.flatten().to_numpy()  # bits of signed numbers are counted wrongly, hence the view above
             if rest:
-                cols = [np.concatenate(c) for c in zip(rest, cols, strict=True)]
+                cols = [np.concatenate(c) for c in zip(rest[0], cols, strict=True)]
+                flat = np.concatenate([rest[1], flat])
             last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last group may go on
+            cut = int(cols[7][:last].sum())
             if last:
-                yield pairs(*(c[:last] for c in cols))
-            rest = [c[last:] for c in cols]
+                yield pairs(*(c[:last] for c in cols), flat[:cut])
+            rest = [c[last:] for c in cols], flat[cut:]
         if rest:
-            yield pairs(*rest)
+            yield pairs(*rest[0], rest[1])
     return run
 
 
@@ -181,10 +216,16 @@ def _members(grouped: DataFrame, compared: bool = False) -> DataFrame:
     return members.groupBy("key", F.col("m.set").alias("set")).agg(least.alias("pivot"))
 
 
+def keyed(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """Those of sets(set, n, sketch) that are among members(key, set, pivot), with all their keys."""
+    return common.stash(sets.join(members.groupBy("set").agg(F.collect_list("key").alias("keys")), "set"))
+
+
 def cross_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, near: Callable, width: int, keep: int) -> DataFrame:
     """Pairs (a, b) of members(key, set, pivot) with an equal key that are in different components, weren't compared as
     pivot and member, and pass ``near(n of a, n of b, differing sketch bits)``: for each member of a block the ``keep``
-    nearest ones, and in ``more`` whether pairs of its block were left out. sets: (set, n, sketch of ``width`` longs); roots: (node, root).
+    nearest ones, and in ``more`` whether pairs of its block were left out. sets: (set, n, sketch of ``width`` longs) and, from
+    ``keyed``, their keys: a pair is compared under the smallest of its common keys only; roots: (node, root).
 
     Members outside the largest component of their group (outsiders) are compared with all others; blocks are dealt
     by hash, so that no group is sorted or held in one task."""
@@ -205,8 +246,10 @@ def cross_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, near: Cal
     rights = (joined.withColumn("x", all_of("lefts")).withColumn("y", dealt_to(2, "rights"))
               .withColumn("half", F.when(outside, RIGHT).otherwise(MAIN)))
     blocks = lefts.unionByName(rights).select(F.xxhash64("key", "x", "y").alias("block"), "half", "set", "root", "key", "pivot")
-    rows = (blocks.join(sets.select("set", "n", "sketch"), "set")
-            .select("block", "half", "set", "root", "n", "key", "pivot", "sketch")
+    if "keys" not in sets.columns:
+        sets = keyed(sets, members)
+    rows = (blocks.join(sets.select("set", "n", "sketch", "keys"), "set")
+            .select("block", "half", "set", "root", "n", "key", "pivot", "sketch", "keys")
             .repartition("block").sortWithinPartitions("block"))
     return common.arrow(rows, _cross(near, width, keep), "a long, b long, more boolean, key long")
 
@@ -220,6 +263,7 @@ def settled(grouped: DataFrame, sets: DataFrame, links: DataFrame, tested: DataF
     tested(a, b): pairs that were verified before, ``compared``: all of pivots and members among them;
     verify(pairs): those of them that are links."""
     members = common.stash(_members(grouped, compared))
+    sets = keyed(sets, members)  # of all rounds: a key that is done leaves no pair to others
     roots, keep = components(links), KEEP
     while True:
         with common.released(grouped.sparkSession):
@@ -233,7 +277,7 @@ def settled(grouped: DataFrame, sets: DataFrame, links: DataFrame, tested: DataF
             tested = tested.union(new)
             if not linked.isEmpty():
                 links = links.union(linked)
-                roots = components(links)
+                roots = extended(roots, linked)
         if members.isEmpty():
             return links, roots
         keep *= KEEP_GROWTH

@@ -5,14 +5,16 @@ word are never removed.
 
 * Equal normalised lines are one node, whatever their length and the number of their occurrences.
 * Two lines are near if their word-level edit similarity is SIMILARITY or more. A line's segments are its runs of
-  SEGMENT words, wherever they stand, and a segment's block is the SimHash of its words. E edits change at most
-  SEGMENT * E segments of either line, and of lines so near one segment at least is left (pigeonhole). So of
-  either line's distinct blocks, in one order for all lines, the first SEGMENT * E + 1 hold the first block that both
-  have: these are its keys, rarest first, and no near pair is lost, whatever the lengths. E is what the line
-  and the longest line it may be near to allow. Lines too short to allow an edit have no keys.
+  SEGMENT words, wherever they stand, and a segment's block is the SimHash of its words. E is what the line and the
+  longest line it may be near to allow. A line's keys are the rarest of its distinct blocks, in one order for all
+  lines, just so many that E edits can't change a word of each of their segments (least greedy cover of their
+  places), SEGMENT * E + 1 at most. So, of two near lines, the keys of the one whose keys end first in that order
+  hold a block that the other line has, too, and it is among the other's keys (pigeonhole). Where all of a line's
+  blocks are not enough, all are its keys; the longest run of words that E edits leave has SEGMENT words or
+  more. No near pair is lost, whatever the lengths. Lines too short to allow an edit have no keys.
 * The lines of a key are compared with one of them (groups.pivots); after linking, only those that are still
-  in different components are compared in blocks (groups.settled). An edit changes at most two bits of a line's
-  parity sketch, which with the length rejects most pairs before the edit distance is taken.
+  in different components are compared in blocks (groups.settled). A changed word changes at most two bits of a line's
+  parity sketch, one more or less at most one, which with the length rejects most pairs before the edit distance is taken.
 * Of all occurrences of a connected group, the first by (doc_id, content hash, line number) stays.
 
 Null text has no lines and stays null. A document that loses all its lines keeps an empty text. Rows that
@@ -32,9 +34,9 @@ from adlens.llm import common, groups, kernel
 
 MIN_WORDS = 1
 SIMILARITY = 0.9
-#: Words of a segment. Two words recur by chance in any large table, so that groups grow with the square of the
-#: rows; three hardly do, at half as many keys again.
-SEGMENT = 3
+#: Words of a segment. Runs of two or three common words recur by chance in any large table, so that groups grow with the
+#: square of the rows. Of near lines of any length an untouched run of five words is left, not always one of six.
+SEGMENT = 5
 #: Blocks are counted in 2**RARITY_BITS hashed cells.
 RARITY_BITS = 22
 #: A key that may occur more often than this is salted into parts of about this size.
@@ -100,9 +102,10 @@ def simhash(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> np.ndarray:
     own = kernel.mix(words + U64(0x632BE59BD9B4E019))
     if n.min() == n.max() == 2:
         return own[head] & own[head + 1]
-    if n.min() == n.max() == 3:
-        a, b, c = own[head], own[head + 1], own[head + 2]
-        return (a & b) | (c & (a | b))
+    if n.min() == n.max() == 5:
+        a, b, c, d, e = (own[head + k] for k in range(5))
+        odd, two = a ^ b ^ c, (a & b) | (c & (a | b))  # of three of them
+        return (two & (odd | d | e)) | (odd & d & e)
     parts = -(-n // 255)  # a byte counts 255 words at most
     edge = np.cumsum(parts) - parts
     start = np.repeat(head, parts) + 255 * (np.arange(int(parts.sum())) - np.repeat(edge, parts))
@@ -119,30 +122,68 @@ def parity(words: np.ndarray, head: np.ndarray) -> list[np.ndarray]:
     return [np.bitwise_xor.reduceat(np.where(at == U64(k), bit, U64(0)), head) for k in range(SKETCH)]
 
 
-def _blocks(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The block of every segment, mixed, and the line of each. Every line has SEGMENT words or more."""
+def _blocks(words: np.ndarray, head: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The block of every segment, mixed, the line of each and its first word. Every line has SEGMENT words or more."""
     many = n - SEGMENT + 1
     at, _ = _words_of(head, many)
-    return kernel.mix(simhash(words, at, np.full(len(at), SEGMENT))), np.repeat(np.arange(len(n)), many)
+    return kernel.mix(simhash(words, at, np.full(len(at), SEGMENT))), np.repeat(np.arange(len(n)), many), at
 
 
 def _cell(block: np.ndarray) -> np.ndarray:
     return (block >> U64(64 - RARITY_BITS)).astype(np.int64)
 
 
+def _edits_to_hit(start: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """For each line, how many words must change until each of its segments has a changed one. start: first words of the
+    segments, ascending. The last word of the first segment is the best to change; then of the first one left, and so on."""
+    m = len(start)
+    ahead = np.arange(1, m + 1)
+    for k in range(1, SEGMENT):
+        ahead[:-k] += start[k:] < start[:-k] + SEGMENT
+    head = np.flatnonzero(np.diff(line, prepend=-1))
+    end = np.append(head[1:], m)
+    ahead = np.append(np.where(ahead < np.repeat(end, end - head), ahead, m), m)
+    steps = np.append(np.ones(m, np.int32), 0)
+    while (ahead < m).any():  # twice as far each time
+        steps += steps[ahead]
+        ahead = ahead[ahead]
+    out = np.zeros(lines, np.int64)
+    out[line[head]] = steps[head]
+    return out
+
+
+def _enough(start: np.ndarray, line: np.ndarray, rank: np.ndarray, edits: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many of each line's segments, by rank, must be taken so that ``edits`` edits can't change them all: the least
+    number, or at most a sixteenth more; ``most`` if fewer aren't enough."""
+    low, high = np.minimum(edits + 1, most), most.copy()
+    while (wide := high - low > high >> 4).any():
+        middle = (low + high) >> 1
+        on = np.flatnonzero(rank < np.where(wide, middle, 0)[line])
+        ok = _edits_to_hit(start[on], line[on], len(most)) > edits
+        high = np.where(wide & ok, middle, high)
+        low = np.where(wide & ~ok, middle + 1, low)
+    return high
+
+
 def _ordered_keys(words: np.ndarray, head: np.ndarray, n: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """The keys under which a line must be found, the line of each, and how often its block may occur. Every line may
     differ by an edit from another one. counts: how often the blocks of each cell occur."""
-    block, line = _blocks(words, head, n)
+    block, line, start = _blocks(words, head, n)
     often = np.minimum(counts[_cell(block)], 0xFFFFFF).astype(U64)
     key = (often << U64(40)) | (block >> U64(24))  # a block's name and its place in the order
     order = np.lexsort((key, line))
-    key, line = key[order], line[order]
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (line[1:] != line[:-1])])
-    key, line = key[new], line[new]
-    rank = np.arange(len(key)) - np.searchsorted(line, np.arange(len(n)))[line]
-    on = rank <= SEGMENT * _most_edits(n)[line]
-    return kernel.mix(key[on]), line[on], (key[on] >> U64(40)).astype(np.int64)
+    by, of = key[order], line[order]
+    new = np.concatenate([[True], (by[1:] != by[:-1]) | (of[1:] != of[:-1])])
+    order, of = order[new], of[new]
+    edge = np.searchsorted(of, np.arange(len(n) + 1))
+    edits = _most_edits(n)
+    most = np.minimum(SEGMENT * edits + 1, np.diff(edge))
+    rank = np.full(len(key), len(key))
+    rank[order] = np.arange(len(order)) - edge[of]
+    on = np.flatnonzero(rank < most[line])
+    start, line, rank = start[on], line[on], rank[on]
+    on = on[rank < _enough(start, line, rank, edits, most)[line]]
+    return kernel.mix(key[on]), np.repeat(np.arange(len(n)), n - SEGMENT + 1)[on], (key[on] >> U64(40)).astype(np.int64)
 
 
 def line_keys(words: np.ndarray, head: np.ndarray, n: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +273,7 @@ def _code(wanted: np.ndarray):
 
 def _near(n, m, apart):
     most = _edits(np.maximum(n, m))
-    return (np.abs(n - m) <= most) & (apart <= 2 * most)
+    return (np.abs(n - m) <= most) & (apart <= 2 * most - np.abs(n - m))
 
 
 def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -242,7 +283,7 @@ def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
     apart = " + ".join(f"bit_count({k}_a ^ {k}_b)" for k in SKETCHES)
     most = F.expr(f"cast(floor({1 - SIMILARITY:.6f} * greatest(n_a, n_b) + 1e-9) as int)")
     near = common.stash(pairs.join(side("a"), "a").join(side("b"), "b").withColumn("most", most)
-                        .where(f"abs(n_a - n_b) <= most and {apart} <= 2 * most")
+                        .where(f"abs(n_a - n_b) <= most and {apart} <= 2 * most - abs(n_a - n_b)")
                         .select("a", "b", "most", "content_a", "content_b"))
     wanted = common.stash(near.select(F.col("a").alias("name"), F.col("content_a").alias("mark")).union(
         near.select("b", "content_b")).distinct())

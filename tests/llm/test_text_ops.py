@@ -296,6 +296,54 @@ def test_a_segment_block_is_its_simhash():
     assert (op3.simhash(words, head, np.full(20, 2)) == want).all()
 
 
+def test_a_line_has_few_keys_and_few_by_chance():
+    """Of common words only, any three in a row recur in a large table; keys must neither be many nor shared by chance."""
+    rng = random.Random(3)
+    lines = [[f"w{int(40 * rng.random() ** 2)}" for _ in range(100)] for _ in range(300)]
+    keys = keys_of(lines)
+    assert sum(map(len, keys)) < 30 * len(lines)  # a third of the words before
+    assert sum(len(x) for x in keys) - len(set().union(*keys)) < 0.15 * sum(map(len, keys))
+
+
+def test_as_many_keys_as_edits_cannot_all_change():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        start = np.sort(rng.choice(60, rng.integers(1, 40), replace=False))
+        line = (start >= 30).astype(np.int64)
+        start = start + op3.SEGMENT * line
+        want = [0, 0]
+        for k in (0, 1):
+            own = start[line == k].tolist()
+            while own:  # the plain greedy cover
+                want[k] += 1
+                own = [x for x in own if x >= own[0] + op3.SEGMENT]
+        assert op3._edits_to_hit(start, line, 2).tolist() == want
+
+
+def test_the_sketch_counts_inserted_words_once():
+    n, m = np.array([40, 40]), np.array([36, 40])
+    assert op3._near(n, m, np.array([6, 8])).tolist() == [False, True]  # four words fewer leave no other edit
+
+
+def test_a_pair_is_compared_under_one_key_only(spark):
+    """Near copies that share many keys made a pair in each of their groups."""
+    from adlens.llm import groups
+    grouped = spark.createDataFrame([(key, 0, k) for key in range(12) for k in range(1, 30)], groups.GROUPED)
+    nodes = spark.createDataFrame([(k, 10, [k]) for k in range(30)], "set long, n int, sketch array<long>")
+    roots = spark.createDataFrame([(k, k) for k in range(30)], "node long, root long")
+    near = lambda n, m, apart: apart >= 0
+    got = [(r.a, r.b) for r in groups.cross_pairs(groups._members(grouped, True), nodes, roots, near, 1, 1000).collect()]
+    assert sorted(got) == [(a, b) for a in range(1, 30) for b in range(a + 1, 30)]
+
+
+def test_new_links_join_what_is_there(spark):
+    from adlens.llm.components import components, extended
+    links = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    old, new = [(1, 2), (2, 3), (7, 9), (11, 12), (20, 21)], [(3, 9), (12, 30), (30, 31), (40, 41), (2, 1)]
+    got = extended(components(links(old)), links(new))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, components(links(old + new)).collect()))
+
+
 def test_salted_keys_lose_no_near_line(spark, monkeypatch):
     monkeypatch.setattr(op3, "SALT_ROWS", 3)
     docs = near_lines()[:12]
