@@ -132,10 +132,14 @@ def vector_rows(kind: str, vector: np.ndarray) -> Iterator[tuple[str, int, bytes
     for k in range(0, len(vector), SLICE):
         part = vector[k:k + SLICE]
         if part.any():
-            top = part.max()
-            narrow = next((w for w, most in ((b"u1", 255), (b"u2", 65535)) if top <= most), b"f8")
-            narrow = narrow if part.min() >= 0 and (part == np.floor(part)).all() else b"f8"
-            yield kind, k // SLICE, narrow + part.astype("<" + narrow.decode()).tobytes()
+            yield kind, k // SLICE, _narrow(part)
+
+
+def _narrow(part: np.ndarray) -> bytes:
+    top = part.max()
+    narrow = next((w for w, most in ((b"u1", 255), (b"u2", 65535)) if top <= most), b"f8")
+    narrow = narrow if part.min() >= 0 and (part == np.floor(part)).all() else b"f8"
+    return narrow + part.astype("<" + narrow.decode()).tobytes()
 
 
 def _numbers(packed: bytes) -> np.ndarray:
@@ -159,20 +163,20 @@ def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = _numbers(numbers)
             old = total.get((kind, part))
             total[kind, part] = values if old is None else old + values
-    yield vector_batch([(k, s, b"f8" + v.astype("<f8").tobytes()) for (k, s), v in sorted(total.items())])
+    yield vector_batch([(k, s, _narrow(v)) for (k, s), v in sorted(total.items())])
 
 
-def sum_vectors(df: DataFrame, lengths: dict[str, int]) -> dict[str, np.ndarray]:
+def sum_vectors(df: DataFrame, lengths: dict[str, int], kept_as: type = np.float64) -> dict[str, np.ndarray]:
     """Add up the task vectors of ``df`` (VECTOR_SCHEMA). Slices are added on the executors, each
-    slice in one task; the driver gets one vector of fixed length per kind. Counts stay exact
-    below 2**53."""
+    slice in one task; the driver gets one vector of fixed length per kind, sent in the narrowest types and
+    ``kept_as`` numbers of that type. Counts stay exact below 2**53, in as far as the type holds them."""
     wanted = sum(-(-n // SLICE) for n in lengths.values())
     parts = max(1, min(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     summed = arrow(df.repartition(parts, "kind", "slice"), _add_slices, VECTOR_SCHEMA)
-    out = {kind: np.zeros(-(-n // SLICE) * SLICE) for kind, n in lengths.items()}
+    out = {kind: np.zeros(-(-n // SLICE) * SLICE, kept_as) for kind, n in lengths.items()}
     for kind, part, numbers in summed.collect():  # fixed size: sum(lengths) numbers
-        values = _numbers(numbers)
-        out[kind][part * SLICE:part * SLICE + len(values)] += values
+        values = _numbers(numbers)  # all of the slice
+        out[kind][part * SLICE:part * SLICE + len(values)] = values
     return {kind: out[kind][:n] for kind, n in lengths.items()}
 
 
@@ -189,16 +193,22 @@ def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
     return out[:1 << bits]
 
 
+def _as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slots of 32768 bits as 512 numbers, of which a join's rows read one in place; a binary is copied for each row."""
+    for batch in batches:
+        words = [np.frombuffer(x, "<i8") for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64()))], ["_slot", "_words"])
+
+
 def _probe(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int) -> DataFrame:
     cell = F.col(key).bitwiseAND((1 << bits) - 1)
-    table = (keys.groupBy(F.shiftright(cell, 15).alias("_slot"))
-             .agg(F.bitmap_construct_agg(cell.bitwiseAND(32767)).alias("_bits")))
+    table = arrow(keys.groupBy(F.shiftright(cell, 15).alias("_slot"))
+                  .agg(F.bitmap_construct_agg(cell.bitwiseAND(32767)).alias("_bits")), _as_words, "_slot long, _words array<long>")
     own = F.col(column).bitwiseAND((1 << bits) - 1)
-    bit = own.bitwiseAND(32767).cast("int")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (df.withColumn("_slot", F.shiftright(own, 15)).join(F.broadcast(table), "_slot", "left")
-            .withColumn("_byte", F.coalesce(byte, F.lit(0))).withColumn("_bit", (bit % 8))
-            .withColumn("_on", F.expr("shiftright(_byte, _bit) & 1 = 1")).drop("_slot", "_bits", "_byte", "_bit"))
+    return (df.withColumn("_cell", own).withColumn("_slot", F.shiftright("_cell", 15))
+            .join(F.broadcast(table), "_slot", "left")
+            .withColumn("_on", F.expr("coalesce(shiftright(_words[cast(shiftright(_cell, 6) & 511 as int)], cast(_cell & 63 as int)) & 1, 0) = 1"))
+            .drop("_slot", "_words", "_cell"))
 
 
 def marked(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = 24) -> DataFrame:
