@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm import common
+from adlens.llm import common, kernel
 from adlens.llm.components import components, extended
 
 #: Members of a group are compared in blocks of so many.
@@ -21,42 +21,80 @@ BLOCK = 1024
 #: Pairs taken of each member in the first round, and how many times as many in each later one.
 KEEP = 2
 KEEP_GROWTH = 16
-#: Sides of a block: outsiders, all outsiders again, members of the group's largest component.
-LEFT, RIGHT, MAIN = 0, 1, 2
+#: Sides of a block: outsiders, all outsiders again, members of the group's largest component; outsiders of a group of
+#: one block, which are sent once.
+LEFT, RIGHT, MAIN, BOTH = 0, 1, 2, 3
 #: Groups of up to so many rows are compared all at once, row distance by row distance.
 SMALL_GROUP = 64
 #: Sorted rows handled at once.
 GATHER = 1 << 16
 GROUPED = "key long, pivot long, set long"
+#: Keys are dealt out in 2**BUCKET_BITS buckets, a task's rows of a bucket as one row, after each PACK rows. Millions of
+#: rows of two numbers cost more in shuffle and sort than all that is done with them.
+BUCKET_BITS = 12
+PACK = 1 << 19
+PACKED = "bucket int, packed binary"
 #: The low bits of a key hold the number of its part, 0 where a group isn't split.
 PART_BITS = 16
 _PART = (1 << PART_BITS) - 1
 
 
+def _packed(key: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    """Rows (key, set) as one row a bucket, all of a key's in the same one."""
+    bucket = (kernel.mix(key.view(np.uint64)) >> np.uint64(64 - BUCKET_BITS)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bucket, both = bucket[order], np.stack([key[order], own[order]], axis=1)
+    head = np.flatnonzero(np.diff(bucket.astype(np.int32), prepend=-1))
+    ends = (np.append(head, len(key)) * both.itemsize * 2).astype(np.int32)
+    data = pa.BinaryArray.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(ends), pa.py_buffer(both)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[head].astype(np.int32)), data], ["bucket", "packed"])
+
+
+def packing(task: common.Task) -> common.Task:
+    """``task``, which gives (key, set), with its rows packed by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
+        for batch in task(batches):
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            rows += batch.num_rows
+            if rows >= PACK:
+                yield _packed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                held, rows = [], 0
+        if rows:
+            yield _packed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+    return run
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(key, value) arrays of rows sorted by key, some GATHER rows each, cut so that no group is divided."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    rows = 0
+    """(key, set) arrays sorted by both, of whole buckets of rows(bucket, packed) sorted by bucket, some GATHER rows each."""
+    held: list[bytes] = []
+    size, last = 0, None
+
+    def sort():
+        key, own = np.frombuffer(b"".join(held), np.int64).reshape(-1, 2).T
+        order = np.argsort(key)
+        key, own = key[order], own[order]
+        same = np.concatenate([[False], key[1:] == key[:-1]])
+        many = np.flatnonzero(same | np.append(same[1:], False))  # most groups have one row
+        own[many] = own[many[np.lexsort((own[many], key[many]))]]
+        return key, own
+
     for batch in batches:
-        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-        rows += batch.num_rows
-        if rows < GATHER:
-            continue
-        key, value = (np.concatenate(c) for c in zip(*held, strict=True))
-        last = int(np.searchsorted(key, key[-1]))  # the last group may go on
-        held, rows = [(key[last:], value[last:])], len(key) - last
-        if last:
-            yield key[:last], value[:last]
-        else:
-            rows = 0  # a group that fills it all: gather as much again
-    key, value = (np.concatenate(c) for c in zip(*held, strict=True)) if held else ((), ())
-    if len(key):
-        yield key, value
+        for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if bucket != last and size >= 16 * GATHER:
+                yield sort()
+                held, size = [], 0
+            held.append(packed)
+            size += len(packed)
+            last = bucket
+    if size:
+        yield sort()
 
 
 def dealt(keys: DataFrame) -> DataFrame:
-    """keys(key, value) with equal keys next to each other (one sort column: a radix sort)."""
-    return keys.repartition("key").sortWithinPartitions("key")
+    """The rows of a bucket next to each other (one sort column: a radix sort)."""
+    return keys.repartition("bucket").sortWithinPartitions("bucket")
 
 
 def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,12 +103,6 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for key, own in whole_groups(batches):
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(head, len(key)))
-        if size.max() > 1:  # sort within groups; most groups have one row
-            many = np.repeat(size > 1, size)
-            order = np.flatnonzero(many)
-            order = order[np.lexsort((own[order], key[order]))]
-            own = own.copy()
-            own[np.flatnonzero(many)] = own[order]
         new = np.zeros(len(key), bool)
         new[head] = True
         again = np.concatenate([[False], (own[1:] == own[:-1]) & ~new[1:]])
@@ -86,11 +118,12 @@ def _group(keys: DataFrame) -> DataFrame:
 
 
 def pivots(keys: DataFrame) -> DataFrame:
-    """(key, pivot, set) for every member but the first of each group in keys(key, set). A group whose
-    keys have part numbers in their low bits is grouped by part first, then the pivots of its parts by
+    """(key, pivot, set) for every member but the first of each group in keys(key, set), or the same ``packing``. A
+    group whose keys have part numbers in their low bits is grouped by part first, then the pivots of its parts by
     the key alone."""
-    grouped = _group(keys.select("key", "set"))
-    again = _group(grouped.where("pivot is null").select("key", "set"))
+    pack = lambda rows: common.arrow(rows.select("key", "set"), packing(iter), PACKED)
+    grouped = _group(keys if "packed" in keys.columns else pack(keys))
+    again = _group(pack(grouped.where("pivot is null")))
     return grouped.where("pivot is not null").union(again.where("pivot is not null"))
 
 
@@ -107,7 +140,7 @@ def _best(i: np.ndarray, j: np.ndarray, far: np.ndarray, own: np.ndarray, keep:
 
 
 class _Keys:
-    """The keys of each row, for asking in which of their common groups two rows are compared: the one of the smallest key."""
+    """The keys of each row, up to the one it is in here at least, for asking in which of their common groups two rows are compared: the one of the smallest key."""
 
     def __init__(self, flat: np.ndarray, size: np.ndarray, key: np.ndarray):
         known, rank = np.unique(np.append(flat, key), return_inverse=True)
@@ -141,6 +174,7 @@ def _cross(near: Callable, width: int, keep: int):
         keys = _Keys(keys, count, key)
         head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         size = np.diff(np.append(head, len(block)))
+        lefts = (half == LEFT) | (half == BOTH)
         out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
 
         def test(i, j):
@@ -154,7 +188,7 @@ def _cross(near: Callable, width: int, keep: int):
                 out.append((a, b, apart[ok] / (n[a] + n[b])))
 
         def paired(i, j):  # a row of the left half with one of the right half, two outsiders once
-            return ((half[i] == LEFT) & (half[j] != LEFT) & ((half[j] == MAIN) | (own[i] < own[j])) & (root[i] != root[j])
+            return (lefts[i] & (half[j] != LEFT) & ((half[j] == MAIN) | (own[i] < own[j])) & (root[i] != root[j])
                     & (pivot[i] != own[j]) & (pivot[j] != own[i]))
 
         rows = np.flatnonzero(np.repeat(size <= SMALL_GROUP, size))
@@ -168,7 +202,7 @@ def _cross(near: Callable, width: int, keep: int):
                 test(i[on], j[on])
         for k in np.flatnonzero(size > SMALL_GROUP).tolist():
             here = np.arange(head[k], head[k] + size[k])
-            left, right = here[half[here] == LEFT], here[half[here] != LEFT]
+            left, right = here[lefts[here]], here[half[here] != LEFT]
             for at in range(0, len(left), 256):
                 i, j = np.nonzero(root[left[at:at + 256], None] != root[right][None, :])
                 i, j = left[at + i], right[j]
@@ -216,9 +250,20 @@ def _members(grouped: DataFrame, compared: bool = False) -> DataFrame:
     return members.groupBy("key", F.col("m.set").alias("set")).agg(least.alias("pivot"))
 
 
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of members(key, set, pivot) whose group isn't in one component yet; of groups of the same members, which
+    near copies have by hundreds, one."""
+    placed = common.stash(members.join(roots.withColumnRenamed("node", "set"), "set", "left")
+                          .select("key", "set", "pivot", F.coalesce("root", "set").alias("root")))
+    names = [F.bit_xor(F.xxhash64("set", F.lit(k))).alias(f"name_{k}") for k in range(2)]
+    keys = (placed.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("least"), F.max("root").alias("most"), *names)
+            .where("least < most").groupBy("size", "name_0", "name_1").agg(F.min("key").alias("key")))
+    return common.stash(placed.drop("root").join(keys.select("key"), "key", "left_semi"))
+
+
 def keyed(sets: DataFrame, members: DataFrame) -> DataFrame:
-    """Those of sets(set, n, sketch) that are among members(key, set, pivot), with all their keys."""
-    return common.stash(sets.join(members.groupBy("set").agg(F.collect_list("key").alias("keys")), "set"))
+    """Those of sets(set, n, sketch) that are among members(key, set, pivot), with all their keys, ascending."""
+    return common.stash(sets.join(members.groupBy("set").agg(F.sort_array(F.collect_list("key")).alias("keys")), "set"))
 
 
 def cross_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, near: Callable, width: int, keep: int) -> DataFrame:
@@ -241,15 +286,17 @@ def cross_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, near: Cal
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     joined = placed.join(open_keys, "key")
     outside = F.col("root") != F.col("main")
-    lefts = (joined.where(outside).withColumn("x", dealt_to(1, "lefts")).withColumn("y", all_of("rights"))
+    alone = F.col("rights") == 1
+    lefts = (joined.where(outside & ~alone).withColumn("x", dealt_to(1, "lefts")).withColumn("y", all_of("rights"))
              .withColumn("half", F.lit(LEFT)))
     rights = (joined.withColumn("x", all_of("lefts")).withColumn("y", dealt_to(2, "rights"))
-              .withColumn("half", F.when(outside, RIGHT).otherwise(MAIN)))
+              .withColumn("half", F.when(outside & alone, BOTH).when(outside, RIGHT).otherwise(MAIN)))
     blocks = lefts.unionByName(rights).select(F.xxhash64("key", "x", "y").alias("block"), "half", "set", "root", "key", "pivot")
     if "keys" not in sets.columns:
         sets = keyed(sets, members)
+    less = F.expr("slice(keys, 1, greatest(array_position(keys, key) - 1, 0))")  # no others are asked for
     rows = (blocks.join(sets.select("set", "n", "sketch", "keys"), "set")
-            .select("block", "half", "set", "root", "n", "key", "pivot", "sketch", "keys")
+            .select("block", "half", "set", "root", "n", "key", "pivot", "sketch", less.alias("keys"))
             .repartition("block").sortWithinPartitions("block"))
     return common.arrow(rows, _cross(near, width, keep), "a long, b long, more boolean, key long")
 
@@ -262,9 +309,9 @@ def settled(grouped: DataFrame, sets: DataFrame, links: DataFrame, tested: DataF
     group of which no pair was left out is done.
     tested(a, b): pairs that were verified before, ``compared``: all of pivots and members among them;
     verify(pairs): those of them that are links."""
-    members = common.stash(_members(grouped, compared))
-    sets = keyed(sets, members)  # of all rounds: a key that is done leaves no pair to others
     roots, keep = components(links), KEEP
+    members = _open(_members(grouped, compared), roots)
+    sets = keyed(sets, members)  # of all rounds: a key that is done leaves no pair to others
     while True:
         with common.released(grouped.sparkSession):
             found = common.stash(cross_pairs(members, sets, roots, near, width, keep)

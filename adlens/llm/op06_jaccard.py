@@ -121,9 +121,6 @@ def signatures(own: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray,
             yield kernel.mix(value[:differ + 1] + salt + U64(1 << 32)), rare[:differ + 1]
 
 
-KEYS = "key long, set long"
-
-
 def _emit(counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -223,11 +220,11 @@ def jaccard_components(docs: DataFrame, threshold: int = 75) -> DataFrame:
 def _classes(docs: DataFrame, threshold: int) -> DataFrame:
     described = common.stash(common.arrow(docs, _describe, SETS))
     counts = common.sum_vectors(described.where("kind is not null").select("kind", "slice", "numbers"),
-                                {"shingles": 1 << RARITY_BITS})["shingles"].astype(np.float32)
+                                {"shingles": 1 << RARITY_BITS}, np.float32)["shingles"]
     rows = described.where("kind is null").select("doc_id", "content", "n", "set", "sketch")
     sets = common.stash(rows.where("n > 0").groupBy("set").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sketch").alias("sketch")))
-    grouped = groups.pivots(common.arrow(docs.select("text"), _emit(counts), KEYS))
+    grouped = groups.pivots(common.arrow(docs.select("text"), groups.packing(_emit(counts)), groups.PACKED))
     pairs = grouped.select(F.col("pivot").alias("a"), F.col("set").alias("b")).where("a <> b").distinct()
     near = _near(sets, pairs, threshold)
     shingles = _shingles(docs, near)

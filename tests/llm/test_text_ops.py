@@ -51,6 +51,24 @@ def test_task_vectors_add_up(spark):
     assert np.array_equal(got["c"], -4 * np.arange(10_000)) and not got["d"].any()
 
 
+def test_summed_counts_are_sent_in_few_bytes():
+    """The driver got eight bytes a count, several times in its memory."""
+    rows = list(common.vector_rows("a", np.arange(2 * common.SLICE) % 100))
+    sent, = common._add_slices(iter([common.vector_batch(rows), common.vector_batch(rows)]))
+    assert sum(map(len, sent.column(2).to_pylist())) == 2 * (common.SLICE + 2)
+    assert [common._numbers(x)[:3].tolist() for x in sent.column(2).to_pylist()] == [[0, 2, 4], [192, 194, 196]]
+
+
+def test_a_probe_copies_no_bitmap_for_a_row(spark):
+    """A binary of 4 KB was read, and a byte of it written as hex, for each row."""
+    rows = spark.range(100).selectExpr("id", "if(id % 10 = 3, null, id * 1001) as h")
+    keys = spark.createDataFrame([(k * 1001,) for k in range(0, 100, 2)] + [(None,), (-1,)], "k long")
+    found = common.marked(rows, "h", keys, "k")
+    assert sorted(r.id for r in found.collect()) == [k for k in range(0, 100, 2) if k % 10 != 3] and found.schema == rows.schema
+    assert common.unmarked(rows, "h", keys, "k").count() == 50
+    assert "hex(" not in found._jdf.queryExecution().toString()
+
+
 def test_marked_is_a_superset_and_unmarked_its_rest(spark):
     rows = spark.range(5000).selectExpr("id", "xxhash64(id) as h")
     keys = spark.range(0, 5000, 7).selectExpr("xxhash64(id) as k")
@@ -336,6 +354,46 @@ def test_a_pair_is_compared_under_one_key_only(spark):
     assert sorted(got) == [(a, b) for a in range(1, 30) for b in range(a + 1, 30)]
 
 
+def test_keys_are_shuffled_as_few_rows(spark):
+    """A task sent a row for each of its keys."""
+    from adlens.llm import groups
+    rng = np.random.default_rng(3)
+    key = rng.integers(-1 << 46, 1 << 46, 60_000) << groups.PART_BITS
+    key, own = np.concatenate([key, key[:9000], key[:3000], key[:70]]), rng.integers(-99, 1 << 60, 72_070)
+    batch = pa.RecordBatch.from_arrays([pa.array(key), pa.array(own)], ["key", "set"])
+    packed = pa.Table.from_batches(groups.packing(iter)(iter([batch, batch.slice(0, 0), batch.slice(5, 2)])))
+    assert packed.num_rows <= 1 << groups.BUCKET_BITS
+    got = groups.pivots(spark.createDataFrame(packed.to_pandas(), groups.PACKED)).collect()
+    sets = {}
+    for k, x in zip(key.tolist(), own.tolist(), strict=True):
+        sets.setdefault(k, set()).add(x)
+    assert sorted(map(tuple, got)) == sorted((k, min(v), x) for k, v in sets.items() for x in v - {min(v)})
+
+
+def test_members_of_settled_and_of_equal_groups_go(spark, monkeypatch):
+    """A near copy's row held all its keys in each of its groups: the square of its length."""
+    from adlens.llm import groups
+    one = [(key, 0, k) for key in range(50) for k in range(1, 6)]  # all linked
+    two = [(key, 10, k) for key in range(100, 150) for k in range(11, 16)]  # not linked, 50 times the same
+    three = [(200, 10, 11), (200, 10, 16), (200, 10, 17)]
+    grouped = spark.createDataFrame(one + two + three, groups.GROUPED)
+    nodes = spark.createDataFrame([(k, 10, [k]) for k in range(20)], "set long, n int, sketch array<long>")
+    links = spark.createDataFrame([(0, k) for k in range(1, 6)], "a long, b long")
+    tested = grouped.selectExpr("pivot as a", "set as b").distinct()
+    held, asked, keyed = [], [], groups.keyed
+    monkeypatch.setattr(groups, "keyed", lambda sets, members: held.extend(members.collect()) or keyed(sets, members))
+
+    def verify(pairs):
+        asked.extend((r.a, r.b) for r in pairs.collect())
+        return pairs.where("a = 12 and b = 13")
+
+    _, roots = groups.settled(grouped, nodes, links, tested, lambda n, m, apart: apart >= 0, 1, verify, compared=True)
+    assert len(held) == 6 + 4 and {r.key for r in held} == {100, 200}
+    within = lambda own: {(a, b) for a in own for b in own if a < b}
+    assert set(asked) | {(12, 13)} == within(range(11, 16)) | within([11, 16, 17]) and len(asked) == len(set(asked))
+    assert {(r.node, r.root) for r in roots.collect()} == {(k, 0) for k in range(6)} | {(12, 12), (13, 12)}
+
+
 def test_new_links_join_what_is_there(spark):
     from adlens.llm.components import components, extended
     links = lambda rows: spark.createDataFrame(rows, "a long, b long")
