@@ -50,7 +50,6 @@ SKETCHES = [f"sketch_{k}" for k in range(SKETCH)]
 
 LINES = "doc_id long, content long, line int, n int, name long, " + ", ".join(f"{x} long" for x in SKETCHES)
 OCCURRENCES = f"{LINES}, {common.VECTOR_SCHEMA}"
-LINE_KEYS = "key long, set long"
 CODES = "name long, codes string"
 
 
@@ -169,12 +168,15 @@ def _ordered_keys(words: np.ndarray, head: np.ndarray, n: np.ndarray, counts: np
     """The keys under which a line must be found, the line of each, and how often its block may occur. Every line may
     differ by an edit from another one. counts: how often the blocks of each cell occur."""
     block, line, start = _blocks(words, head, n)
-    often = np.minimum(counts[_cell(block)], 0xFFFFFF).astype(U64)
+    often = np.minimum(counts[_cell(block)].astype(U64), U64(0xFFFFFF))
     key = (often << U64(40)) | (block >> U64(24))  # a block's name and its place in the order
-    order = np.lexsort((key, line))
-    by, of = key[order], line[order]
-    new = np.concatenate([[True], (by[1:] != by[:-1]) | (of[1:] != of[:-1])])
-    order, of = order[new], of[new]
+    order = np.argsort(key)  # this and a radix sort of small numbers take a fraction of a lexsort
+    of = line[order].astype(np.uint16 if len(n) <= 1 << 16 else np.uint32)
+    by_line = np.argsort(of, kind="stable")
+    order, of = order[by_line], of[by_line]
+    by = key[order]
+    new = np.flatnonzero(np.concatenate([[True], (by[1:] != by[:-1]) | (of[1:] != of[:-1])]))
+    order, of = np.minimum.reduceat(order, new), of[new].astype(np.int64)
     edge = np.searchsorted(of, np.arange(len(n) + 1))
     edits = _most_edits(n)
     most = np.minimum(SEGMENT * edits + 1, np.diff(edge))
@@ -218,7 +220,9 @@ def _occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = hashes[at]
             _, start, size = _fresh(found, seen)
             if len(start):
-                np.add.at(counts, _cell(_blocks(hashes, start, size)[0]), 1)
+                cell = np.sort(_cell(_blocks(hashes, start, size)[0]).astype(np.int32))
+                edge = np.flatnonzero(np.diff(cell, prepend=-1))
+                counts[cell[edge]] += np.diff(np.append(edge, len(cell))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id").take(pa.array(row)), part.column("content").take(pa.array(row)),
                 pa.array(line.astype(np.int32)), pa.array(n.astype(np.int32)),
@@ -297,7 +301,7 @@ def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _roots(docs: DataFrame, lines: DataFrame, counts: np.ndarray) -> DataFrame:
     """(node, root) of all line names that are near to another. lines: name, n, sketches, content."""
-    grouped = groups.pivots(common.arrow(docs.select("text"), _emit(counts), LINE_KEYS))
+    grouped = groups.pivots(common.arrow(docs.select("text"), groups.packing(_emit(counts)), groups.PACKED))
     pairs = common.stash(grouped.select(F.col("pivot").alias("a"), F.col("set").alias("b")).where("a <> b").distinct())
     own = grouped.select("set").union(grouped.select("pivot"))
     lines = common.stash(common.marked(lines, "name", own, "set"))
@@ -317,7 +321,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 def _removed(docs: DataFrame) -> DataFrame:
     described = common.stash(common.arrow(docs.select("doc_id", "text", "content"), _occur, OCCURRENCES))
     counts = common.sum_vectors(described.where("kind is not null").select("kind", "slice", "numbers"),
-                                {"blocks": 1 << RARITY_BITS})["blocks"].astype(np.int32)
+                                {"blocks": 1 << RARITY_BITS}, np.uint32)["blocks"]
+    counts = counts.astype(np.min_scalar_type(counts.max()))  # goes to every worker
     occurrences = described.where("kind is null").select("doc_id", "content", "line", "n", "name", *SKETCHES)
     lines = common.stash(occurrences.groupBy("name").agg(F.count("*").alias("size"), F.min("n").alias("n"),
                                                          F.min("content").alias("content"),
